@@ -159,13 +159,19 @@ def executive_summary(ranking_df: DataFrame, seasonality_df: DataFrame) -> DataF
         rnd(F.col("score_mensual_promedio") - F.col("score_final"), 2).alias("desviacion_estacional"))
 
 
-def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
+def gold_tables(silver: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
     """Ranking, seasonality and summary from one scan of silver (via ``gold_cube``).
 
-    Callers that evaluate several outputs should persist or write the cube
-    first; it is small (points x 13 rows).
+    The cube is small (points x 13 rows) and feeds every output; with
+    ``materialize`` it is written once as a reliable checkpoint, so the
+    outputs read it instead of each re-scanning silver (their pruned subplans
+    differ, so Spark could not reuse the exchange on its own).
     """
     cube = gold_cube(silver)
+    if materialize:
+        from cafetal.session import checkpoint_root
+        checkpoint_root(silver.sparkSession)
+        cube = cube.checkpoint(eager=True)
     rk = ranking_from_cube(cube)
     es = seasonality_from_cube(cube)
     return {"cube": cube, "ranking": rk, "seasonality": es,

@@ -4,13 +4,14 @@ Every table is profiled in ONE aggregate pass (row count, null counts, range
 and CHECK violations together) plus one grouped pass per key for duplicates.
 Results stay DataFrames: a report row is built by exploding an array of
 structs over the one-row profile, so nothing but the final small report needs
-to reach the driver.  Counts from different tables are combined with an
-equi-join on a constant key between one-row frames.
+to reach the driver.  Counts from different tables are combined by a union
+of the one-row profiles and one pivoting aggregate (no join).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +37,19 @@ def duplicate_count(df: DataFrame, keys: list[str], alias: str = "duplicados") -
     return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias(alias))
 
 
-def _one_row_join(*frames: DataFrame) -> DataFrame:
-    """Put one-row frames side by side with an equi-join on a constant key."""
-    out = frames[0].withColumn("_k", F.lit(1))
-    for f in frames[1:]:
-        out = out.join(f.withColumn("_k", F.lit(1)), "_k")
-    return out.drop("_k")
+def _side_by_side(*frames: DataFrame) -> DataFrame:
+    """Combine one-row frames of integer metrics into one row, without a join.
+
+    Each frame is melted to (metric, value) rows, the frames are unioned, and
+    one aggregate pivots the metrics back into columns.
+    """
+    melted = [f.select(F.explode(F.create_map(*[x for c in f.columns
+                                                for x in (F.lit(c), F.col(c).cast("bigint"))]))
+                       .alias("_metric", "_value"))
+              for f in frames]
+    u = reduce(DataFrame.unionByName, melted)
+    names = [c for f in frames for c in f.columns]
+    return u.agg(*(F.max(F.when(F.col("_metric") == c, F.col("_value"))).alias(c) for c in names))
 
 
 # --------------------------------------------------------------------------------
@@ -105,7 +113,7 @@ def validation_report(bronze: DataFrame, silver: DataFrame, ranking: DataFrame,
                    duplicate_count(silver, ["pk_silver"], "s_dup"),
                    duplicate_count(ranking, ["pk_gold"], "r_dup"),
                    duplicate_count(seasonality, ["pk_estacional_mes"], "e_dup")]
-    p = _one_row_join(*frames)
+    p = _side_by_side(*frames)
 
     rows = []
     if "row_count" in checks:
@@ -159,7 +167,7 @@ def verdict(report: DataFrame) -> DataFrame:
 
 def loss_gate(bronze: DataFrame, silver: DataFrame, limit_pct: float = K.LOSS_GATE_PCT) -> DataFrame:
     """One row: counts, loss percentage and whether silver may be published."""
-    p = _one_row_join(bronze.agg(F.count(F.lit(1)).alias("filas_bronze")),
+    p = _side_by_side(bronze.agg(F.count(F.lit(1)).alias("filas_bronze")),
                       silver.agg(F.count(F.lit(1)).alias("filas_silver")))
     loss = (F.abs(F.col("filas_bronze") - F.col("filas_silver")).cast("double") * F.lit(100.0)
             / F.nullif(F.col("filas_bronze").cast("double"), F.lit(0.0)))
@@ -167,10 +175,31 @@ def loss_gate(bronze: DataFrame, silver: DataFrame, limit_pct: float = K.LOSS_GA
                     F.coalesce(loss <= F.lit(limit_pct), F.lit(False)).alias("publicar"))
 
 
+def silver_gates(bronze: DataFrame, silver: DataFrame, limit_pct: float = K.LOSS_GATE_PCT) -> DataFrame:
+    """One row for the silver publish decision: duplicated keys and the loss gate, one job."""
+    p = _side_by_side(bronze.agg(F.count(F.lit(1)).alias("filas_bronze")),
+                      silver.agg(F.count(F.lit(1)).alias("filas_silver")),
+                      duplicate_count(silver, ["pk_silver"], "duplicados"))
+    loss = (F.abs(F.col("filas_bronze") - F.col("filas_silver")).cast("double") * F.lit(100.0)
+            / F.nullif(F.col("filas_bronze").cast("double"), F.lit(0.0)))
+    return p.select("filas_bronze", "filas_silver", "duplicados", rnd(loss, 2).alias("perdida_pct"),
+                    F.coalesce(loss <= F.lit(limit_pct), F.lit(False)).alias("publicar"))
+
+
+def gold_gates(ranking_df: DataFrame, seasonality_df: DataFrame, summary_df: DataFrame) -> DataFrame:
+    """One row for the gold publish decision: key duplicates and summary cardinality, one job."""
+    p = _side_by_side(duplicate_count(ranking_df, ["pk_gold"], "duplicados_ranking"),
+                      duplicate_count(seasonality_df, ["pk_estacional_mes"], "duplicados_seasonality"),
+                      ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
+                      seasonality_df.agg(F.count(F.lit(1)).alias("filas_estacional")),
+                      summary_df.agg(F.count(F.lit(1)).alias("filas_resumen")))
+    return p.withColumn("esperado", F.col("filas_ranking") * F.col("filas_estacional"))
+
+
 def summary_cardinality(ranking_df: DataFrame, summary_df: DataFrame,
                         seasonality_df: DataFrame) -> DataFrame:
     """One row: summary rows against ranking rows x seasonality rows."""
-    p = _one_row_join(ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
+    p = _side_by_side(ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
                       seasonality_df.agg(F.count(F.lit(1)).alias("filas_estacional")),
                       summary_df.agg(F.count(F.lit(1)).alias("filas_resumen")))
     esperado = F.col("filas_ranking") * F.col("filas_estacional")
@@ -304,7 +333,7 @@ def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     prof = df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
     key = ",".join(contract.primary_key)
     if all(k in types for k in contract.primary_key):
-        prof = _one_row_join(prof, duplicate_count(df, contract.primary_key, "pk_dup"))
+        prof = _side_by_side(prof, duplicate_count(df, contract.primary_key, "pk_dup"))
         rows.append((key, "primary_key", F.col("pk_dup")))
     structs = [F.struct(F.lit(contract.table).alias("tabla"), F.lit(c).alias("columna"),
                         F.lit(rule).alias("regla"), v.cast("bigint").alias("violaciones"))

@@ -22,7 +22,7 @@ from cafetal.operators import mapdata as M
 from cafetal.operators import quality as Q
 from cafetal.operators import silver as S
 from cafetal.plans import pipeline as P
-from cafetal.session import scratch_path
+from cafetal.session import checkpoint_root, scratch_path
 from cafetal.sources import csv_ingest as C
 from cafetal.sources import io
 from cafetal.sources import raster as R
@@ -65,7 +65,9 @@ def _gold(spark, sf_dir):
 # ---------------------------------------------------------------- scans, sources, sinks
 def q_csv_union_by_name(spark, sf_dir):
     root = scratch_path(spark, "yearly_csv")
-    files = C.write_yearly_csvs(_bronze(spark, sf_dir), root, CSV_REORDERED_YEAR, CSV_NO_EVAP_YEAR)
+    checkpoint_root(spark)
+    bronze = _bronze(spark, sf_dir).checkpoint(eager=True)    # feeds three CSV writes
+    files = C.write_yearly_csvs(bronze, root, CSV_REORDERED_YEAR, CSV_NO_EVAP_YEAR)
     return C.bronze_typed(C.csv_union_by_name(spark, files))
 
 
@@ -287,7 +289,9 @@ def q_icc_seasonality(spark, sf_dir):
 
 # ---------------------------------------------------------------- checks and contracts
 def _report(spark, sf_dir, checks=Q.CHECKS):
-    b = _bronze(spark, sf_dir)
+    # bronze feeds every profile: checkpoint it once (in a pipeline it is a written table)
+    checkpoint_root(spark)
+    b = _bronze(spark, sf_dir).checkpoint(eager=True)
     s = S.to_silver(b)
     return Q.validation_report(b, s, G.ranking(s), G.seasonality(s), checks)
 

@@ -12,6 +12,7 @@ layer.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,17 +60,25 @@ def published(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(tables[table])
 
 
+def _concurrently(*jobs):
+    """Run independent Spark actions from driver threads; Spark schedules them together."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
 def stage_silver(spark: SparkSession, bronze: DataFrame, base: str,
-                 gate_pct: float = K.LOSS_GATE_PCT) -> dict[str, str]:
-    """Write silver to the run folder, then apply the duplicate-key and loss gates."""
+                 gate_pct: float = K.LOSS_GATE_PCT, partitioned: bool = True) -> dict[str, str]:
+    """Write silver to the run folder, then apply the duplicate-key and loss gates
+    (both evaluated by one job over the written table)."""
     staged = io.write_parquet(S.to_silver(bronze, audit=True), f"{base}/silver")
     silver = spark.read.parquet(staged)
-    dups = Q.duplicate_count(silver, ["pk_silver"]).first()[0]
-    if dups:
-        raise GateError(f"{dups} duplicated silver keys")
-    gate = Q.loss_gate(bronze, silver, gate_pct).first()
+    gate = Q.silver_gates(bronze, silver, gate_pct).first()
+    if gate["duplicados"]:
+        raise GateError(f"{gate['duplicados']} duplicated silver keys")
     if not gate["publicar"]:
         raise GateError(f"loss {gate['perdida_pct']}% above {gate_pct}%")
+    if not partitioned:
+        return {"silver": staged}
     part = io.write_partitioned(silver, f"{base}/silver_partitioned", ["anio", "mes"])
     return {"silver": staged, "silver_partitioned": part}
 
@@ -87,31 +96,31 @@ def build_gold(spark: SparkSession, silver: DataFrame, base: str) -> dict[str, s
     """Write the cube once, derive ranking / seasonality / summary from it, check keys."""
     cube_path = io.write_parquet(G.gold_cube(silver), f"{base}/_gold_cube")
     cube = spark.read.parquet(cube_path)
-    paths = {
-        "ranking": io.write_parquet(G.with_audit(G.ranking_from_cube(cube)), f"{base}/ranking"),
-        "seasonality": io.write_parquet(G.with_audit(G.seasonality_from_cube(cube)),
-                                        f"{base}/seasonality"),
-    }
+    paths = {"ranking": f"{base}/ranking", "seasonality": f"{base}/seasonality"}
+    _concurrently(
+        lambda: io.write_parquet(G.with_audit(G.ranking_from_cube(cube)), paths["ranking"]),
+        lambda: io.write_parquet(G.with_audit(G.seasonality_from_cube(cube)), paths["seasonality"]))
     rk = spark.read.parquet(paths["ranking"])
     es = spark.read.parquet(paths["seasonality"])
-    for name, df, key in (("ranking", rk, "pk_gold"), ("seasonality", es, "pk_estacional_mes")):
-        d = Q.duplicate_count(df, [key]).first()[0]
-        if d:
-            raise GateError(f"gold {name} has {d} duplicated keys")
     paths["summary"] = io.write_parquet(G.with_audit(G.executive_summary(rk, es)), f"{base}/summary")
     summary = spark.read.parquet(paths["summary"])
-    card = Q.summary_cardinality(rk, summary, es).first()
-    if not card["ok"]:
+    gate = Q.gold_gates(rk, es, summary).first()
+    for name in ("ranking", "seasonality"):
+        if gate[f"duplicados_{name}"]:
+            raise GateError(f"gold {name} has {gate[f'duplicados_{name}']} duplicated keys")
+    if gate["filas_resumen"] != gate["esperado"]:
         # a warning, not a gate, as in the layer's documented behaviour
-        print(f"warning: summary has {card['filas_resumen']} rows, expected {card['esperado']}")
-    paths["seasonality_partitioned"] = io.write_partitioned(
-        es, f"{base}/seasonality_partitioned", ["pk_estacional_mes"])
-    paths["csv_ranking"] = io.export_csv(rk, f"{base}/csv/ranking",
-                                         [F.col("score_final").desc(), "lat", "lon"])
-    paths["csv_seasonality"] = io.export_csv(es, f"{base}/csv/seasonality",
-                                             [F.col("confort_pct").desc(), "pk_estacional_mes"])
-    paths["csv_summary"] = io.export_csv(summary, f"{base}/csv/summary",
-                                         [F.col("score_final").desc(), "mes", "lat", "lon"])
+        print(f"warning: summary has {gate['filas_resumen']} rows, expected {gate['esperado']}")
+    paths.update({"seasonality_partitioned": f"{base}/seasonality_partitioned",
+                  "csv_ranking": f"{base}/csv/ranking", "csv_seasonality": f"{base}/csv/seasonality",
+                  "csv_summary": f"{base}/csv/summary"})
+    _concurrently(
+        lambda: io.write_partitioned(es, paths["seasonality_partitioned"], ["pk_estacional_mes"]),
+        lambda: io.export_csv(rk, paths["csv_ranking"], [F.col("score_final").desc(), "lat", "lon"]),
+        lambda: io.export_csv(es, paths["csv_seasonality"],
+                              [F.col("confort_pct").desc(), "pk_estacional_mes"]),
+        lambda: io.export_csv(summary, paths["csv_summary"],
+                              [F.col("score_final").desc(), "mes", "lat", "lon"]))
     return paths
 
 
@@ -141,10 +150,14 @@ def run_layers(spark: SparkSession, bronze: DataFrame | None, root: str, start:
     if start in ("bronze", "silver"):
         if start == "silver" and bronze is None:
             bronze = published(spark, root, "bronze")
-        tables.update(stage_silver(spark, bronze, base, gate_pct))
+        tables.update(stage_silver(spark, bronze, base, gate_pct, partitioned=False))
         silver = spark.read.parquet(tables["silver"])
+        part = f"{base}/silver_partitioned"
+        _, gold = _concurrently(lambda: io.write_partitioned(silver, part, ["anio", "mes"]),
+                                lambda: build_gold(spark, silver, base))
+        tables["silver_partitioned"] = part
     else:
-        silver = published(spark, root, "silver")
-    tables.update(build_gold(spark, silver, base))
+        gold = build_gold(spark, published(spark, root, "silver"), base)
+    tables.update(gold)
     _publish(spark, root, tables)
     return RunResult(run_id, root, tables)

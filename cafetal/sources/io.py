@@ -26,14 +26,10 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], dynamic: bool = T
     value it holds.  Date-clustered input (bronze is written sorted by date)
     keeps that to one or two files per task.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
-        (df.sortWithinPartitions(*by).write.mode("overwrite").option("compression", "zstd")
-           .partitionBy(*by).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # a per-write option, so concurrent writes never race on the session setting
+    (df.sortWithinPartitions(*by).write.mode("overwrite").option("compression", "zstd")
+       .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+       .partitionBy(*by).parquet(path))
     return path
 
 

@@ -93,3 +93,10 @@ def test_bronze_written_sorted(spark, scratch):
     P.run_layers(spark, bronze_fixture(spark, SF_SMALL), root, "bronze")
     keys = [(r.fecha, r.latitud, r.longitud) for r in P.published(spark, root, "bronze").collect()]
     assert keys == sorted(keys)
+
+
+def test_dynamic_partition_overwrite_keeps_other_partitions(spark, scratch):
+    path = scratch("dyn")
+    io.write_partitioned(spark.createDataFrame([(1, 10), (2, 20)], "mes int, v int"), path, ["mes"])
+    io.write_partitioned(spark.createDataFrame([(2, 99)], "mes int, v int"), path, ["mes"])
+    assert rows(spark.read.parquet(path).select("mes", "v")) == [(1, 10), (2, 99)]
