@@ -37,7 +37,7 @@ def duplicate_count(df: DataFrame, keys: list[str], alias: str = "duplicados") -
     return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias(alias))
 
 
-def _side_by_side(*frames: DataFrame) -> DataFrame:
+def side_by_side(*frames: DataFrame) -> DataFrame:
     """Combine one-row frames of integer metrics into one row, without a join.
 
     Each frame is melted to (metric, value) rows, the frames are unioned, and
@@ -113,7 +113,7 @@ def validation_report(bronze: DataFrame, silver: DataFrame, ranking: DataFrame,
                    duplicate_count(silver, ["pk_silver"], "s_dup"),
                    duplicate_count(ranking, ["pk_gold"], "r_dup"),
                    duplicate_count(seasonality, ["pk_estacional_mes"], "e_dup")]
-    p = _side_by_side(*frames)
+    p = side_by_side(*frames)
 
     rows = []
     if "row_count" in checks:
@@ -167,7 +167,7 @@ def verdict(report: DataFrame) -> DataFrame:
 
 def loss_gate(bronze: DataFrame, silver: DataFrame, limit_pct: float = K.LOSS_GATE_PCT) -> DataFrame:
     """One row: counts, loss percentage and whether silver may be published."""
-    p = _side_by_side(bronze.agg(F.count(F.lit(1)).alias("filas_bronze")),
+    p = side_by_side(bronze.agg(F.count(F.lit(1)).alias("filas_bronze")),
                       silver.agg(F.count(F.lit(1)).alias("filas_silver")))
     loss = (F.abs(F.col("filas_bronze") - F.col("filas_silver")).cast("double") * F.lit(100.0)
             / F.nullif(F.col("filas_bronze").cast("double"), F.lit(0.0)))
@@ -177,7 +177,7 @@ def loss_gate(bronze: DataFrame, silver: DataFrame, limit_pct: float = K.LOSS_GA
 
 def silver_gates(bronze: DataFrame, silver: DataFrame, limit_pct: float = K.LOSS_GATE_PCT) -> DataFrame:
     """One row for the silver publish decision: duplicated keys and the loss gate, one job."""
-    p = _side_by_side(bronze.agg(F.count(F.lit(1)).alias("filas_bronze")),
+    p = side_by_side(bronze.agg(F.count(F.lit(1)).alias("filas_bronze")),
                       silver.agg(F.count(F.lit(1)).alias("filas_silver")),
                       duplicate_count(silver, ["pk_silver"], "duplicados"))
     loss = (F.abs(F.col("filas_bronze") - F.col("filas_silver")).cast("double") * F.lit(100.0)
@@ -188,7 +188,7 @@ def silver_gates(bronze: DataFrame, silver: DataFrame, limit_pct: float = K.LOSS
 
 def gold_gates(ranking_df: DataFrame, seasonality_df: DataFrame, summary_df: DataFrame) -> DataFrame:
     """One row for the gold publish decision: key duplicates and summary cardinality, one job."""
-    p = _side_by_side(duplicate_count(ranking_df, ["pk_gold"], "duplicados_ranking"),
+    p = side_by_side(duplicate_count(ranking_df, ["pk_gold"], "duplicados_ranking"),
                       duplicate_count(seasonality_df, ["pk_estacional_mes"], "duplicados_seasonality"),
                       ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
                       seasonality_df.agg(F.count(F.lit(1)).alias("filas_estacional")),
@@ -199,7 +199,7 @@ def gold_gates(ranking_df: DataFrame, seasonality_df: DataFrame, summary_df: Dat
 def summary_cardinality(ranking_df: DataFrame, summary_df: DataFrame,
                         seasonality_df: DataFrame) -> DataFrame:
     """One row: summary rows against ranking rows x seasonality rows."""
-    p = _side_by_side(ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
+    p = side_by_side(ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
                       seasonality_df.agg(F.count(F.lit(1)).alias("filas_estacional")),
                       summary_df.agg(F.count(F.lit(1)).alias("filas_resumen")))
     esperado = F.col("filas_ranking") * F.col("filas_estacional")
@@ -333,7 +333,7 @@ def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     prof = df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
     key = ",".join(contract.primary_key)
     if all(k in types for k in contract.primary_key):
-        prof = _side_by_side(prof, duplicate_count(df, contract.primary_key, "pk_dup"))
+        prof = side_by_side(prof, duplicate_count(df, contract.primary_key, "pk_dup"))
         rows.append((key, "primary_key", F.col("pk_dup")))
     structs = [F.struct(F.lit(contract.table).alias("tabla"), F.lit(c).alias("columna"),
                         F.lit(rule).alias("regla"), v.cast("bigint").alias("violaciones"))

@@ -132,10 +132,8 @@ def q_bronze_sorted(spark, sf_dir):
 
 
 def q_surrogate_uuid(spark, sf_dir):
-    # uuid() is not stable under recomputation: write first, then check the written ids
-    path = io.write_parquet(_bronze(spark, sf_dir).select(F.expr("uuid()").alias("row_id"), "*"),
-                            scratch_path(spark, "bronze_uuid"))
-    b = io.read_parquet(spark, path)
+    # ids are written, then checked (same count, no repeats) before they are used
+    b = P.add_row_ids(spark, _bronze(spark, sf_dir), scratch_path(spark, "bronze_uuid"))
     return b.agg(F.count(F.lit(1)).alias("n_filas"),
                  F.count_distinct("row_id").alias("n_ids_distintos"),
                  Q.count_if(F.col("row_id").isNull()).alias("ids_nulos"))

@@ -83,6 +83,26 @@ def stage_silver(spark: SparkSession, bronze: DataFrame, base: str,
     return {"silver": staged, "silver_partitioned": part}
 
 
+def add_row_ids(spark: SparkSession, bronze: DataFrame, path: str) -> DataFrame:
+    """Bronze with a surrogate ``row_id`` (random UUID) first; a no-op if it is there.
+
+    ``uuid()`` is not stable under recomputation, so the ids are written first and
+    the written table is checked: as many rows as the input and no repeated id,
+    else ``GateError``.  Returns the written table.
+    """
+    if "row_id" in bronze.columns:
+        return bronze
+    io.write_parquet(bronze.select(F.expr("uuid()").alias("row_id"), "*"), path)
+    written = spark.read.parquet(path)
+    chk = Q.side_by_side(bronze.agg(F.count(F.lit(1)).alias("antes")),
+                         written.agg(F.count(F.lit(1)).alias("despues")),
+                         Q.duplicate_count(written, ["row_id"], "ids_repetidos")).first()
+    if chk["ids_repetidos"] or chk["antes"] != chk["despues"]:
+        raise GateError(f"surrogate ids: {chk['ids_repetidos']} repeated, "
+                        f"{chk['antes']} -> {chk['despues']} rows")
+    return written
+
+
 def publish_if_valid(spark: SparkSession, bronze: DataFrame, root: str,
                      gate_pct: float = K.LOSS_GATE_PCT) -> RunResult:
     """Stage and check silver; publish only if every gate passes."""
@@ -145,8 +165,8 @@ def run_layers(spark: SparkSession, bronze: DataFrame | None, root: str, start:
     if start == "bronze":
         ordered = (bronze.repartitionByRange("fecha", "latitud", "longitud")
                          .sortWithinPartitions("fecha", "latitud", "longitud"))
-        tables["bronze"] = io.write_parquet(ordered, f"{base}/bronze")
-        bronze = spark.read.parquet(tables["bronze"])
+        tables["bronze"] = f"{base}/bronze"
+        bronze = add_row_ids(spark, ordered, tables["bronze"])
     if start in ("bronze", "silver"):
         if start == "silver" and bronze is None:
             bronze = published(spark, root, "bronze")

@@ -100,3 +100,14 @@ def test_dynamic_partition_overwrite_keeps_other_partitions(spark, scratch):
     io.write_partitioned(spark.createDataFrame([(1, 10), (2, 20)], "mes int, v int"), path, ["mes"])
     io.write_partitioned(spark.createDataFrame([(2, 99)], "mes int, v int"), path, ["mes"])
     assert rows(spark.read.parquet(path).select("mes", "v")) == [(1, 10), (2, 99)]
+
+
+def test_row_ids_written_checked_and_kept(spark, scratch):
+    b = bronze_fixture(spark, SF_SMALL)
+    with_ids = P.add_row_ids(spark, b, scratch("ids"))
+    assert with_ids.columns[0] == "row_id"
+    r = with_ids.agg(F.count("*").alias("n"), F.count_distinct("row_id").alias("d")).first()
+    assert r.n == r.d == b.count()
+    assert P.add_row_ids(spark, with_ids, scratch("ids2")) is with_ids     # no-op when present
+    silver = S.to_silver(with_ids, audit=True)
+    assert silver.columns[0] == "bronze_id" and "processed_at" in silver.columns
