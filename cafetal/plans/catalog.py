@@ -22,7 +22,7 @@ from cafetal.operators import mapdata as M
 from cafetal.operators import quality as Q
 from cafetal.operators import silver as S
 from cafetal.plans import pipeline as P
-from cafetal.session import checkpoint_root, scratch_path
+from cafetal.session import scratch_path
 from cafetal.sources import csv_ingest as C
 from cafetal.sources import io
 from cafetal.sources import raster as R
@@ -42,8 +42,24 @@ EXPECTED_YEARS = (1993, 2002)     # expected coverage for missing_years
 SAMPLE_START, SAMPLE_END = "1996-01-01", "2001-01-01"   # half-open date range
 
 
-def _bronze(spark, sf_dir):
-    return bronze_fixture(spark, sf_dir)
+_BRONZE_TABLES: dict[tuple[str, str], str] = {}
+
+
+def bronze_layer(spark, sf_dir):
+    """The bronze layer for ``sf_dir``: projected from the supplied tables once per
+    application and written (sorted by date and coordinates, like a consolidated
+    bronze file) to the shared scratch folder; later queries scan that table."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _BRONZE_TABLES.get(key)
+    if path is None:
+        order = ["fecha", "latitud", "longitud"]
+        path = io.write_parquet(bronze_fixture(spark, sf_dir).repartitionByRange(*order)
+                                .sortWithinPartitions(*order), scratch_path(spark, "bronze_layer"))
+        _BRONZE_TABLES[key] = path
+    return spark.read.parquet(path)
+
+
+_bronze = bronze_layer
 
 
 def _silver(spark, sf_dir):
@@ -65,9 +81,7 @@ def _gold(spark, sf_dir):
 # ---------------------------------------------------------------- scans, sources, sinks
 def q_csv_union_by_name(spark, sf_dir):
     root = scratch_path(spark, "yearly_csv")
-    checkpoint_root(spark)
-    bronze = _bronze(spark, sf_dir).checkpoint(eager=True)    # feeds three CSV writes
-    files = C.write_yearly_csvs(bronze, root, CSV_REORDERED_YEAR, CSV_NO_EVAP_YEAR)
+    files = C.write_yearly_csvs(_bronze(spark, sf_dir), root, CSV_REORDERED_YEAR, CSV_NO_EVAP_YEAR)
     return C.bronze_typed(C.csv_union_by_name(spark, files))
 
 
@@ -287,9 +301,7 @@ def q_icc_seasonality(spark, sf_dir):
 
 # ---------------------------------------------------------------- checks and contracts
 def _report(spark, sf_dir, checks=Q.CHECKS):
-    # bronze feeds every profile: checkpoint it once (in a pipeline it is a written table)
-    checkpoint_root(spark)
-    b = _bronze(spark, sf_dir).checkpoint(eager=True)
+    b = _bronze(spark, sf_dir)
     s = S.to_silver(b)
     return Q.validation_report(b, s, G.ranking(s), G.seasonality(s), checks)
 
