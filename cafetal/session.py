@@ -40,7 +40,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; set a private one only if unset."""
+    """The shared folder from ``spark.checkpoint.dir``.
+
+    Only in local mode, and only when the setting is unset (tests, bench), a
+    private temporary folder is created and set.
+    """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
@@ -51,6 +55,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir() carries a per-application subfolder; its parent is the root.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not shared by executors: refuse rather than guess
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                           "for checkpoints and scratch tables")
     local = tempfile.mkdtemp(prefix="cafetal-ckpt-")
     sc.setCheckpointDir(local)
     return local

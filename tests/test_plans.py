@@ -49,3 +49,18 @@ def test_global_row_number_matches_single_partition_window(spark):
     want = {(r.k, r.id): r.rn for r in
             df.select("k", "id", F.row_number().over(Window.orderBy(*order)).alias("rn")).collect()}
     assert got == want
+
+
+def test_aggregates_are_partial_before_every_shuffle(spark):
+    for name in ("ranking", "seasonality", "point_seasonality", "thermal_amplitude", "monthly_anomaly"):
+        plan = _plan(catalog.queries()[name](spark, SF_SMALL))
+        assert "partial_count" in plan or "partial_sum" in plan or "partial_max" in plan, name
+
+
+def test_explain_layer_returns_formatted_plans(spark):
+    from cafetal.plans.explain import explain_layer, plan_facts
+    plans = explain_layer(spark, SF_SMALL, "gold")
+    assert set(plans) >= {"ranking_counts", "point_month_join", "top20_point_month"}
+    assert "TakeOrderedAndProject" in plans["top20_point_month"]
+    facts = plan_facts(plans["executive_summary"])
+    assert facts["nested_loop_joins"] == 0 and facts["python_udfs"] == 0
