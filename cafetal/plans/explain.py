@@ -34,17 +34,30 @@ def explain_layer(spark: SparkSession, sf_dir: str, layer: str) -> dict[str, str
 
 
 def plan_facts(plan: str) -> dict[str, int]:
-    """Counts of the operators that matter at scale in a formatted plan."""
+    """Counts of the operators that matter at scale, read from the plan tree.
+
+    For an executed adaptive plan only the ``== Final Plan ==`` part of the
+    tree is counted.
+    """
+    tree = plan.split("\n\n")[0]
+    if "== Final Plan ==" in tree:
+        tree = tree.split("== Initial Plan ==")[0]
+
     def n(pattern: str) -> int:
-        return len(re.findall(pattern, plan))
+        return len(re.findall(pattern, tree))
+    def details(node_id: str) -> str:
+        m = re.search(rf"^\({node_id}\) Exchange\n((?:.+\n?)*)", plan, re.M)
+        return m.group(1) if m else ""
+    single = sum(1 for m in re.finditer(r"\bExchange \((\d+)\)", tree)
+                 if "SinglePartition" in details(m.group(1)))
     return {
-        "scans": n(r"\(\d+\) Scan parquet"),
-        "shuffles": n(r"\(\d+\) Exchange\b"),
-        "single_partition_shuffles": n(r"Arguments: SinglePartition"),
-        "broadcasts": n(r"\(\d+\) BroadcastExchange"),
-        "broadcast_hash_joins": n(r"\(\d+\) BroadcastHashJoin"),
-        "sort_merge_joins": n(r"\(\d+\) SortMergeJoin"),
-        "nested_loop_joins": n(r"\(\d+\) BroadcastNestedLoopJoin") + n(r"\(\d+\) CartesianProduct"),
-        "windows": n(r"\(\d+\) Window\b"),
-        "python_udfs": n(r"\(\d+\) (?:BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)"),
+        "scans": n(r"Scan parquet"),
+        "shuffles": n(r"\bExchange \(\d+\)"),
+        "single_partition_shuffles": single,
+        "broadcasts": n(r"BroadcastExchange \(\d+\)"),
+        "broadcast_hash_joins": n(r"BroadcastHashJoin"),
+        "sort_merge_joins": n(r"SortMergeJoin"),
+        "nested_loop_joins": n(r"BroadcastNestedLoopJoin") + n(r"CartesianProduct"),
+        "windows": n(r"\bWindow \(\d+\)"),
+        "python_udfs": n(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas"),
     }
