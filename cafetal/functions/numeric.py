@@ -1,8 +1,11 @@
 """Numeric helpers that give the same bits on every engine and every plan.
 
 * ``rnd`` scales, rounds half away from zero, and scales back.  Spark's
-  ``round(double, n)`` goes through a decimal and differs on values such as
-  1.005; scaling first is the documented behaviour we match.
+  ``round(double, n)`` goes through a decimal, which differs on values such as
+  1.005 and is about six times slower; here the scaled value is rounded with
+  ``rint`` (a CPU instruction) and exact ties (fraction exactly 0.5, tested
+  with an exact ``% 1.0``) are moved away from zero.  A zero result is
+  always +0.0.
 * Averages and standard deviations are computed from integer moments
   (count, sum, sum of squares), which are exact, associative and therefore
   independent of partitioning, so re-aggregating partial results is exact too.
@@ -18,10 +21,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def round_half_away(y: Column) -> Column:
+    """Nearest integer (as a double), ties away from zero; NaN and +-inf unchanged."""
+    frac = y % F.lit(1.0)                    # exact, keeps the sign of y
+    return F.when(F.abs(frac) == F.lit(0.5), y - frac + F.signum(y)).otherwise(F.rint(y))
+
+
 def rnd(x, digits: int) -> Column:
     """round(x * 10^d) / 10^d with half-away-from-zero rounding, as a double."""
-    scale = float(10 ** digits)
-    return F.round(_c(x).cast("double") * F.lit(scale), 0) / F.lit(scale)
+    scale = F.lit(float(10 ** digits))
+    r = round_half_away(_c(x).cast("double") * scale) / scale
+    return F.when(r == F.lit(0.0), F.lit(0.0)).otherwise(r)
 
 
 def safe_div(num, den) -> Column:
@@ -36,7 +46,7 @@ def pct(part, whole) -> Column:
 
 def to_units(x, digits: int) -> Column:
     """A value with ``digits`` decimals as an exact integer count of units."""
-    return F.round(_c(x).cast("double") * F.lit(float(10 ** digits)), 0).cast("bigint")
+    return round_half_away(_c(x).cast("double") * F.lit(float(10 ** digits))).cast("bigint")
 
 
 def stddev_from_moments(n, s1, s2) -> Column:

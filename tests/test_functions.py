@@ -86,3 +86,18 @@ def test_vpd_is_zero_at_saturation(spark):
     got = [r[0] for r in df.select(vpd_kpa("t", "rh")).collect()]
     assert got[0] == 0.0
     assert got[1] == pytest.approx(0.61094 * math.exp(17.625 * 20 / (243.04 + 20)) * 0.5, abs=1e-4)
+
+
+def test_rnd_agrees_with_decimal_round_of_the_scaled_double(spark):
+    vals = ([i / 1000 + 0.0005 for i in range(-3000, 3000)]
+            + [0.5, -0.5, 1.5, -1.5, 2.5, 0.49999999999999994, -0.49999999999999994, 4503599627370495.5,
+               -4503599627370495.5, 1e300, float("inf"), float("-inf"), -0.004, 0.0])
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for d in (0, 2, 4):
+        ref = (F.round(F.col("v") * F.lit(float(10 ** d)), 0) / F.lit(float(10 ** d)))
+        bad = df.filter(~rnd("v", d).eqNullSafe(ref)).count()
+        assert bad == 0, d
+    zeros = [r[0] for r in df.filter(F.col("v").isin(-0.004, 0.0)).select(rnd("v", 2)).collect()]
+    assert all(math.copysign(1.0, z) == 1.0 for z in zeros)     # never -0.0
+    nan = spark.createDataFrame([(float("nan"),)], "v double").select(rnd("v", 2)).first()[0]
+    assert nan != nan
