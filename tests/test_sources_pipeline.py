@@ -111,3 +111,15 @@ def test_row_ids_written_checked_and_kept(spark, scratch):
     assert P.add_row_ids(spark, with_ids, scratch("ids2")) is with_ids     # no-op when present
     silver = S.to_silver(with_ids, audit=True)
     assert silver.columns[0] == "bronze_id" and "processed_at" in silver.columns
+
+
+def test_command_line_runs_layers_and_validates(spark, scratch, capsys):
+    from cafetal.__main__ import main
+    root = scratch("cli")
+    # the fixture has NULL temperatures and RH above 100: critical checks fail -> exit code 1
+    assert main(["--tables", SF_SMALL, "--root", root]) == 1
+    out = capsys.readouterr().out
+    assert "ranking" in out and "critical=" in out
+    assert main(["--from", "gold", "--root", root]) == 1
+    assert main(["--explain", "silver", "--tables", SF_SMALL]) == 0
+    assert "silver_preview" in capsys.readouterr().out
