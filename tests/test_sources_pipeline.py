@@ -123,3 +123,11 @@ def test_command_line_runs_layers_and_validates(spark, scratch, capsys):
     assert main(["--from", "gold", "--root", root]) == 1
     assert main(["--explain", "silver", "--tables", SF_SMALL]) == 0
     assert "silver_preview" in capsys.readouterr().out
+
+
+def test_validate_only_reports_missing_tables(spark, scratch):
+    root = scratch("partial")
+    P.publish_if_valid(spark, bronze_fixture(spark, SF_SMALL), root)      # silver only
+    rep = {r.capa: r for r in P.run_layers(spark, None, root, validate_only=True).collect()}
+    assert rep["SILVER"].paso is True
+    assert rep["BRONZE"].paso is False and rep["GOLD_RANKING"].critico is True
