@@ -25,6 +25,7 @@ from cafetal.operators import silver as S
 from cafetal.sources import io
 
 LAYERS = ("bronze", "silver", "gold")
+SILVER_CLUSTER = ("lat", "lon", "fecha")
 
 
 class GateError(RuntimeError):
@@ -70,7 +71,10 @@ def stage_silver(spark: SparkSession, bronze: DataFrame, base: str,
                  gate_pct: float = K.LOSS_GATE_PCT, partitioned: bool = True) -> dict[str, str]:
     """Write silver to the run folder, then apply the duplicate-key and loss gates
     (both evaluated by one job over the written table)."""
-    staged = io.write_parquet(S.to_silver(bronze, audit=True), f"{base}/silver")
+    # rows of each writing task clustered by grid point: later per-point aggregations
+    # combine more on the map side and bbox filters skip row groups
+    staged = io.write_parquet(S.to_silver(bronze, audit=True), f"{base}/silver",
+                              cluster_by=SILVER_CLUSTER)
     silver = spark.read.parquet(staged)
     gate = Q.silver_gates(bronze, silver, gate_pct).first()
     if gate["duplicados"]:
@@ -79,7 +83,8 @@ def stage_silver(spark: SparkSession, bronze: DataFrame, base: str,
         raise GateError(f"loss {gate['perdida_pct']}% above {gate_pct}%")
     if not partitioned:
         return {"silver": staged}
-    part = io.write_partitioned(silver, f"{base}/silver_partitioned", ["anio", "mes"])
+    part = io.write_partitioned(silver, f"{base}/silver_partitioned", ["anio", "mes"],
+                                cluster_by=SILVER_CLUSTER)
     return {"silver": staged, "silver_partitioned": part}
 
 
@@ -190,7 +195,8 @@ def run_layers(spark: SparkSession, bronze: DataFrame | None, root: str, start:
         tables.update(stage_silver(spark, bronze, base, gate_pct, partitioned=False))
         silver = spark.read.parquet(tables["silver"])
         part = f"{base}/silver_partitioned"
-        _, gold = _concurrently(lambda: io.write_partitioned(silver, part, ["anio", "mes"]),
+        _, gold = _concurrently(lambda: io.write_partitioned(silver, part, ["anio", "mes"],
+                                                             cluster_by=SILVER_CLUSTER),
                                 lambda: build_gold(spark, silver, base))
         tables["silver_partitioned"] = part
     else:
