@@ -1,7 +1,9 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each query starts from the supplied tables (through the fixture projection in
-``cafetal.sources.fixture``), so its work grows with them.  Audit columns
+``cafetal.sources.fixture``), so its work grows with them.  As in a pipeline
+run, the bronze layer is projected once per application and written to the
+shared scratch folder; the queries scan that table.  Audit columns
 (timestamps, random ids) are left out of results that have an oracle, since
 they are not deterministic.  Queries that exercise a sink write to a fresh
 folder under the shared checkpoint root and read the result back.

@@ -131,3 +131,15 @@ def test_validate_only_reports_missing_tables(spark, scratch):
     rep = {r.capa: r for r in P.run_layers(spark, None, root, validate_only=True).collect()}
     assert rep["SILVER"].paso is True
     assert rep["BRONZE"].paso is False and rep["GOLD_RANKING"].critico is True
+
+
+def test_command_line_ingests_yearly_csvs(spark, scratch, capsys):
+    from cafetal.__main__ import main
+    landing = scratch("landing")
+    C.write_yearly_csvs(bronze_fixture(spark, SF_SMALL), landing, 1996, 2001)
+    root = scratch("cli_csv")
+    assert main(["--csv", landing, "--root", root]) == 1          # critical checks fail on the fixture
+    rk = P.published(spark, root, "ranking")
+    assert rk.count() == 9
+    b = P.published(spark, root, "bronze")
+    assert b.filter(F.year("fecha") == 2001).filter(F.col("evap_pot_m").isNotNull()).count() == 0
