@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from cafetal.constants import SOURCE_COLUMNS
+from cafetal.constants import SOURCE_COLUMNS, YEARLY_FILE_PREFIX
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = "*.csv") -> list[str]:
@@ -64,7 +64,7 @@ def to_source_layout(bronze: DataFrame) -> DataFrame:
 
 def write_yearly_csvs(bronze: DataFrame, root: str, reorder_year: int | None = None,
                       drop_evap_year: int | None = None) -> list[str]:
-    """One CSV folder per year under source names (``ERA5_EC_<year>``).
+    """One CSV folder per year under source names (``<YEARLY_FILE_PREFIX><year>``).
 
     ``reorder_year`` is written with its columns in reverse order and
     ``drop_evap_year`` without ``potential_evaporation_sum``, the two header
@@ -78,9 +78,9 @@ def write_yearly_csvs(bronze: DataFrame, root: str, reorder_year: int | None = N
             .partitionBy("_anio").csv(f"{root}/regular"))
     if reorder_year is not None:
         (src.filter(F.col("_anio") == reorder_year).select(*reversed(cols))
-            .write.mode("overwrite").option("header", True).csv(f"{root}/ERA5_EC_{reorder_year}"))
+            .write.mode("overwrite").option("header", True).csv(f"{root}/{YEARLY_FILE_PREFIX}{reorder_year}"))
     if drop_evap_year is not None:
         (src.filter(F.col("_anio") == drop_evap_year)
             .select(*[c for c in cols if c != "potential_evaporation_sum"])
-            .write.mode("overwrite").option("header", True).csv(f"{root}/ERA5_EC_{drop_evap_year}"))
+            .write.mode("overwrite").option("header", True).csv(f"{root}/{YEARLY_FILE_PREFIX}{drop_evap_year}"))
     return list_files(bronze.sparkSession, root)
