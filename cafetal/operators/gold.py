@@ -11,6 +11,9 @@ Plan notes (what keeps this cheap at 100 TB):
   per-(point, month) partials be re-aggregated exactly.
 * ``gold_cube`` is the single scan behind the whole gold layer: ranking,
   regional seasonality and per-point seasonality are all re-aggregations of it.
+* Points are grouped on silver's coordinates as they are: silver already
+  rounds them to 6 decimals, and rounding again would change nothing.  Grouping
+  on plain columns also lets a table bucketed by (lat, lon) skip the shuffle.
 * The executive summary pairs each point with each month through an equi-join
   on the month (a 13-row fan-out on the point side and a broadcast of the
   seasonality table, whose size is bounded by the 12 months plus NULL); there
@@ -51,7 +54,7 @@ def _moments(score: str = "score"):
 def gold_cube(silver: DataFrame) -> DataFrame:
     """Exact per (lat, lon, mes) moments of the daily score: the gold layer's only scan."""
     s = scored(silver)
-    return s.groupBy(rnd("lat", 6).alias("lat"), rnd("lon", 6).alias("lon"), "mes").agg(*_moments())
+    return s.groupBy("lat", "lon", "mes").agg(*_moments())
 
 
 def _ranking_columns(df: DataFrame) -> DataFrame:
@@ -66,8 +69,7 @@ def _ranking_columns(df: DataFrame) -> DataFrame:
 def ranking(silver: DataFrame) -> DataFrame:
     """Per point: days, optimal days, % optimal and mean score (one shuffle)."""
     s = scored(silver)
-    agg = s.groupBy(rnd("lat", 6).alias("lat"), rnd("lon", 6).alias("lon")).agg(*_moments())
-    return _ranking_columns(agg)
+    return _ranking_columns(s.groupBy("lat", "lon").agg(*_moments()))
 
 
 def ranking_from_cube(cube: DataFrame) -> DataFrame:
@@ -79,7 +81,7 @@ def ranking_from_cube(cube: DataFrame) -> DataFrame:
 def ranking_counts(silver: DataFrame) -> DataFrame:
     """The plan-display variant: days and optimal days per point only."""
     s = scored(silver)
-    return (s.groupBy(rnd("lat", 6).alias("lat"), rnd("lon", 6).alias("lon"))
+    return (s.groupBy("lat", "lon")
              .agg(F.count(F.lit(1)).alias("dias_evaluados"),
                   F.sum("optimo").cast("bigint").alias("dias_optimos")))
 
