@@ -8,6 +8,8 @@ every query and tabulates the final adaptive plans.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,10 @@ LAYER_QUERIES = {
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The text ``df.explain(mode)`` prints, as a string."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
 
 
 def explain_layer(spark: SparkSession, sf_dir: str, layer: str) -> dict[str, str]:

@@ -12,7 +12,8 @@ from tests.conftest import SF_SMALL
 
 def _plan(df) -> str:
     """The formatted physical plan, as ``df.explain("formatted")`` prints it."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    from cafetal.plans.explain import plan_text
+    return plan_text(df)
 
 
 def test_summary_has_no_cartesian_product(spark):

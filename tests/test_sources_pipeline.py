@@ -48,7 +48,8 @@ def test_partitioned_read_prunes_partitions(spark, scratch):
     s = S.to_silver(bronze_fixture(spark, SF_SMALL))
     path = io.write_partitioned(s, scratch("parts"), ["anio", "mes"])
     one = spark.read.parquet(path).filter((F.col("anio") == 1997) & (F.col("mes") == 3))
-    plan = one._jdf.queryExecution().executedPlan().toString()
+    from cafetal.plans.explain import plan_text
+    plan = plan_text(one)
     assert "PartitionFilters" in plan and "anio" in plan
     assert one.count() == s.filter("anio = 1997 AND mes = 3").count()
 
