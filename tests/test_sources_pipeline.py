@@ -144,3 +144,12 @@ def test_command_line_ingests_yearly_csvs(spark, scratch, capsys):
     assert rk.count() == 9
     b = P.published(spark, root, "bronze")
     assert b.filter(F.year("fecha") == 2001).filter(F.col("evap_pot_m").isNotNull()).count() == 0
+
+
+def test_duplicate_silver_key_blocks_publishing(spark, scratch):
+    root = scratch("dup_gate")
+    b = bronze_fixture(spark, SF_SMALL)
+    dup = b.unionByName(b.orderBy("fecha", "latitud", "longitud").limit(1))
+    with pytest.raises(P.GateError, match="duplicated silver keys"):
+        P.publish_if_valid(spark, dup, root)
+    assert P.current_tables(spark, root) == {}
