@@ -68,3 +68,12 @@ def test_entry_smoke(spark):
                           "score_final"]
     assert df.count() == 9        # 10 grid points at sf0.001, 9 inside the gold region
     assert os.path.isdir(SF_SMALL)
+
+
+ROWS_ONLY = {"load_timestamp"}       # wall-clock audit column: no deterministic oracle
+
+
+def test_every_query_has_an_oracle_unless_listed():
+    assert set(E.queries()) - set(SQL) == ROWS_ONLY
+    assert set(SQL) <= set(E.queries())
+    assert len(E.queries()) == 71
