@@ -34,13 +34,13 @@ def place(hashes: np.ndarray, offsets: np.ndarray, probes: list[tuple[int, int]]
     """How many of the sorted probes are at or below each (hash, offset)."""
     ph = np.array([p[0] for p in probes], np.int64)
     po = np.array([p[1] for p in probes], np.int64)
-    at = np.searchsorted(ph, hashes, "left")
+    first = np.searchsorted(ph, hashes, "left")
     end = np.searchsorted(ph, hashes, "right")
-    tied = np.flatnonzero(at < end)  # rows whose hash is also a probe's: the id decides
-    for start in np.unique(at[tied]):
-        rows = tied[at[tied] == start]
-        stop = end[rows[0]]
-        at[rows] = start + np.searchsorted(po[start:stop], offsets[rows], "right")
+    at = first.copy()
+    tied = np.flatnonzero(first < end)  # rows whose hash is also a probe's: the id decides
+    for start in np.unique(first[tied]):
+        rows = tied[first[tied] == start]
+        at[rows] = start + np.searchsorted(po[start:end[rows[0]]], offsets[rows], "right")
     return at
 
 
