@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cafetal.llm import linededup, sharding
+from cafetal.llm import linededup, sharding, simhash
 from cafetal.llm.common import table
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(linededup.dedup_lines(table(spark, sf_dir, "documents")))
 
@@ -19,7 +23,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_line_dedup, op10_histogram_shards)}
+    return {f.__name__: f for f in (op5_simhash, op7_line_dedup, op10_histogram_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
