@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cafetal.llm import linededup, sharding, simhash
+from cafetal.llm import bpe, linededup, sharding, simhash
 from cafetal.llm.common import table
 
 
+def vocabulary() -> str:
+    """The tokenizer file; it is a parameter of the operator and not kept here."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), digests=True)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
@@ -23,7 +33,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_simhash, op7_line_dedup, op10_histogram_shards)}
+    return {f.__name__: f for f in (op2_bpe, op5_simhash, op7_line_dedup, op10_histogram_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
