@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cafetal.llm import bpe, linededup, sharding, simhash
+from cafetal.llm import bpe, licenses, linededup, sharding, simhash
 from cafetal.llm.common import table
 
 
@@ -28,12 +28,16 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(linededup.dedup_lines(table(spark, sf_dir, "documents")))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
 def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.shard(table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op5_simhash, op7_line_dedup, op10_histogram_shards)}
+    return {f.__name__: f for f in (op2_bpe, op5_simhash, op7_line_dedup, op8_license_scan, op10_histogram_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
