@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cafetal.llm import bpe, licenses, linededup, sharding, simhash
+from cafetal.llm import bpe, decontam, licenses, linededup, sharding, simhash, toxicity
 from cafetal.llm.common import table
 
 
@@ -20,6 +21,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), digests=True)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(toxicity.fold() != 0))
+    return (toxicity.score(docs, model)
+            .select("doc_id", (F.coalesce(toxicity.fold(), F.lit(1)) == 0).alias("held_out"), "score", "predicted"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
@@ -32,12 +40,16 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.shard(table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op5_simhash, op7_line_dedup, op8_license_scan, op10_histogram_shards)}
+    return {f.__name__: f for f in (op2_bpe, op3_toxicity, op5_simhash, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
