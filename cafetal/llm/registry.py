@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cafetal.llm import bpe, decontam, licenses, linededup, sharding, simhash, toxicity
+from cafetal.llm import bpe, decontam, licenses, linededup, pii, sharding, simhash, toxicity
 from cafetal.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (F.coalesce(toxicity.fold(), F.lit(1)) == 0).alias("held_out"), "score", "predicted"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
@@ -49,7 +53,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op3_toxicity, op5_simhash, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
+    return {f.__name__: f for f in (op2_bpe, op3_toxicity, op4_pii, op5_simhash, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
