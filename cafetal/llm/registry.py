@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cafetal.llm import bpe, decontam, licenses, linededup, pii, sharding, simhash, toxicity
+from cafetal.llm import ann, bpe, decontam, licenses, linededup, pii, sharding, simhash, toxicity
 from cafetal.llm.common import table
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), k=20)
+
+
 def vocabulary() -> str:
     """The tokenizer file; it is a parameter of the operator and not kept here."""
     return public_tokenizers.path("word_bpe_49k.json")
@@ -53,7 +57,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op3_toxicity, op4_pii, op5_simhash, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
+    return {f.__name__: f for f in (op1_learned_partitions, op2_bpe, op3_toxicity, op4_pii, op5_simhash, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
