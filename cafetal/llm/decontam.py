@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cafetal.llm.common import column, materialise, slices
 
 FEATURES = 18  # words are hashed to 2^18 TF-IDF features
+_PLAIN = 64  # commonest words of the items, counted per passage
 HALF = 32  # passages are windows of two halves of so many words, each half in two windows
 _WORD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -154,12 +155,16 @@ class Item:
 
     def __init__(self, item_id: int, text: str, answer: str | None):
         self.id, self.toks = item_id, tokens(text)
+        self.words = self.toks.tolist()
         sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text) if len(tokens(s))]
         self.answer = tokens(answer if answer is not None else sentences[-1])
 
     def check(self, region: np.ndarray, least: float) -> tuple[float, bool]:
         """Best share of the item's words found in order in a stretch of its own size, and the answer beside it."""
         n = len(self.toks)
+        there = set(region.tolist())
+        if sum(t in there for t in self.words) < least * n:  # no subsequence can be longer
+            return 0.0, False
         if common_subsequence(self.toks, region) < least * n:
             return 0.0, False
         size, step = -(-5 * n // 4), max(1, n // 8)
@@ -181,6 +186,11 @@ class Index:
         self.row[names] = np.arange(len(names))
         self.vectors = vectors.astype(np.float32)
         self.weighted = self.vectors * idf[names][:, None]  # a word's share in a passage's sum
+        # The commonest words make up most tokens: they are counted per passage, the others added one by one.
+        order = np.argsort(idf[names], kind="stable")
+        self.plain = order[idf[names][order] > 0][:_PLAIN]
+        self.plain_at = np.full(len(names) + 1, -1, np.int64)  # row -1, the words of no item, is the last
+        self.plain_at[self.plain] = np.arange(len(self.plain))
         z = np.zeros((len(items), self.vectors.shape[1]), np.float32)
         for k, item in enumerate(items):
             f, w = _tfidf(item.toks, idf)
@@ -195,12 +205,18 @@ class Index:
         f = features(flat)
         w = self.idf[f]
         row = self.row[f]
-        known = np.flatnonzero((row >= 0) & (w > 0))
         z = np.zeros((n + 1, self.vectors.shape[1]), np.float32)
+        plain = self.plain_at[row]
+        is_plain = plain >= 0
+        m = len(self.plain)
+        if m and n:
+            counts = np.bincount(half[is_plain] * m + plain[is_plain], minlength=n * m)
+            z[:-1] = counts.reshape(n, m).astype(np.float32) @ self.weighted[self.plain]
+        known = np.flatnonzero((row >= 0) & (w > 0) & ~is_plain)
         if len(known):
             h = half[known]
             start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            z[h[start]] = np.add.reduceat(self.weighted[row[known]], start, axis=0)
+            z[h[start]] += np.add.reduceat(self.weighted[row[known]], start, axis=0)
         square = np.append(np.bincount(half, w * w, minlength=n), 0.0)
         text = np.repeat(np.arange(len(raw)), count)
         last = np.append(text[1:] != text[:-1], True) if n else np.zeros(0, bool)
