@@ -216,44 +216,45 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-def _encoded(spec, with_text: bool):
+_KINDS = {"ids": pa.list_(pa.int32()), "decoded": pa.string(), "ids_sha256": pa.string(),
+          "decoded_sha256": pa.string()}
+_SQL = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def _encoded(spec, columns: tuple[str, ...]):
+    def value(name: str, raw: bytes, names: str):
+        if name == "ids":
+            return np.frombuffer(raw, "<u4").astype(np.int32)
+        if name == "decoded":
+            return names
+        return hashlib.sha256(raw if name == "ids_sha256" else names.encode()).hexdigest()
+
     def run(batches):
         bpe = tokenizer(spec.value)
         for b in slices(batches, 128):
-            counts, shas, back, ids, texts = [], [], [], [], []
-            for raw, names in bpe.encode_batch(column(b, "__body")):
-                counts.append(len(raw) // 4)
-                if with_text:
-                    ids.append(list(struct.unpack(f"<{len(raw) // 4}I", raw)))
-                    texts.append(names)
-                else:
-                    shas.append(hashlib.sha256(raw).hexdigest())
-                    back.append(hashlib.sha256(names.encode()).hexdigest())
-            data = [pa.array(ids, pa.list_(pa.int64())), pa.array(texts, pa.string())] if with_text else [
-                pa.array(shas, pa.string()), pa.array(back, pa.string())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), *data],
-                                             names=["doc_id", "n_tokens",
-                                                    *(("ids", "decoded") if with_text else
-                                                      ("ids_sha256", "decoded_sha256"))])
+            got = bpe.encode_batch(column(b, "__body"))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(raw) // 4 for raw, _ in got], pa.int64()),
+                 *(pa.array([value(c, *x) for x in got], _KINDS[c]) for c in columns)],
+                names=["doc_id", "n_tokens", *columns])
 
     return run
 
 
-def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                     digests: bool = False) -> DataFrame:
-    """Encode every text and decode it again: ``doc_id``, ``n_tokens``, ``ids``, ``decoded``.
+def encode_documents(docs: DataFrame, path: str, columns: tuple[str, ...] = ("ids", "decoded"), id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """Encode every text and decode it again: ``doc_id``, ``n_tokens`` and the chosen columns.
 
-    With ``digests`` the ids and the decoded text are replaced by their SHA-256
-    (``ids_sha256`` over little-endian unsigned 32-bit ids, ``decoded_sha256`` over
-    UTF-8), so neither leaves the task.  One row per input row, no shuffle.  A null
-    text is encoded as the empty text: no tokens.  Null ids are passed on.
+    Columns: ``ids``, ``decoded`` (the ids decoded again), and their SHA-256,
+    ``ids_sha256`` (over little-endian unsigned 32-bit ids) and ``decoded_sha256``
+    (over UTF-8).  One row per input row, no shuffle.  A null text is encoded as the
+    empty text: no tokens.  Null ids are passed on.
     """
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(path))  # a vocabulary file of fixed size
-    out = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests
-                                            else "ids array<long>, decoded string")
+    schema = ", ".join(["doc_id long, n_tokens long", *(f"{c} {_SQL[c]}" for c in columns)])
     return (docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(text_col, F.lit("")).alias("__body"))
-            .mapInArrow(_encoded(spec, not digests), out))
+            .mapInArrow(_encoded(spec, columns), schema))
 
 
 def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cafetal.llm import ann, bpe, decontam, licenses, linededup, pii, sharding, simhash, toxicity
+from cafetal.llm import ann, bpe, decontam, licenses, linededup, maxent, pii, sharding, simhash, toxicity
 from cafetal.llm.common import table
 
 
@@ -22,7 +22,8 @@ def vocabulary() -> str:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), digests=True)
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(),
+                                ("ids_sha256", "decoded_sha256"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
 
+def op6_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(linededup.dedup_lines(table(spark, sf_dir, "documents")))
 
@@ -57,7 +62,7 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_learned_partitions, op2_bpe, op3_toxicity, op4_pii, op5_simhash, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
+    return {f.__name__: f for f in (op1_learned_partitions, op2_bpe, op3_toxicity, op4_pii, op5_simhash, op6_maxent_lm, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -38,7 +38,8 @@ def _fingerprints(shingle: int):
     def run(batches):
         for b in slices(batches):
             fp = np.array([fingerprint(t, shingle) for t in column(b, "__body")], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["__id", "__fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))],
+                                             names=["__id", "__text", "__fp"])
 
     return run
 
@@ -224,6 +225,18 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def _clusters(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int) -> DataFrame:
+    """One row per input row: ``__id``, ``__text`` (hash of the text), ``__fp`` and its group's ``root``."""
+    body = F.coalesce(F.col(text_col), F.lit(""))
+    prints = materialise(
+        docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(body).alias("__text"), body.alias("__body"))
+        .mapInArrow(_fingerprints(shingle), "__id long, __text long, __fp long"), "fingerprints")
+    nodes = materialise(prints.select("__fp").distinct(), "fingerprint-nodes")
+    roots = components(link(nodes, bits))
+    return prints.join(roots, F.col("__fp") == F.col("node"), "left").select(
+        "__id", "__text", "__fp", F.coalesce("root", "__fp").alias("root"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                bits: int = 2) -> DataFrame:
     """Fingerprint and component of every document: ``doc_id``, ``fingerprint``, ``component_id``.
@@ -236,17 +249,28 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linking; a component without any other id has a null component id.
 
     Plan: equal fingerprints are one node, however many documents share it, so the
-    join and the components see distinct fingerprints only; the last join that
-    hands a component to its documents is on (id, fingerprint) rows of 16 bytes,
-    where the runtime splits a fingerprint shared by a third of all rows.
+    join and the components see distinct fingerprints only; the last joins, which
+    hand a component to its documents, are on rows of three numbers, where the
+    runtime splits a fingerprint shared by a third of all rows.
     """
-    prints = materialise(
-        docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(text_col, F.lit("")).alias("__body"))
-        .mapInArrow(_fingerprints(shingle), "__id long, __fp long"), "fingerprints")
-    nodes = materialise(prints.groupBy("__fp").agg(F.min("__id").alias("__first")), "fingerprint-nodes")
-    roots = components(link(nodes, bits))
-    labelled = nodes.join(roots, F.col("__fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "__fp"))
-    smallest = labelled.groupBy("root").agg(F.min("__first").alias("component_id"))
-    named = labelled.join(smallest, "root").select(F.col("__fp").alias("__named"), "component_id")
-    return prints.join(named, F.col("__fp") == F.col("__named")).select(
+    rows = _clusters(docs, id_col, text_col, shingle, bits)
+    smallest = rows.groupBy(F.col("root").alias("__root")).agg(F.min("__id").alias("component_id"))
+    return rows.join(smallest, F.col("root") == F.col("__root")).select(
         F.col("__id").alias("doc_id"), F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+             bits: int = 2) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id.
+
+    A row without an id stays only if its component has no other; of rows equal in id
+    the one with the smallest text hash stays, and of rows equal in both any one.
+    """
+    rows = _clusters(docs, id_col, text_col, shingle, bits)
+    first = F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col("__text").alias("t")))
+    kept = rows.groupBy("root").agg(first.alias("k")).select(F.col("k.i").alias("__keep"), F.col("k.t").alias("__keep_text"))
+    body = F.coalesce(F.col(text_col), F.lit(""))
+    marked = docs.withColumns({"__kid": F.col(id_col).cast("long"), "__khash": F.xxhash64(body)})
+    return (marked.join(kept, F.col("__kid").eqNullSafe(F.col("__keep")) & (F.col("__khash") == F.col("__keep_text")),
+                        "left_semi")
+            .dropDuplicates(["__kid", "__khash"]).drop("__kid", "__khash"))

@@ -217,6 +217,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             .mapInArrow(run, "doc_id long, score double, predicted int"))
 
 
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score under 0.5, unchanged; judged where they are read, without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in slices(batches):
+            yield b.filter(pa.array([shared.value.score(t or "") < 0.5 for t in column(b, text_col)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(id_col: str = "doc_id", folds: int = 5):
     """The remainder that says which rows are held out: crc32 of the id as text."""
     return F.crc32(F.col(id_col).cast("long").cast("string").cast("binary")) % folds
