@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from cafetal import constants as K
 from cafetal.operators import quality as Q
 from cafetal.plans import pipeline as P
 from cafetal.plans.explain import explain_layer
@@ -32,6 +33,7 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--root", help="publish root (default: under spark.checkpoint.dir)")
     p.add_argument("--from", dest="start", choices=P.LAYERS, default="bronze",
                    help="layer to start from (default: bronze)")
+    p.add_argument("--allow-critical", action="store_true", help="publish although critical checks failed")
     p.add_argument("--validate-only", action="store_true", help="only validate the published tables")
     p.add_argument("--explain", choices=sorted(("silver", "gold")), help="print the plans of a layer")
     return p.parse_args(argv)
@@ -57,12 +59,15 @@ def main(argv=None) -> int:
         if args.start == "bronze":
             if args.csv:
                 bronze = C.bronze_typed(C.csv_union_by_name(spark, C.list_files(spark, args.csv)))
+                absent = [r["anio"] for r in Q.missing_years(bronze, *K.INGEST_YEARS).orderBy("anio").collect()]
+                if absent:
+                    print(f"warning: years without data: {', '.join(map(str, absent))}")
             elif args.tables:
                 bronze = bronze_fixture(spark, args.tables)
             else:
                 print("--from bronze needs --csv or --tables", file=sys.stderr)
                 return 2
-        result = P.run_layers(spark, bronze, root, args.start)
+        result = P.run_layers(spark, bronze, root, args.start, stop_on_critical=not args.allow_critical)
         for table, path in sorted(result.tables.items()):
             print(f"{table:24s} {path}")
         report = P.run_layers(spark, None, root, validate_only=True)

@@ -49,6 +49,8 @@ ICC_MAX_POINTS = 40
 
 # --- fixed values: ingest ------------------------------------------------------
 INGEST_YEARS = (2015, 2024)
+COVERAGE = ("2015-01-01", "2025-12-31")      # declared days of the series, inclusive
+MONTHS = 12                                  # rows of the summary per point
 YEARLY_FILE_PREFIX = "ERA5_EC_"              # yearly files are <prefix><year>.csv
 INGEST_BBOX = (-76.1, 4.0, -75.2, 5.6)       # lon_min, lat_min, lon_max, lat_max
 SOURCE_COLUMNS = {                            # source name -> bronze name

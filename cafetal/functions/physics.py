@@ -41,8 +41,8 @@ def saturation_vp_kpa(temp_c) -> Column:
 
 
 def vpd_kpa(temp_c, rh_pct) -> Column:
-    """Vapour pressure deficit es(T) * (1 - RH/100), kPa, 4 decimals."""
-    return rnd(saturation_vp_kpa(temp_c) * (F.lit(1.0) - _c(rh_pct) / F.lit(100.0)), 4)
+    """Vapour pressure deficit es(T) * (1 - RH/100), kPa, 4 decimals; RH above 100 counts as 100."""
+    return rnd(saturation_vp_kpa(temp_c) * (F.lit(1.0) - rh_clip(rh_pct) / F.lit(100.0)), 4)
 
 
 def gdd(temp_c, base: float = GDD_BASE_C) -> Column:

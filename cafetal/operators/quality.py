@@ -1,7 +1,7 @@
 """Quality checks, contracts and the validation report, as fused aggregations.
 
-Every table is profiled in ONE aggregate pass (row count, null counts, range
-and CHECK violations together) plus one grouped pass per key for duplicates.
+Every table is read ONCE: row count, null counts, range and CHECK violations
+and duplicates come from one grouping by its key, summed up afterwards.
 Results stay DataFrames: a report row is built by exploding an array of
 structs over the one-row profile, so nothing but the final small report needs
 to reach the driver.  Counts from different tables are combined by a union
@@ -37,6 +37,15 @@ def duplicate_count(df: DataFrame, keys: list[str], alias: str = "duplicados") -
     return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias(alias))
 
 
+def table_profile(df: DataFrame, keys: list[str], counts: dict[str, Column], dup: str, rows: str = "_n") -> DataFrame:
+    """One row: rows, duplicated key values and counts of conditions, from one scan and one grouping."""
+    if not keys:
+        return df.agg(F.count(F.lit(1)).alias(rows), *(count_if(c).alias(k) for k, c in counts.items()))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows), *(count_if(c).alias(k) for k, c in counts.items()))
+    return per_key.agg(count_if(F.col(rows) > 1).alias(dup),
+                       *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (rows, *counts)))
+
+
 def side_by_side(*frames: DataFrame) -> DataFrame:
     """Combine one-row frames of integer metrics into one row, without a join.
 
@@ -86,60 +95,63 @@ def _silver_ranges() -> dict[str, Column]:
 CHECKS = ("row_count", "pk_unicidad", "no_nulls", "row_consistency", "rango_fisico")
 
 
-def validation_report(bronze: DataFrame, silver: DataFrame, ranking: DataFrame,
-                      seasonality: DataFrame, checks: tuple[str, ...] = CHECKS) -> DataFrame:
+def validation_report(bronze: DataFrame | None, silver: DataFrame | None, ranking: DataFrame | None,
+                      seasonality: DataFrame | None, checks: tuple[str, ...] = CHECKS) -> DataFrame:
     """Check rows (check, capa, paso, detalle, critico) for the four tables.
 
-    Only the profiles the selected ``checks`` need are computed: one aggregate
-    per table (Catalyst prunes the unused aggregate columns) and one grouped
-    pass per key for the duplicate checks.
+    Each table is read once: rows, nulls, ranges and duplicates come from one
+    grouping by its key (no grouping if uniqueness is not asked for).  A table given
+    as None is reported as a failed row count, and its other checks are left out.
     """
-    cols = detect_columns(bronze.columns)
-    b = bronze.withColumnsRenamed({v: k for k, v in cols.items() if v != k and v in bronze.columns})
     rng = _silver_ranges()
-    frames = []
-    if {"row_count", "no_nulls", "row_consistency"} & set(checks):
-        frames.append(b.agg(F.count(F.lit(1)).alias("b_n"),
-                            *(count_if(F.col(c).isNull()).alias(f"b_null_{c}")
-                              for c in BRONZE_NULL_COLS if c in b.columns)))
-    if {"row_count", "no_nulls", "row_consistency", "rango_fisico"} & set(checks):
-        frames.append(silver.agg(F.count(F.lit(1)).alias("s_n"),
-                                 *(count_if(F.col(c).isNull()).alias(f"s_null_{c}")
-                                   for c in SILVER_NULL_COLS),
-                                 *(count_if(cond).alias(f"s_rng_{c}") for c, cond in rng.items())))
-    if "row_count" in checks:
-        frames += [ranking.agg(F.count(F.lit(1)).alias("r_n")),
-                   seasonality.agg(F.count(F.lit(1)).alias("e_n"))]
-    if "pk_unicidad" in checks:
+    unique = "pk_unicidad" in checks
+    nulls, ranges = "no_nulls" in checks, "rango_fisico" in checks
+    given = {"b": bronze, "s": silver, "r": ranking, "e": seasonality}
+    frames, bronze_cols = [], []
+    if bronze is not None:
+        cols = detect_columns(bronze.columns)
+        b = bronze.withColumnsRenamed({v: k for k, v in cols.items() if v != k})
+        bronze_cols = [c for c in BRONZE_NULL_COLS if c in b.columns]
+        frames.append(table_profile(b, ["fecha", "latitud", "longitud"] if unique else [],
+                                    {f"b_null_{c}": F.col(c).isNull() for c in bronze_cols if nulls}, "b_dup", "b_n"))
+    if silver is not None:
+        conditions = {f"s_null_{c}": F.col(c).isNull() for c in SILVER_NULL_COLS if nulls}
+        conditions |= {f"s_rng_{c}": cond for c, cond in rng.items() if ranges}
         # serialized keys are checked through the typed columns they encode
         # (pk_silver = fecha|lat|lon, pk_gold = lat|lon): same counts, smaller shuffle
-        frames += [duplicate_count(b, ["fecha", "latitud", "longitud"], "b_dup"),
-                   duplicate_count(silver, SILVER_KEY, "s_dup"),
-                   duplicate_count(ranking, RANKING_KEY, "r_dup"),
-                   duplicate_count(seasonality, ["pk_estacional_mes"], "e_dup")]
+        frames.append(table_profile(silver, SILVER_KEY if unique else [], conditions, "s_dup", "s_n"))
+    if ranking is not None:
+        frames.append(table_profile(ranking, RANKING_KEY if unique else [], {}, "r_dup", "r_n"))
+    if seasonality is not None:
+        frames.append(table_profile(seasonality, ["pk_estacional_mes"] if unique else [], {}, "e_dup", "e_n"))
+    if not frames:
+        raise ValueError("no table to validate")
     p = side_by_side(*frames)
 
     rows = []
     if "row_count" in checks:
         for capa, c in (("BRONZE", "b_n"), ("SILVER", "s_n"), ("GOLD_RANKING", "r_n"),
                         ("GOLD_ESTACIONAL", "e_n")):
-            rows.append(_row("row_count", capa, F.col(c) > 0, F.concat(_n(c), F.lit(" filas"))))
+            rows.append(_row("row_count", capa, F.col(c) > 0, F.concat(_n(c), F.lit(" filas")))
+                        if given[c[0]] is not None else
+                        _row("row_count", capa, F.lit(False), F.lit("no publicado")))
     if "pk_unicidad" in checks:
         for capa, c in (("BRONZE", "b_dup"), ("SILVER", "s_dup"), ("GOLD_RK", "r_dup"),
                         ("GOLD_ES", "e_dup")):
+            if given[c[0]] is None:
+                continue
             rows.append(_row("pk_unicidad", capa, F.col(c) == 0,
                              F.concat(_n(c), F.lit(" duplicados"))))
     if "no_nulls" in checks:
-        for c in BRONZE_NULL_COLS:
-            if c in b.columns:
-                k = f"b_null_{c}"
-                rows.append(_row("no_nulls", f"BRONZE.{c}", F.col(k) == 0,
-                                 F.concat(_n(k), F.lit(" nulos"))))
-        for c in SILVER_NULL_COLS:
+        for c in bronze_cols:
+            k = f"b_null_{c}"
+            rows.append(_row("no_nulls", f"BRONZE.{c}", F.col(k) == 0,
+                             F.concat(_n(k), F.lit(" nulos"))))
+        for c in SILVER_NULL_COLS if silver is not None else ():
             k = f"s_null_{c}"
             rows.append(_row("no_nulls", f"SILVER.{c}", F.col(k) == 0,
                              F.concat(_n(k), F.lit(" nulos"))))
-    if "row_consistency" in checks:
+    if "row_consistency" in checks and bronze is not None and silver is not None:
         loss = F.abs(F.col("b_n") - F.col("s_n")).cast("double") * F.lit(100.0) / F.nullif(
             F.col("b_n").cast("double"), F.lit(0.0))
         rows.append(_row("row_consistency", "BRONZE->SILVER",
@@ -148,7 +160,7 @@ def validation_report(bronze: DataFrame, silver: DataFrame, ranking: DataFrame,
                                   F.lit(" perdida_pct="),
                                   F.coalesce(rnd(loss, 2).cast("string"), F.lit("NULL"))),
                          critico=False))
-    if "rango_fisico" in checks:
+    if ranges and silver is not None:
         for c in rng:
             k = f"s_rng_{c}"
             rows.append(_row("rango_fisico", f"SILVER.{c}", F.col(k) == 0,
@@ -197,16 +209,16 @@ def gold_gates(ranking_df: DataFrame, seasonality_df: DataFrame, summary_df: Dat
                       ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
                       seasonality_df.agg(F.count(F.lit(1)).alias("filas_estacional")),
                       summary_df.agg(F.count(F.lit(1)).alias("filas_resumen")))
-    return p.withColumn("esperado", F.col("filas_ranking") * F.col("filas_estacional"))
+    return p.withColumn("esperado", F.col("filas_ranking") * F.lit(K.MONTHS))
 
 
 def summary_cardinality(ranking_df: DataFrame, summary_df: DataFrame,
                         seasonality_df: DataFrame) -> DataFrame:
-    """One row: summary rows against ranking rows x seasonality rows."""
+    """One row: summary rows against ranking rows x 12 months; ``ok`` is false if a month is absent."""
     p = side_by_side(ranking_df.agg(F.count(F.lit(1)).alias("filas_ranking")),
                       seasonality_df.agg(F.count(F.lit(1)).alias("filas_estacional")),
                       summary_df.agg(F.count(F.lit(1)).alias("filas_resumen")))
-    esperado = F.col("filas_ranking") * F.col("filas_estacional")
+    esperado = F.col("filas_ranking") * F.lit(K.MONTHS)
     return p.select("filas_ranking", "filas_estacional", "filas_resumen",
                     esperado.alias("esperado"), (F.col("filas_resumen") == esperado).alias("ok"))
 
@@ -226,21 +238,28 @@ def coords_in_country(bronze: DataFrame) -> DataFrame:
                       count_if(F.coalesce(outside, F.lit(True))).alias("fuera_de_pais"))
 
 
-def date_gaps(silver: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Point-days missing from each point's coverage.
+def date_gaps(silver: DataFrame, start: str = K.COVERAGE[0], end: str = K.COVERAGE[1]) -> DataFrame:
+    """Point-days missing from the declared coverage [start, end] (days outside it don't count).
 
-    The expected calendar of a point is [start, end] when given, else the
-    point's own first..last date; it is generated per point with ``sequence``
-    (bounded by the calendar span) and compared with an anti-join on
-    (lat, lon, fecha), which spreads evenly even if one point is hot.
+    The days of a point and month are one bit mask, so the only shuffle of daily
+    rows is a partially aggregated one, and what follows is a row per point and
+    month.  A bad date can't widen the calendar: the coverage bounds it.
     """
-    pts = silver.groupBy("lat", "lon").agg(F.min("fecha").alias("_d0"), F.max("fecha").alias("_d1"))
-    d0 = F.lit(start).cast("date") if start else F.col("_d0")
-    d1 = F.lit(end).cast("date") if end else F.col("_d1")
-    expected = pts.select("lat", "lon", F.explode(F.sequence(d0, d1, F.expr("INTERVAL 1 DAY")))
-                          .alias("fecha"))
-    present = silver.select("lat", "lon", "fecha")
-    return expected.join(present, ["lat", "lon", "fecha"], "left_anti")
+    first = F.trunc(F.lit(start).cast("date"), "month")
+    inside = silver.filter(F.col("fecha").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    month = F.trunc("fecha", "month")
+    masks = (inside.groupBy("lat", "lon", month.alias("_m"))
+             .agg(F.bit_or(F.expr("shiftleft(1, day(fecha) - 1)")).alias("_days")))
+    points = silver.select("lat", "lon").distinct()  # a point with no day inside misses all of it
+    per_point = (masks.groupBy("lat", "lon").agg(F.map_from_entries(F.collect_list(F.struct("_m", "_days"))).alias("_seen"))
+                 .join(points, ["lat", "lon"], "right"))
+    months = per_point.select("lat", "lon", "_seen", F.explode(
+        F.sequence(first, F.lit(end).cast("date"), F.expr("INTERVAL 1 MONTH"))).alias("_m"))
+    seen = F.coalesce(F.element_at("_seen", F.col("_m")), F.lit(0))
+    absent = F.filter(F.sequence(F.greatest(F.col("_m"), F.lit(start).cast("date")),
+                                 F.least(F.last_day("_m"), F.lit(end).cast("date")), F.expr("INTERVAL 1 DAY")),
+                      lambda d: seen.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.dayofmonth(d) - 1)) == 0)
+    return months.select("lat", "lon", F.explode(absent).alias("fecha"))
 
 
 def missing_years(bronze: DataFrame, first: int, last: int) -> DataFrame:
@@ -261,6 +280,7 @@ class Rule:
     dtype: str
     nullable: bool = True
     check: str | None = None       # SQL predicate; NULL passes, as a CHECK constraint
+    audit: bool = False            # written by a run; looked for only where the run has added it
 
 
 @dataclass
@@ -268,11 +288,14 @@ class Contract:
     table: str
     rules: list[Rule]
     primary_key: list[str] = field(default_factory=list)
+    typed_key: list[str] = field(default_factory=list)   # columns that a serialized key encodes
+    surrogate: str | None = None                         # a random key besides, unique in written tables
 
 
 # --- fixed values: layer contracts (types, NOT NULL, CHECK, keys) ---------------
 CONTRACTS = {
     "bronze": Contract("bronze", [
+        Rule("row_id", "string", False, audit=True),
         Rule("fecha", "date", False),
         Rule("latitud", "double", False),
         Rule("longitud", "double", False),
@@ -281,7 +304,7 @@ CONTRACTS = {
         Rule("lluvia_m", "double", False, "lluvia_m >= 0"),
         Rule("rad_j_m2", "double", False, "rad_j_m2 >= 0"),
         Rule("evap_pot_m", "double", True, "evap_pot_m >= 0"),
-    ], ["fecha", "latitud", "longitud"]),
+    ], ["fecha", "latitud", "longitud"], surrogate="row_id"),
     "silver": Contract("silver", [
         Rule("pk_silver", "string", False),
         Rule("fecha", "date", False),
@@ -294,7 +317,8 @@ CONTRACTS = {
         Rule("rain_mm", "double", False, "rain_mm >= 0"),
         Rule("rad_mj_m2", "double", False, "rad_mj_m2 >= 0"),
         Rule("evap_pot_mm", "double", True, "evap_pot_mm >= 0"),
-    ], ["pk_silver"]),
+        Rule("processed_at", "timestamp", False, audit=True),
+    ], ["pk_silver"], typed_key=SILVER_KEY),
     "ranking": Contract("ranking", [
         Rule("pk_gold", "string", False),
         Rule("lat", "double", False),
@@ -303,42 +327,52 @@ CONTRACTS = {
         Rule("dias_evaluados", "bigint", False, "dias_evaluados > 0"),
         Rule("dias_optimos", "bigint", False, "dias_optimos >= 0"),
         Rule("pct_optimos", "double", False, "pct_optimos BETWEEN 0 AND 100"),
-    ], ["pk_gold"]),
+        Rule("aggregated_at", "timestamp", False, audit=True),
+    ], ["pk_gold"], typed_key=RANKING_KEY),
     "seasonality": Contract("seasonality", [
         Rule("pk_estacional_mes", "int", False, "pk_estacional_mes BETWEEN 1 AND 12"),
         Rule("score_mensual_promedio", "double", False),
         Rule("variabilidad_score", "double", False, "variabilidad_score >= 0"),
         Rule("confort_pct", "double", False, "confort_pct BETWEEN 0 AND 100"),
+        Rule("aggregated_at", "timestamp", False, audit=True),
     ], ["pk_estacional_mes"]),
 }
 
 
-def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Rows (tabla, columna, regla, violaciones) for every rule, from one pass + one key pass.
+def contract_violations(df: DataFrame, contract: Contract, audited: bool = False) -> DataFrame:
+    """Rows (tabla, columna, regla, violaciones) for every rule, from one scan.
 
-    Type and presence rules are metadata (no job); NOT NULL and CHECK rules are
-    counted in a single aggregate; the key rule counts duplicated key values.
+    Type and presence rules are metadata (no job).  NOT NULL, CHECK and key rules
+    come from one grouping by the key's typed columns: counts per key value are
+    partial sums, so the table is read once.  ``audited`` includes the audit
+    columns, which only written tables have, and the surrogate key.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    aggs, rows = [], []
+    counts, rows = {}, []
     for r in contract.rules:
+        if r.audit and not audited:
+            continue
         present = r.column in types
         rows.append((r.column, "tipo", F.lit(0 if present and types[r.column] == r.dtype else 1)))
         if not present:
             continue
         if not r.nullable:
-            a = f"nn_{r.column}"
-            aggs.append(count_if(F.col(r.column).isNull()).alias(a))
-            rows.append((r.column, "not_null", F.col(a)))
+            counts[f"nn_{r.column}"] = F.col(r.column).isNull()
+            rows.append((r.column, "not_null", F.col(f"nn_{r.column}")))
         if r.check:
-            a = f"ck_{r.column}"
-            aggs.append(count_if(~F.expr(r.check)).alias(a))
-            rows.append((r.column, "check", F.col(a)))
-    prof = df.agg(F.count(F.lit(1)).alias("_n"), *aggs)
-    key = ",".join(contract.primary_key)
-    if all(k in types for k in contract.primary_key):
-        prof = side_by_side(prof, duplicate_count(df, contract.primary_key, "pk_dup"))
-        rows.append((key, "primary_key", F.col("pk_dup")))
+            counts[f"ck_{r.column}"] = ~F.expr(r.check)
+            rows.append((r.column, "check", F.col(f"ck_{r.column}")))
+    key = contract.typed_key or contract.primary_key
+    known = all(k in types for k in key)
+    prof = table_profile(df, key if known else [], counts, "pk_dup")
+    if known:
+        rows.append((",".join(contract.primary_key), "primary_key", F.col("pk_dup")))
+    if audited and contract.surrogate in types:
+        # 64-bit hashes of the random ids are grouped; only hashes that repeat are looked at again
+        ids = df.select(contract.surrogate, F.xxhash64(contract.surrogate).alias("_h"))
+        again = ids.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h")
+        prof = side_by_side(prof, duplicate_count(ids.join(again, "_h", "left_semi"), [contract.surrogate], "id_dup"))
+        rows.append((contract.surrogate, "primary_key", F.col("id_dup")))
     structs = [F.struct(F.lit(contract.table).alias("tabla"), F.lit(c).alias("columna"),
                         F.lit(rule).alias("regla"), v.cast("bigint").alias("violaciones"))
                for c, rule, v in rows]

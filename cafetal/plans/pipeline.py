@@ -1,25 +1,30 @@
 """Layer orchestration: bronze -> silver -> gold with gates before publishing.
 
 Publishing without transactions: every run writes its tables under
-``<root>/runs/<run_id>/``, reads them back and checks them there, and only
-then replaces the small ``<root>/_CURRENT`` pointer (one row per table with
-its location) that readers resolve.  A run that fails a gate leaves the
-pointer, and therefore the published data, alone.  Each written table also
-cuts the lineage, so a lost executor only recomputes from the last written
-layer.
+``<root>/runs/<run_id>/``, reads them back, validates them there, and only
+then adds one small immutable entry under ``<root>/versions/`` with the
+locations of its own tables.  Readers take each table's newest entry, so two
+runs at once lose nothing of each other, a crash before the entry leaves the
+old tables current, and an entry that can't be read is an error.  Each written
+table also cuts the lineage, so a lost executor only recomputes from the last
+written layer.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cafetal import constants as K
 from cafetal.operators import gold as G
+from cafetal.operators import mapdata as M
 from cafetal.operators import quality as Q
 from cafetal.operators import silver as S
 from cafetal.sources import io
@@ -42,16 +47,22 @@ class RunResult:
 def current_tables(spark: SparkSession, root: str) -> dict[str, str]:
     """Published table locations (empty if nothing was ever published)."""
     try:
-        rows = spark.read.schema("tabla string, ruta string").json(f"{root}/_CURRENT").collect()
-    except Exception:  # noqa: BLE001 - no pointer yet
+        entries = (spark.read.schema("orden bigint, corrida string, tabla string, ruta string")
+                   .option("mode", "FAILFAST").json(f"{root}/versions/*"))
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return {}
-    return {r["tabla"]: r["ruta"] for r in rows}
+    newest = entries.groupBy("tabla").agg(F.max_by("ruta", F.struct("orden", "corrida")).alias("ruta"))
+    return {r["tabla"]: r["ruta"] for r in newest.collect()}
 
 
-def _publish(spark: SparkSession, root: str, tables: dict[str, str]) -> None:
-    merged = {**current_tables(spark, root), **tables}
-    (spark.createDataFrame(sorted(merged.items()), "tabla string, ruta string")
-          .coalesce(1).write.mode("overwrite").json(f"{root}/_CURRENT"))
+def _publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, str]) -> None:
+    order = time.time_ns()
+    entry = spark.createDataFrame([(order, run_id, t, path) for t, path in sorted(tables.items())],
+                                  "orden bigint, corrida string, tabla string, ruta string")
+    # one file, moved into place when it is complete
+    entry.coalesce(1).write.mode("error").json(f"{root}/versions/{order}-{run_id}")
 
 
 def published(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -97,14 +108,18 @@ def add_row_ids(spark: SparkSession, bronze: DataFrame, path: str) -> DataFrame:
     """
     if "row_id" in bronze.columns:
         return bronze
-    io.write_parquet(bronze.select(F.expr("uuid()").alias("row_id"), "*"), path)
+    before = Observation("filas")  # rows are counted while they are written, not by another scan of the source
+    io.write_parquet(bronze.observe(before, F.count(F.lit(1)).alias("antes"))
+                     .select(F.expr("uuid()").alias("row_id"), "*"), path)
     written = spark.read.parquet(path)
-    chk = Q.side_by_side(bronze.agg(F.count(F.lit(1)).alias("antes")),
-                         written.agg(F.count(F.lit(1)).alias("despues")),
-                         Q.duplicate_count(written, ["row_id"], "ids_repetidos")).first()
-    if chk["ids_repetidos"] or chk["antes"] != chk["despues"]:
+    # ids are compared through 64-bit hashes; only ids whose hash repeats are compared themselves
+    ids = written.select("row_id", F.xxhash64("row_id").alias("_h"))
+    again = ids.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h")
+    chk = Q.side_by_side(written.agg(F.count(F.lit(1)).alias("despues")),
+                         Q.duplicate_count(ids.join(again, "_h", "left_semi"), ["row_id"], "ids_repetidos")).first()
+    if chk["ids_repetidos"] or before.get["antes"] != chk["despues"]:
         raise GateError(f"surrogate ids: {chk['ids_repetidos']} repeated, "
-                        f"{chk['antes']} -> {chk['despues']} rows")
+                        f"{before.get['antes']} -> {chk['despues']} rows")
     return written
 
 
@@ -113,12 +128,17 @@ def publish_if_valid(spark: SparkSession, bronze: DataFrame, root: str,
     """Stage and check silver; publish only if every gate passes."""
     run_id = uuid.uuid4().hex[:12]
     tables = stage_silver(spark, bronze, f"{root}/runs/{run_id}", gate_pct)
-    _publish(spark, root, tables)
+    _publish(spark, root, run_id, tables)
     return RunResult(run_id, root, tables)
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, base: str) -> dict[str, str]:
-    """Write the cube once, derive ranking / seasonality / summary from it, check keys."""
+    """Write the cube once, derive ranking / seasonality / summary from it, check keys.
+
+    An empty silver is refused: it would publish an empty ranking.
+    """
+    if silver.limit(1).count() == 0:
+        raise GateError("silver is empty")
     cube_path = io.write_parquet(G.gold_cube(silver), f"{base}/_gold_cube")
     cube = spark.read.parquet(cube_path)
     paths = {"ranking": f"{base}/ranking", "seasonality": f"{base}/seasonality"}
@@ -136,10 +156,13 @@ def build_gold(spark: SparkSession, silver: DataFrame, base: str) -> dict[str, s
     if gate["filas_resumen"] != gate["esperado"]:
         # a warning, not a gate, as in the layer's documented behaviour
         print(f"warning: summary has {gate['filas_resumen']} rows, expected {gate['esperado']}")
-    paths.update({"seasonality_partitioned": f"{base}/seasonality_partitioned",
+    paths.update({"map_center": f"{base}/map_center", "map_feed": f"{base}/map_feed",
+                  "seasonality_partitioned": f"{base}/seasonality_partitioned",
                   "csv_ranking": f"{base}/csv/ranking", "csv_seasonality": f"{base}/csv/seasonality",
                   "csv_summary": f"{base}/csv/summary"})
     _concurrently(
+        lambda: io.write_parquet(M.map_center(rk), paths["map_center"]),
+        lambda: io.write_parquet(M.map_feed(rk), paths["map_feed"]),
         lambda: io.write_partitioned(es, paths["seasonality_partitioned"], ["pk_estacional_mes"]),
         lambda: io.export_csv(rk, paths["csv_ranking"], [F.col("score_final").desc(), "lat", "lon"]),
         lambda: io.export_csv(es, paths["csv_seasonality"],
@@ -153,28 +176,36 @@ REPORT_TABLES = (("bronze", "BRONZE"), ("silver", "SILVER"), ("ranking", "GOLD_R
                  ("seasonality", "GOLD_ESTACIONAL"))
 
 
-def validate_published(spark: SparkSession, root: str) -> DataFrame:
-    """Validation report of the published tables.
+def validate_tables(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """Validation report of written tables; an absent one is a failed row count (critical)."""
+    return Q.validation_report(*(spark.read.parquet(tables[t]) if t in tables else None for t, _ in REPORT_TABLES))
 
-    A table that is not published is reported as a failed row-count check
-    (critical) instead of raising; the other checks need all four tables.
-    """
+
+def contract_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """Contract violations (tabla, columna, regla, violaciones) of the written tables."""
+    parts = [Q.contract_violations(spark.read.parquet(tables[t]), Q.CONTRACTS[t], audited=True)
+             for t, _ in REPORT_TABLES if t in tables]
+    return reduce(DataFrame.unionByName, parts).filter("violaciones > 0")
+
+
+def validate_published(spark: SparkSession, root: str) -> DataFrame:
     tables = current_tables(spark, root)
-    missing = [capa for t, capa in REPORT_TABLES if t not in tables]
-    if not missing:
-        return Q.validation_report(*(spark.read.parquet(tables[t]) for t, _ in REPORT_TABLES))
-    rows = [("row_count", capa, capa not in missing,
-             "no publicado" if capa in missing else "publicado", True) for _, capa in REPORT_TABLES]
-    return spark.createDataFrame(rows, Q.REPORT_SCHEMA)
+    if not set(tables) & {t for t, _ in REPORT_TABLES}:
+        return spark.createDataFrame([("row_count", capa, False, "no publicado", True) for _, capa in REPORT_TABLES],
+                                     Q.REPORT_SCHEMA)
+    return validate_tables(spark, tables)
 
 
 def run_layers(spark: SparkSession, bronze: DataFrame | None, root: str, start: str = "bronze",
-               validate_only: bool = False, gate_pct: float = K.LOSS_GATE_PCT):
+               validate_only: bool = False, gate_pct: float = K.LOSS_GATE_PCT, stop_on_critical: bool = True):
     """Run from ``start`` (bronze | silver | gold), or only validate what is published.
 
     bronze: write bronze sorted by (fecha, latitud, longitud), then silver and gold.
     silver: silver and gold from the given bronze.  gold: gold from the published silver.
-    Raises ``GateError`` on a failed gate; publishes only when every table passed.
+    The staged tables, with the published ones for layers before ``start``, are validated
+    and their contracts evaluated before anything is published.  Raises ``GateError`` on a
+    failed gate and, with ``stop_on_critical``, on a failed critical check; the old tables
+    then stay current.  Contract violations are published as the table ``contracts``.
     ``validate_only`` returns the validation report of the published tables.
     """
     if validate_only:
@@ -193,14 +224,14 @@ def run_layers(spark: SparkSession, bronze: DataFrame | None, root: str, start:
         if start == "silver" and bronze is None:
             bronze = published(spark, root, "bronze")
         tables.update(stage_silver(spark, bronze, base, gate_pct, partitioned=False))
-        silver = spark.read.parquet(tables["silver"])
-        part = f"{base}/silver_partitioned"
-        _, gold = _concurrently(lambda: io.write_partitioned(silver, part, ["anio", "mes"],
-                                                             cluster_by=SILVER_CLUSTER),
-                                lambda: build_gold(spark, silver, base))
-        tables["silver_partitioned"] = part
+        gold = build_gold(spark, spark.read.parquet(tables["silver"]), base)
     else:
         gold = build_gold(spark, published(spark, root, "silver"), base)
     tables.update(gold)
-    _publish(spark, root, tables)
+    everything = {**current_tables(spark, root), **tables}
+    outcome = Q.verdict(validate_tables(spark, everything)).first()
+    if stop_on_critical and not outcome["aprobado"]:
+        raise GateError(f"{outcome['criticos']} critical checks failed")
+    tables["contracts"] = io.write_parquet(contract_report(spark, everything), f"{base}/contracts")
+    _publish(spark, root, run_id, tables)
     return RunResult(run_id, root, tables)

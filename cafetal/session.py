@@ -15,30 +15,46 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "cafetal") -> SparkSession:
-    """Session tuned for the pipeline; reuses an active session if one exists."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder
-        .master(master or f"local[{cpus}]")
-        .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.parquet.compression.codec", "zstd")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("CAFETAL_DRIVER_MEMORY", "16g"))
-    )
+# Defaults of this library; what the cluster or the caller has set stays.
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+# Settings of a run on one machine (tests, bench, scripts); never applied to a cluster.
+LOCAL = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+
+
+def build_session(app_name: str = "cafetal", **settings: str) -> SparkSession:
+    """A session with the submitted settings; reuses an active one.
+
+    Master, parallelism and memory are the cluster's: they are taken as submitted
+    unless passed here (``settings``: names with ``__`` for dots).  Library defaults
+    only fill what is unset.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    for name, value in settings.items():
+        builder = builder.config(name.replace("__", "."), value)
     spark = builder.getOrCreate()
+    set_before = spark.sparkContext.getConf()
+    for name, value in DEFAULTS.items():
+        if not set_before.contains(name):
+            spark.conf.set(name, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def local_session(app_name: str = "cafetal") -> SparkSession:
+    """A session on this machine for bench and scripts: ``BENCH_CPUS`` threads and as many partitions."""
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    return build_session(app_name, spark__master=f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
+                         spark__driver__memory=os.environ.get("CAFETAL_DRIVER_MEMORY", "16g"),
+                         **{k.replace(".", "__"): v for k, v in LOCAL.items()})
+
+
+def _machine_local(path: str) -> bool:
+    return path.startswith("file:") or "://" not in path
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``.
 
@@ -48,6 +64,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if not sc.master.startswith("local") and _machine_local(configured) and sc.getConf().get(
+                "spark.cafetal.checkpoint.mounted", "false") != "true":
+            raise RuntimeError(f"spark.checkpoint.dir is {configured!r}, a local path: name a shared folder, or set "
+                               "spark.cafetal.checkpoint.mounted=true if every machine mounts it")
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")

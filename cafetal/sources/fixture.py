@@ -19,11 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (day, grid point) with bronze names and units (K, m, J/m2)."""
+    """One row per (day, grid point) with bronze names and units (K, m, J/m2).
+
+    Every supplier is a point of its own, so points and rows grow with the tables;
+    about a sixth of the points lies outside the gold region.
+    """
     li = table(spark, sf_dir, "lineitem")
     g = (li.groupBy(F.col("l_shipdate").cast("date").alias("fecha"),
-                    (F.col("l_suppkey") % 18).alias("i"),
-                    ((F.col("l_suppkey") * 7) % 19).alias("j"))
+                    F.col("l_suppkey").cast("long").alias("s"))
          .agg(F.max("l_quantity").alias("q"),
               rnd(F.min("l_discount") * 100, 0).alias("d"),
               rnd(F.min("l_tax") * 100, 0).alias("t"),
@@ -34,8 +37,9 @@ def bronze_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_k = (F.lit(28315.0) + F.lit(40.0) * q)
     return g.select(
         "fecha",
-        ((F.lit(-76199525) + F.lit(100000) * F.col("j")).cast("double") / F.lit(1e6)).alias("longitud"),
-        ((F.lit(4099607) + F.lit(100000) * F.col("i")).cast("double") / F.lit(1e6)).alias("latitud"),
+        ((F.lit(-76600000) + F.lit(10000) * ((F.col("s") * 31) % 220)
+          + F.floor(F.col("s") / F.lit(22000.0)).cast("long")).cast("double") / F.lit(1e6)).alias("longitud"),
+        ((F.lit(3900007) + F.lit(100) * ((F.col("s") * 7919) % 22000)).cast("double") / F.lit(1e6)).alias("latitud"),
         F.when((n == 6) & (q == 1), F.lit(None).cast("double"))
          .when((n == 5) & (q == 50) & (t == 8), F.lit(999.0))
          .otherwise(base_k / F.lit(1e2)).alias("temp_k"),
@@ -47,7 +51,10 @@ def bronze_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coarse_grid_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 0.25-degree grid with one value per cell, from ``supplier``."""
+    """A 0.25-degree grid with one value per cell, from ``supplier``.
+
+    The grid is a fixed region of 9 x 9 cells; only the values read grow.
+    """
     s = table(spark, sf_dir, "supplier")
     lat = (F.lit(4010000) + F.lit(250000) * (F.col("s_suppkey") % 9)).cast("double") / F.lit(1e6)
     lon = ((F.lit(-76490000) + F.lit(250000) * (F.floor(F.col("s_suppkey") / F.lit(9.0)).cast("bigint") % 9))
@@ -56,8 +63,8 @@ def coarse_grid_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly point readings in UTC: point = user_id % 10, reading = value, time = ts."""
+    """Hourly point readings in UTC: point = user_id, reading = value, time = ts."""
     ev = table(spark, sf_dir, "events")
-    return ev.select("event_id", (F.col("user_id") % 10).alias("punto"),
+    return ev.select("event_id", F.col("user_id").alias("punto"),
                      F.col("ts").alias("ts_utc"), F.col("value").alias("lectura"))
 

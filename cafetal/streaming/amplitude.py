@@ -53,9 +53,9 @@ def amplitude_stream(readings: DataFrame, lateness: str = "1 day") -> DataFrame:
 
 
 def readings_from_events(spark: SparkSession, source: str) -> DataFrame:
-    """Streaming hourly readings from event files (point = user_id % 10)."""
+    """Streaming hourly readings from event files (point = user_id)."""
     ev = spark.readStream.schema(EVENTS_SCHEMA).parquet(source)
-    return ev.select((F.col("user_id") % 10).alias("punto"), F.col("ts").alias("ts_utc"),
+    return ev.select(F.col("user_id").alias("punto"), F.col("ts").alias("ts_utc"),
                      F.col("value").alias("lectura"))
 
 

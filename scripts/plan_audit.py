@@ -15,12 +15,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cafetal.plans import catalog  # noqa: E402
 from cafetal.plans.explain import plan_facts, plan_text  # noqa: E402
-from cafetal.session import build_session  # noqa: E402
+from cafetal.session import local_session  # noqa: E402
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session()
+    spark = local_session()
     cols = None
     lines = []
     for name, fn in catalog.queries().items():

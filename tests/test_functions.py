@@ -101,3 +101,28 @@ def test_rnd_agrees_with_decimal_round_of_the_scaled_double(spark):
     assert all(math.copysign(1.0, z) == 1.0 for z in zeros)     # never -0.0
     nan = spark.createDataFrame([(float("nan"),)], "v double").select(rnd("v", 2)).first()[0]
     assert nan != nan
+
+
+def test_keys_near_zero_have_no_exponent(spark):
+    from cafetal.functions import composite_key
+    df = spark.createDataFrame([(0.0005, -0.0001, 3), (4.5, 0.0, 12), (1e-6, None, 1)], "a double, b double, m int")
+    assert [r[0] for r in df.select(composite_key("a", "b", "m")).collect()] == [
+        "0.0005|-0.0001|3", "4.5|0.0|12", "0.000001||1"]
+
+
+def test_deficit_is_zero_above_full_humidity(spark):
+    from cafetal.functions import vpd_kpa
+    df = spark.createDataFrame([(20.0, 120.0), (20.0, 100.0), (20.0, 50.0)], "t double, rh double")
+    got = [r[0] for r in df.select(vpd_kpa("t", "rh")).collect()]
+    assert got[:2] == [0.0, 0.0] and got[2] > 1
+
+
+def test_column_detection():
+    import pytest
+
+    from cafetal.operators.silver import detect_columns
+    assert detect_columns(["Latitude", "lon", "date_obs", "updated_at"]) == {
+        "latitud": "Latitude", "longitud": "lon", "fecha": "date_obs"}
+    for bad in (["lat", "lon", "updated_at"], ["lat", "latitud", "lon", "fecha"], ["lat", "lon", "fecha", "run_date"]):
+        with pytest.raises(ValueError):
+            detect_columns(bad)

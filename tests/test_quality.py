@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,14 +76,42 @@ def test_contract_counts_check_and_not_null(spark):
     assert got[("pk_estacional_mes", "tipo")] == 0
 
 
-def test_date_gaps_with_explicit_range(spark):
-    import datetime as dt
-    s = spark.createDataFrame([(4.5, -75.5, dt.date(2020, 1, 1)), (4.5, -75.5, dt.date(2020, 1, 4))],
-                              "lat double, lon double, fecha date")
-    got = rows(Q.date_gaps(s))
-    assert [r[2] for r in got] == [dt.date(2020, 1, 2), dt.date(2020, 1, 3)]
-    got = rows(Q.date_gaps(s, "2019-12-31", "2020-01-04"))
-    assert len(got) == 3
+def test_date_gaps_cover_the_declared_range(spark):
+    day = datetime.date
+    s = spark.createDataFrame([(4.5, -75.5, day(2020, 1, 1)), (4.5, -75.5, day(2020, 1, 4)), (4.5, -75.5, day(2020, 3, 1)),
+                               (1.0, -75.0, day(9999, 12, 31))], "lat double, lon double, fecha date")
+    got = [r[2] for r in rows(Q.date_gaps(s, "2019-12-31", "2020-03-02").filter("lat = 4.5"))]
+    have = {day(2020, 1, 1), day(2020, 1, 4), day(2020, 3, 1)}
+    every = [day(2019, 12, 31) + datetime.timedelta(k) for k in range(63)]
+    assert got == [d for d in every if d not in have]       # leading, trailing and a whole missing month
+    assert Q.date_gaps(s, "2019-12-31", "2020-03-02").filter("lat = 1").count() == 63
+    assert Q.date_gaps(s).filter("lat = 4.5").count() == 4018 - 3       # the declared coverage
+
+
+def test_summary_needs_twelve_months(spark):
+    rk = spark.createDataFrame([(1,), (2,)], "x int")
+    for months, ok in ((12, True), (11, False)):
+        es = spark.range(months)
+        got = Q.summary_cardinality(rk, rk.crossJoin(es), es).first()
+        assert (got.esperado, got.ok) == (24, ok)
+
+
+def test_report_of_absent_tables(spark):
+    silver = spark.createDataFrame([], "fecha date, lat double, lon double, temp_c double, rh_pct double, "
+                                       "rain_mm double, rad_mj_m2 double")
+    rep = {(r["check"], r.capa): r for r in Q.validation_report(None, silver, None, None).collect()}
+    assert not rep["row_count", "SILVER"].paso and rep["row_count", "SILVER"].detalle == "0 filas"
+    assert not rep["row_count", "BRONZE"].paso and rep["no_nulls", "SILVER.lat"].paso
+    assert ("no_nulls", "BRONZE.fecha") not in rep and ("pk_unicidad", "GOLD_RK") not in rep
+
+
+def test_audited_contracts(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, None), (None, 3, 1.0)], "row_id string, k int, t double")
+    contract = Q.Contract("t", [Q.Rule("row_id", "string", False, audit=True), Q.Rule("k", "int", False)], ["k"],
+                          surrogate="row_id")
+    got = {(r.columna, r.regla): r.violaciones for r in Q.contract_violations(df, contract, audited=True).collect()}
+    assert got["row_id", "not_null"] == 1 and got["row_id", "primary_key"] == 1 and got["k", "primary_key"] == 0
+    assert ("row_id", "tipo") not in {(r.columna, r.regla) for r in Q.contract_violations(df, contract).collect()}
 
 
 def test_missing_years(spark):

@@ -16,10 +16,12 @@ from tests.conftest import SF_SMALL, rows
 def test_csv_union_by_name_aligns_headers(spark, scratch):
     root = scratch("csv")
     spark.createDataFrame([("2020-01-01", "1.5", "2.5")], "date string, a string, b string") \
-        .write.option("header", True).csv(f"{root}/one")
+        .write.option("header", True).csv(f"{root}/ERA5_EC_one")
     spark.createDataFrame([("3.5", "2020-01-02")], "b string, date string") \
-        .write.option("header", True).csv(f"{root}/two")
+        .write.option("header", True).csv(f"{root}/ERA5_EC_two")
+    spark.createDataFrame([("x",)], "other string").write.option("header", True).csv(f"{root}/our_export")
     files = C.list_files(spark, root)
+    assert files and not [f for f in files if "our_export" in f]    # only the yearly files
     got = rows(C.csv_union_by_name(spark, files).select("date", "a", "b"))
     assert got == [("2020-01-01", "1.5", "2.5"), ("2020-01-02", None, "3.5")]
 
@@ -77,11 +79,14 @@ def test_failed_gate_leaves_published_data(spark, scratch):
 def test_run_layers_from_each_layer(spark, scratch):
     root = scratch("layers")
     b = bronze_fixture(spark, SF_SMALL)
-    full = P.run_layers(spark, b, root, "bronze")
+    full = P.run_layers(spark, b, root, "bronze", stop_on_critical=False)
     rk1 = rows(P.published(spark, root, "ranking").drop("aggregated_at"))
-    P.run_layers(spark, None, root, "gold")
+    P.run_layers(spark, None, root, "gold", stop_on_critical=False)
     rk2 = rows(P.published(spark, root, "ranking").drop("aggregated_at"))
-    assert rk1 == rk2 and len(rk1) == 9
+    assert rk1 == rk2 and len(rk1) == 8
+    assert P.published(spark, root, "map_center").count() == 1 and P.published(spark, root, "map_feed").count() == 8
+    broken = {r.columna for r in P.published(spark, root, "contracts").collect()}
+    assert "rh_pct" in broken and not {"row_id", "processed_at", "aggregated_at"} & broken
     assert P.current_tables(spark, root)["bronze"] == full.tables["bronze"]
     report = P.run_layers(spark, None, root, validate_only=True)
     assert report.count() == 25
@@ -91,7 +96,7 @@ def test_run_layers_from_each_layer(spark, scratch):
 
 def test_bronze_written_sorted(spark, scratch):
     root = scratch("layers_sorted")
-    P.run_layers(spark, bronze_fixture(spark, SF_SMALL), root, "bronze")
+    P.run_layers(spark, bronze_fixture(spark, SF_SMALL), root, "bronze", stop_on_critical=False)
     keys = [(r.fecha, r.latitud, r.longitud) for r in P.published(spark, root, "bronze").collect()]
     assert keys == sorted(keys)
 
@@ -117,11 +122,13 @@ def test_row_ids_written_checked_and_kept(spark, scratch):
 def test_command_line_runs_layers_and_validates(spark, scratch, capsys):
     from cafetal.__main__ import main
     root = scratch("cli")
-    # the fixture has NULL temperatures and RH above 100: critical checks fail -> exit code 1
+    # the fixture has NULL temperatures and RH above 100: critical checks fail -> nothing is published
     assert main(["--tables", SF_SMALL, "--root", root]) == 1
+    assert "critical checks failed" in capsys.readouterr().err and P.current_tables(spark, root) == {}
+    assert main(["--tables", SF_SMALL, "--root", root, "--allow-critical"]) == 1
     out = capsys.readouterr().out
     assert "ranking" in out and "critical=" in out
-    assert main(["--from", "gold", "--root", root]) == 1
+    assert main(["--from", "gold", "--root", root, "--allow-critical"]) == 1
     assert main(["--explain", "silver", "--tables", SF_SMALL]) == 0
     assert "silver_preview" in capsys.readouterr().out
 
@@ -139,9 +146,10 @@ def test_command_line_ingests_yearly_csvs(spark, scratch, capsys):
     landing = scratch("landing")
     C.write_yearly_csvs(bronze_fixture(spark, SF_SMALL), landing, 1996, 2001)
     root = scratch("cli_csv")
-    assert main(["--csv", landing, "--root", root]) == 1          # critical checks fail on the fixture
+    assert main(["--csv", landing, "--root", root, "--allow-critical"]) == 1   # critical checks fail on the fixture
+    assert "years without data: 2015" in capsys.readouterr().out
     rk = P.published(spark, root, "ranking")
-    assert rk.count() == 9
+    assert rk.count() == 8
     b = P.published(spark, root, "bronze")
     assert b.filter(F.year("fecha") == 2001).filter(F.col("evap_pot_m").isNotNull()).count() == 0
 
@@ -153,3 +161,68 @@ def test_duplicate_silver_key_blocks_publishing(spark, scratch):
     with pytest.raises(P.GateError, match="duplicated silver keys"):
         P.publish_if_valid(spark, dup, root)
     assert P.current_tables(spark, root) == {}
+
+
+def clean_bronze(spark):
+    """Three months at two points, without any finding."""
+    days = spark.sql("SELECT explode(sequence(DATE'2020-01-01', DATE'2020-12-31', INTERVAL 1 DAY)) AS fecha")
+    return days.selectExpr("fecha", "-75.5D AS longitud", "explode(array(4.5D, 5.5D)) AS latitud", "293D AS temp_k",
+                           "289D AS dew_k", "0.004D AS lluvia_m", "1.5e7D AS rad_j_m2", "0.001D AS evap_pot_m")
+
+
+def test_critical_finding_leaves_old_tables_current(spark, scratch):
+    root = scratch("critical")
+    P.run_layers(spark, clean_bronze(spark), root)
+    before = P.current_tables(spark, root)
+    assert {"bronze", "silver", "ranking", "contracts", "map_feed"} <= set(before)
+    assert P.published(spark, root, "contracts").count() == 0
+    wet = clean_bronze(spark).withColumn("dew_k", F.lit(299.0))           # humidity above 100 %
+    with pytest.raises(P.GateError, match="critical"):
+        P.run_layers(spark, wet, root)
+    assert P.current_tables(spark, root) == before
+
+
+def test_empty_silver_is_refused(spark, scratch):
+    root = scratch("empty")
+    P._publish(spark, root, "r", {"silver": io.write_parquet(
+        S.to_silver(clean_bronze(spark), audit=True).filter("false"), scratch("none"))})
+    with pytest.raises(P.GateError, match="silver is empty"):
+        P.run_layers(spark, None, root, "gold")
+    assert set(P.current_tables(spark, root)) == {"silver"}
+
+
+def test_versions_are_merged_and_a_damaged_one_raises(spark, scratch, tmp_path):
+    root = str(tmp_path / "pub")
+    assert P.current_tables(spark, root) == {}
+    P._publish(spark, root, "one", {"silver": "a", "bronze": "b"})
+    P._publish(spark, root, "two", {"silver": "c"})                        # another run, not knowing the first
+    assert P.current_tables(spark, root) == {"silver": "c", "bronze": "b"}
+    bad = tmp_path / "pub" / "versions" / "9-crashed"
+    bad.mkdir()
+    assert P.current_tables(spark, root) == {"silver": "c", "bronze": "b"}  # a crash before its file was in place
+    (bad / "part-0.json").write_text("{damaged")
+    with pytest.raises(Exception):
+        P.current_tables(spark, root)
+
+
+@pytest.mark.parametrize("line", ["2020-01-01,4.5", "2020-01-01,4.5,1,9"])
+def test_short_and_long_csv_lines_raise(spark, tmp_path, line):
+    (tmp_path / "ERA5_EC_2020.csv").write_text(f"date,latitude,temp\n2020-01-02,4.5,2\n{line}\n")
+    files = C.list_files(spark, str(tmp_path))
+    with pytest.raises(Exception):
+        C.csv_union_by_name(spark, files).collect()
+
+
+def test_reheaded_file_and_absent_column(spark, tmp_path):
+    (tmp_path / "ERA5_EC_2020.csv").write_text("date,latitude\n2020-01-02,4.5\n")
+    (tmp_path / "ERA5_EC_2021.csv").write_text("latitude,date\n5.5,2021-01-02\n")
+    raw = C.csv_union_by_name(spark, C.list_files(spark, str(tmp_path)))
+    assert rows(raw.select("date", "latitude")) == [("2020-01-02", "4.5"), ("2021-01-02", "5.5")]
+    with pytest.raises(ValueError, match="no file has"):
+        C.bronze_typed(raw)
+
+
+def test_rows_without_a_date_are_exported(spark, scratch):
+    b = clean_bronze(spark).limit(3).withColumn("fecha", F.lit(None).cast("date"))
+    files = C.write_yearly_csvs(b, scratch("nodate"), 1996, 2001)
+    assert C.csv_union_by_name(spark, files).count() == 3
