@@ -107,22 +107,24 @@ def validation_report(bronze: DataFrame | None, silver: DataFrame | None, rankin
     unique = "pk_unicidad" in checks
     nulls, ranges = "no_nulls" in checks, "rango_fisico" in checks
     given = {"b": bronze, "s": silver, "r": ranking, "e": seasonality}
+    counted = unique or "row_count" in checks
+    compared = counted or "row_consistency" in checks
     frames, bronze_cols = [], []
-    if bronze is not None:
+    if bronze is not None and (compared or nulls):
         cols = detect_columns(bronze.columns)
         b = bronze.withColumnsRenamed({v: k for k, v in cols.items() if v != k})
         bronze_cols = [c for c in BRONZE_NULL_COLS if c in b.columns]
         frames.append(table_profile(b, ["fecha", "latitud", "longitud"] if unique else [],
                                     {f"b_null_{c}": F.col(c).isNull() for c in bronze_cols if nulls}, "b_dup", "b_n"))
-    if silver is not None:
+    if silver is not None and (compared or nulls or ranges):
         conditions = {f"s_null_{c}": F.col(c).isNull() for c in SILVER_NULL_COLS if nulls}
         conditions |= {f"s_rng_{c}": cond for c, cond in rng.items() if ranges}
         # serialized keys are checked through the typed columns they encode
         # (pk_silver = fecha|lat|lon, pk_gold = lat|lon): same counts, smaller shuffle
         frames.append(table_profile(silver, SILVER_KEY if unique else [], conditions, "s_dup", "s_n"))
-    if ranking is not None:
+    if ranking is not None and counted:
         frames.append(table_profile(ranking, RANKING_KEY if unique else [], {}, "r_dup", "r_n"))
-    if seasonality is not None:
+    if seasonality is not None and counted:
         frames.append(table_profile(seasonality, ["pk_estacional_mes"] if unique else [], {}, "e_dup", "e_n"))
     if not frames:
         raise ValueError("no table to validate")

@@ -45,7 +45,7 @@ SAMPLE_START, SAMPLE_END = "1996-01-01", "2001-01-01"   # half-open date range
 
 
 UUID_V4 = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
-COVERAGE = "1992-01-01", "1998-12-31"                   # declared days of the fixture's series
+COVERAGE = "1995-01-01", "2001-12-31"                   # declared days of the fixture's series
 
 _BRONZE_TABLES: dict[tuple[str, str], str] = {}
 _SILVER_TABLES: dict[tuple[str, str], str] = {}

@@ -79,24 +79,23 @@ def _concurrently(*jobs):
 
 
 def stage_silver(spark: SparkSession, bronze: DataFrame, base: str,
-                 gate_pct: float = K.LOSS_GATE_PCT, partitioned: bool = True) -> dict[str, str]:
-    """Write silver to the run folder, then apply the duplicate-key and loss gates
-    (both evaluated by one job over the written table)."""
-    # rows of each writing task clustered by grid point: later per-point aggregations
-    # combine more on the map side and bbox filters skip row groups
-    staged = io.write_parquet(S.to_silver(bronze, audit=True), f"{base}/silver",
-                              cluster_by=SILVER_CLUSTER)
-    silver = spark.read.parquet(staged)
-    gate = Q.silver_gates(bronze, silver, gate_pct).first()
+                 gate_pct: float = K.LOSS_GATE_PCT) -> dict[str, str]:
+    """Write silver once, partitioned by year and month, then apply the duplicate-key and
+    loss gates (both evaluated by one job over the written table).
+
+    All readers use that one table: partition filters prune months, and the rows of
+    each writing task are clustered by grid point, so later per-point aggregations
+    combine more on the map side and bbox filters skip row groups.
+    """
+    silver = S.to_silver(bronze, audit=True)
+    staged = io.write_partitioned(silver, f"{base}/silver", ["anio", "mes"], cluster_by=SILVER_CLUSTER)
+    written = io.read_parquet(spark, staged, silver.schema)  # an empty table has no file to tell its columns
+    gate = Q.silver_gates(bronze, written, gate_pct).first()
     if gate["duplicados"]:
         raise GateError(f"{gate['duplicados']} duplicated silver keys")
     if not gate["publicar"]:
         raise GateError(f"loss {gate['perdida_pct']}% above {gate_pct}%")
-    if not partitioned:
-        return {"silver": staged}
-    part = io.write_partitioned(silver, f"{base}/silver_partitioned", ["anio", "mes"],
-                                cluster_by=SILVER_CLUSTER)
-    return {"silver": staged, "silver_partitioned": part}
+    return {"silver": staged}
 
 
 def add_row_ids(spark: SparkSession, bronze: DataFrame, path: str) -> DataFrame:
@@ -223,7 +222,7 @@ def run_layers(spark: SparkSession, bronze: DataFrame | None, root: str, start:
     if start in ("bronze", "silver"):
         if start == "silver" and bronze is None:
             bronze = published(spark, root, "bronze")
-        tables.update(stage_silver(spark, bronze, base, gate_pct, partitioned=False))
+        tables.update(stage_silver(spark, bronze, base, gate_pct))
         gold = build_gold(spark, spark.read.parquet(tables["silver"]), base)
     else:
         gold = build_gold(spark, published(spark, root, "silver"), base)
