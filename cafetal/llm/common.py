@@ -38,3 +38,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """Column names like ``names`` that ``df`` does not use, whatever columns it brings along."""
+    used = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        out.append(name)
+    return tuple(out)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cafetal.llm.common import ASCII_SPACE, column, slices
+from cafetal.llm.common import ASCII_SPACE, column, fresh, slices
 
 _FLUSH = 50_000
 
@@ -80,22 +80,24 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = (keys.join(shared, ["__hi", "__lo"]).filter("__id <> __first")
              .groupBy(F.col("__id").alias("__drop_id"), F.col("__text").alias("__drop_text"))
              .agg(F.collect_set("__pos").alias("__drop")))
-    lines = F.split(F.col("__body"), "\n", -1)
-    kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drop")),
-        lambda p: F.get(F.col("__lines"), p))
     # case-insensitive, as Spark resolves names
     rest = [c for c in docs.columns if c.lower() not in {"n_lines", "n_dropped"}]
-    joined = (docs.select(*[F.col(f"`{c}`") for c in rest], F.col(id_col).cast("long").alias("__id"),
-                          digest.alias("__text"), body.alias("__body"))
-              .join(drops, (F.col("__id") == F.col("__drop_id")) & (F.col("__text") == F.col("__drop_text")),
-                    "left")
-              .withColumn("__lines", lines))
+    own = fresh(docs, "__id", "__text", "__body", "__lines", "__drop")
+    own_id, own_text, own_body, lines, drop = own
+    drops = drops.select(F.col("__drop_id").alias("__drop_id_" + own_id), F.col("__drop_text").alias("__drop_text_" + own_id),
+                         F.col("__drop").alias(drop))
+    kept = F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop)), lambda p: F.get(F.col(lines), p))
+    base = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(id_col).cast("long").alias(own_id),
+                       digest.alias(own_text), body.alias(own_body))
+    joined = (base.join(drops, (F.col(own_id) == F.col("__drop_id_" + own_id))
+                        & (F.col(own_text) == F.col("__drop_text_" + own_id)), "left")
+              .withColumn(lines, F.split(F.col(own_body), "\n", -1)))
     return joined.select(
-        *[F.when(F.col("__drop").isNull(), F.col("__body")).otherwise(F.array_join(kept, "\n")).alias(c)
+        *[F.when(F.col(drop).isNull(), F.col(own_body)).otherwise(F.array_join(kept, "\n")).alias(c)
           if c == text_col else F.col(f"`{c}`") for c in rest],
-        F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"))
+        F.size(lines).cast("long").alias("n_lines"),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def digest(result: DataFrame) -> DataFrame:
@@ -109,7 +111,7 @@ with lines as (
   select doc_id, rid, u.pos as pos, u.line as line,
          translate(trim(u.line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
-  from (select doc_id, rid, unnest(list_transform(l, (x, i) -> {'pos': i, 'line': x})) as u
+  from (select doc_id, rid, unnest(list_transform(l, lambda x, i: {'pos': i, 'line': x})) as u
         from (select doc_id, row_number() over () as rid, string_split(coalesce(text, ''), chr(10)) as l
               from documents))
 ), shared as (

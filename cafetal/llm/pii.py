@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cafetal.llm.common import materialise
+from cafetal.llm.common import fresh, materialise
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalised", "removed")
@@ -211,12 +211,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     overlapping spans the first one is masked.  One shuffle of the texts.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
+    own, sid, sh, spans = fresh(docs, "__sbody", "__sid", "__sh", "__spans")
     found = (find_personal_data(docs, id_col=id_col, text_col=text_col, **parameters)
-             .select(F.col("doc_id").alias("__sid"), F.col("__h").alias("__sh"), F.col("spans").alias("__spans"))
-             .dropDuplicates(["__sid", "__sh"]))
-    joined = docs.withColumn("__sbody", body).join(
-        found, F.col(id_col).cast("long").eqNullSafe(F.col("__sid")) & (F.xxhash64("__sbody") == F.col("__sh")))
-    return joined.select(*[F.expr(_masked("__spans", "__sbody")).alias(c) if c == text_col else F.col(f"`{c}`")
+             .select(F.col("doc_id").alias(sid), F.col("__h").alias(sh), F.col("spans").alias(spans))
+             .dropDuplicates([sid, sh]))
+    joined = docs.withColumn(own, body).join(
+        found, F.col(id_col).cast("long").eqNullSafe(F.col(sid)) & (F.xxhash64(own) == F.col(sh)))
+    return joined.select(*[F.expr(_masked(spans, own)).alias(c) if c == text_col else F.col(f"`{c}`")
                            for c in docs.columns])
 
 

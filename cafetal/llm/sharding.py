@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.window import Window
 
-from cafetal.llm.common import materialise
+from cafetal.llm.common import fresh, materialise
 
 _TOP = 1 << 63
 
@@ -126,19 +126,23 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     counts of the ranges before it give a range its first slot.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
+    h, i, o, r = fresh(docs, "__h", "__i", "__o", "__r")
     added = {"size": F.octet_length(body).cast("long") + 1,
              "text_crc32": F.crc32(F.encode(body, "UTF-8")).cast("long"),
-             "law": F.lit("bytes"), "__h": F.xxhash64(body),
-             "__i": F.coalesce(F.col(id_col).cast("long"), F.lit(None).cast("long"))}
+             "law": F.lit("bytes"), h: F.xxhash64(body),
+             i: F.coalesce(F.col(id_col).cast("long"), F.lit(None).cast("long"))}
     base = docs.withColumns(added)
-    narrow = materialise(base.select("__h", "__i", F.col("size").alias("__s")), "shard-keys")
+    narrow = materialise(base.select(F.col(h).alias("__h"), F.col(i).alias("__i"), F.col("size").alias("__s")), "shard-keys")
     n, low, high = narrow.agg(F.count("*"), F.min("__i"), F.max("__i")).first()
     low, high = (0, 0) if low is None else (low - 1, high)  # the place below the smallest is for null
-    offset = F.coalesce(F.col("__i"), F.lit(low)) - F.lit(low)
+
+    def offset(name: str):
+        return F.coalesce(F.col(name), F.lit(low)) - F.lit(low)
+
     space = KeySpace(low, high)
     per_shard = max(1, -(-n // (shards * rows_per_range)))
     if n:
-        bounds, counts = splitters(narrow.select("__h", offset.alias("__o"), "__s"), space, shards * per_shard,
+        bounds, counts = splitters(narrow.select("__h", offset("__i").alias("__o"), "__s"), space, shards * per_shard,
                                    per_shard, tolerance)
     else:
         bounds, counts = [(0, 0)] * (shards * per_shard - 1), np.zeros(shards * per_shard, np.int64)
@@ -146,23 +150,23 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     start = (before - before[np.arange(len(counts)) // per_shard * per_shard])
 
     @pandas_udf("int")
-    def key_range(h, o):
+    def key_range(hashes, offsets):
         import pandas as pd
 
-        return pd.Series(place(h.to_numpy(), o.to_numpy(), bounds).astype(np.int32), index=h.index)
+        return pd.Series(place(hashes.to_numpy(), offsets.to_numpy(), bounds).astype(np.int32), index=hashes.index)
 
     @pandas_udf("long")
-    def first_slot(r):
+    def first_slot(ranges):
         import pandas as pd
 
-        return pd.Series(start[r.to_numpy()], index=r.index)
+        return pd.Series(start[ranges.to_numpy()], index=ranges.index)
 
-    in_range = Window.partitionBy("__r").orderBy("__h", "__o")
-    placed = (base.withColumn("__o", offset).withColumn("__r", key_range("__h", "__o"))
-              .withColumn("slot", F.row_number().over(in_range).cast("long") - 1 + first_slot("__r"))
-              .withColumn("shard", F.floor(F.col("__r") / per_shard).cast("int"))
+    in_range = Window.partitionBy(r).orderBy(h, o)
+    placed = (base.withColumn(o, offset(i)).withColumn(r, key_range(h, o))
+              .withColumn("slot", F.row_number().over(in_range).cast("long") - 1 + first_slot(r))
+              .withColumn("shard", F.floor(F.col(r) / per_shard).cast("int"))
               .withColumn("grown_shard", F.lit(None).cast("int")))
-    return placed.drop("__h", "__i", "__o", "__r")
+    return placed.drop(h, i, o, r)
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cafetal.llm.common import column, materialise, slices
+from cafetal.llm.common import column, fresh, materialise, slices
 
 _STEP = 8  # bits by which a crowded node of the upper trie is refined
 _CHUNK = 1 << 15  # node pairs held at a time
@@ -268,9 +268,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """
     rows = _clusters(docs, id_col, text_col, shingle, bits)
     first = F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col("__text").alias("t")))
-    kept = rows.groupBy("root").agg(first.alias("k")).select(F.col("k.i").alias("__keep"), F.col("k.t").alias("__keep_text"))
+    own, digest, keep, keep_digest = fresh(docs, "__kid", "__khash", "__keep", "__keep_hash")
+    kept = rows.groupBy("root").agg(first.alias("k")).select(F.col("k.i").alias(keep), F.col("k.t").alias(keep_digest))
     body = F.coalesce(F.col(text_col), F.lit(""))
-    marked = docs.withColumns({"__kid": F.col(id_col).cast("long"), "__khash": F.xxhash64(body)})
-    return (marked.join(kept, F.col("__kid").eqNullSafe(F.col("__keep")) & (F.col("__khash") == F.col("__keep_text")),
-                        "left_semi")
-            .dropDuplicates(["__kid", "__khash"]).drop("__kid", "__khash"))
+    marked = docs.withColumns({own: F.col(id_col).cast("long"), digest: F.xxhash64(body)})
+    return (marked.join(kept, F.col(own).eqNullSafe(F.col(keep)) & (F.col(digest) == F.col(keep_digest)), "left_semi")
+            .dropDuplicates([own, digest]).drop(own, digest))

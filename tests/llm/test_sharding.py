@@ -61,10 +61,10 @@ def test_several_ranges_a_shard(spark):
 
 
 def test_clashing_columns(spark):
-    d = docs(spark, [(i, f"row {i}") for i in range(50)]).selectExpr("*", "'a' as size", "7 as slot", "1 as h")
+    d = docs(spark, [(i, f"row {i}") for i in range(50)]).selectExpr("*", "'a' as size", "7 as slot", "1 as h", "5 as __h", "'b' as __o")
     out = sharding.shard(d, 4)
     assert set(out.columns) == {*d.columns, "text_crc32", "law", "shard", "grown_shard"}
-    assert out.agg(F.sum("h")).first()[0] == 50
+    assert out.agg(F.sum("h"), F.sum("__h")).first()[:] == (50, 250)
 
 
 @settings(max_examples=60, deadline=None)
