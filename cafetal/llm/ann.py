@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cafetal.llm.common import materialise
+from cafetal.llm.common import hashed_sample, materialise
 
 _BLOCK = 1024  # queries, or rows of a partition, compared at a time
 
@@ -196,7 +196,7 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, re
         .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "ann-entries")
     asked = materialise(own.filter(F.size("v") == size).distinct(), "ann-queries")
     n = entries.count()
-    picked = entries.select("v", F.xxhash64("v").alias("h")).orderBy("h").limit(sample).collect()  # a bounded sample
+    picked = hashed_sample(entries.select("v", F.xxhash64("v").alias("h")), "h", sample, n).collect()  # bounded
     x = np.array([r.v for r in picked], float).reshape(-1, size)
     scale = np.sqrt((x * x).sum(axis=1)).max()  # inner products are compared, so all are scaled alike
     router = fit(x / scale, n, per_part, most_parts, k, recall)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cafetal.llm.common import column, materialise, slices
+from cafetal.llm.common import column, hashed_sample, materialise, slices
 
 BITS = 19  # words are hashed to so many bits: what a model holds is bounded
 _START = (1 << BITS) - 1  # the context of a text's first word
@@ -158,12 +158,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 25_000, pairs: in
     hashed = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(body).alias("__h"))
     known = (labels.select(F.col("doc_id").cast("long").alias("__lid"), F.col("toxic").cast("double").alias("__y"))
              .dropna().groupBy("__lid").agg(F.avg("__y").alias("__y")))
-    texts = (hashed.join(known, F.col("__id") == F.col("__lid")).groupBy("__h")
-             .agg(F.min("__id").alias("__id"), (F.avg("__y") >= 0.5).alias("__toxic")))
-    chosen = materialise(
-        texts.filter("__toxic").orderBy("__h").limit(per_class)
-        .union(texts.filter("not __toxic").orderBy("__h").limit(per_class))
-        .select(F.col("__h").alias("__ch"), F.col("__id").alias("__cid"), "__toxic"), "toxicity-sample")
+    texts = materialise(
+        hashed.join(known, F.col("__id") == F.col("__lid")).groupBy("__h")
+        .agg(F.min("__id").alias("__id"), (F.avg("__y") >= 0.5).alias("__toxic")), "toxicity-texts")
+    total = {r["__toxic"]: r["count"] for r in texts.groupBy("__toxic").count().collect()}
+    picked = [hashed_sample(texts.filter(F.col("__toxic") == c), "__h", per_class, total.get(c, 0)) for c in (True, False)]
+    chosen = materialise(picked[0].union(picked[1]).select(F.col("__h").alias("__ch"), F.col("__id").alias("__cid"),
+                                                           "__toxic"), "toxicity-sample")
     # a bounded sample of ids: 2 * per_class rows
     sample = (docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(body).alias("__h"), body.alias("__body"))
               .join(F.broadcast(chosen), (F.col("__id") == F.col("__cid")) & (F.col("__h") == F.col("__ch")))
