@@ -29,9 +29,11 @@ def features(toks: np.ndarray) -> np.ndarray:
 
 
 def _tokenise(batches):
+    """All columns but the last, which is the text; then its tokens."""
     for b in slices(batches):
         toks = [tokens(t).tobytes() for t in column(b, "__body")]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(toks, pa.binary())], names=["__id", "__toks"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(toks, pa.binary())],
+                                         names=[*b.schema.names[:-1], "__toks"])
 
 
 def _halves(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -267,7 +269,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
 
     Returns one row per input row: ``doc_id``, ``contaminated``, ``n_items``,
     ``item_id``, ``lcs``, ``answer`` and ``cosine`` of the best match (most words,
-    then answer, then the smallest id; null without one).  Null and empty texts
+    then answer, then the smallest id; null without one), and ``text_hash`` (XXH64 of
+    the text), which tells rows without an id or with the same id apart.  Null and empty texts
     hold nothing; null ids are passed on.  Items without an id or without words
     are left out; an item of which every word is in more than ``common`` of all
     passages is too plain to be found.  Repeated items count once per id.
@@ -276,9 +279,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
     it follow (frequencies, search, ids).  Items are handled in blocks of about
     ``block``, so what is broadcast is bounded.
     """
+    body = F.coalesce(F.col(text_col), F.lit(""))
     toks = materialise(
-        docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(text_col, F.lit("")).alias("__body"))
-        .mapInArrow(_tokenise, "__id long, __toks binary").withColumn("__uid", F.monotonically_increasing_id()),
+        docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(body).alias("__hash"), body.alias("__body"))
+        .mapInArrow(_tokenise, "__id long, __hash long, __toks binary").withColumn("__uid", F.monotonically_increasing_id()),
         "decontam-tokens")
     idf = inverse_frequencies(toks, common)
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
@@ -305,14 +309,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
             "__muid long, item_id long, lcs double, answer boolean, cosine double")
         found = found.filter(F.col("answer") | (F.col("lcs") >= whole))
         matches = found if matches is None else matches.union(found)
-    every = toks.select("__uid", F.col("__id").alias("doc_id"))
+    every = toks.select("__uid", F.col("__id").alias("doc_id"), F.col("__hash").alias("text_hash"))
     if matches is None:
         return every.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"),
                             *[F.lit(None).cast(t).alias(c) for c, t in (("item_id", "long"), ("lcs", "double"),
-                                                                        ("answer", "boolean"), ("cosine", "double"))])
+                                                                        ("answer", "boolean"), ("cosine", "double"))],
+                            "text_hash")
     order = F.struct("lcs", "answer", (-F.col("item_id")).alias("__less"), "cosine", "item_id")
     best = matches.groupBy("__muid").agg(F.count_distinct("item_id").alias("n_items"), F.max(order).alias("__best"))
     return every.join(best, F.col("__uid") == F.col("__muid"), "left").select(
         "doc_id", F.col("__best").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        *[F.col(f"__best.{c}").alias(c) for c in ("item_id", "lcs", "answer", "cosine")])
+        *[F.col(f"__best.{c}").alias(c) for c in ("item_id", "lcs", "answer", "cosine")], "text_hash")

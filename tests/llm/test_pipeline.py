@@ -120,6 +120,9 @@ def test_stages_on_odd_rows(spark, tmp_path):
             out = f(spark, part, str(tmp_path))
             assert out.count() <= part.count(), name
             assert name == "bpe" or [c for c in out.columns if c != "n_lines"] == [c for c in d.columns if c != "n_lines"]
+    kept = corpus_pipeline.drop_leaks(spark, docs(spark, [(None, "some text of a line"), (None, "clean words"), (7, "x")]),
+                                      str(tmp_path))
+    assert sorted(r.text for r in kept.collect()) == ["clean words", "x"]
     one = simhash.keep_one(docs(spark, rows))
     assert sorted(str(r.doc_id) for r in one.collect()) == ["1", "3", "4"]
     model = toxicity.train(docs(spark, rows), tables["labels"])
