@@ -228,9 +228,11 @@ def run_layers(spark: SparkSession, bronze: DataFrame | None, root: str, start:
         gold = build_gold(spark, published(spark, root, "silver"), base)
     tables.update(gold)
     everything = {**current_tables(spark, root), **tables}
-    outcome = Q.verdict(validate_tables(spark, everything)).first()
+    contracts = f"{base}/contracts"
+    outcome, _ = _concurrently(lambda: Q.verdict(validate_tables(spark, everything)).first(),
+                               lambda: io.write_parquet(contract_report(spark, everything), contracts))
     if stop_on_critical and not outcome["aprobado"]:
         raise GateError(f"{outcome['criticos']} critical checks failed")
-    tables["contracts"] = io.write_parquet(contract_report(spark, everything), f"{base}/contracts")
+    tables["contracts"] = contracts
     _publish(spark, root, run_id, tables)
     return RunResult(run_id, root, tables)
