@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cafetal.llm.common import column, materialise, slices
 
 FEATURES = 18  # words are hashed to 2^18 TF-IDF features
+_SPARE = 8  # dimensions of the randomised range beyond a block's items
 _PLAIN = 64  # commonest words of the items, counted per passage
 HALF = 32  # passages are windows of two halves of so many words, each half in two windows
 _WORD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -259,8 +260,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
     """Benchmark items that documents hold, word for word or paraphrased.
 
     Passages are windows of 64 words, one every 32 words, over whole texts; TF-IDF
-    counts all of them.  The items' TF-IDF matrix is reduced to ``rank`` dimensions
-    by a distributed randomised SVD, passages are folded in, and those at least
+    counts all of them.  The TF-IDF matrix of a block of items is taken to its singular
+    vectors by a distributed randomised SVD with more dimensions than the block has
+    items, so each item keeps its whole length; passages are folded in, and those at least
     ``cosine`` near an item (against the passage's full length) are candidates.  A
     candidate holds the item if at least ``subsequence`` of the item's words stand in
     order in a stretch 1.25 times the item's size, and as much of its answer beside
@@ -277,7 +279,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
 
     Plan: texts are hashed to words once and that table is written; three scans of
     it follow (frequencies, search, ids).  Items are handled in blocks of about
-    ``block``, so what is broadcast is bounded.
+    ``block``, and of no more than about ``rank`` dimensions, so what is broadcast is
+    bounded; each further block is one more search scan.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     toks = materialise(
@@ -290,7 +293,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
         benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("body"),
                          answer.alias("reply"))
         .filter("item is not null and body is not null").distinct(), "decontam-items")
-    blocks = max(1, -(-items.count() // block))
+    blocks = max(1, -(-items.count() // max(1, min(block, rank - _SPARE))))
     matches = None
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item", "body", "reply"), F.lit(blocks)) == k)
@@ -300,7 +303,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
             continue
         names, vectors = randomised_svd(
             part.select(F.lit(0).cast("long").alias("__id"), F.col("body").alias("__body"))
-            .mapInArrow(_tokenise, "__id long, __toks binary"), idf, min(rank, len(rows) + 8))
+            .mapInArrow(_tokenise, "__id long, __toks binary"), idf, len(rows) + _SPARE)
         if not len(names):
             continue
         index = docs.sparkSession.sparkContext.broadcast(Index(rows, idf, names, vectors))

@@ -134,3 +134,17 @@ def test_svd_matches_numpy(spark):
     s = np.linalg.svd(a, compute_uv=False)
     assert np.allclose(np.linalg.norm(a @ v, axis=0), s[:v.shape[1]], rtol=1e-6)
     assert np.allclose(v.T @ v, np.eye(v.shape[1]), atol=1e-8) and b.count() == len(ITEMS)
+
+
+def test_many_items_keep_their_length(spark):
+    r = random.Random(5)
+    vocab = [f"{a}{b}" for a in VOCAB for b in ("", "ka", "lo", "mu", "pe")]
+
+    def text(n):
+        return " ".join(r.choice(vocab) if r.random() < 0.6 else r.choice(COMMON) for _ in range(n))
+
+    items = [(k, text(r.choice([10, 14, 20, 30]))) for k in range(2000)]
+    rows = [(k, f"{text(40)} {t} {text(40)}") for k, t in items]
+    got = {x.doc_id: x for x in find_leaks(docs(spark, rows), benchmark(spark, items)).collect()}
+    assert [k for k, t in rows if not Item(k, items[k][1], None).check(tokens(t), 0.8)[1]] == []  # brute force finds all
+    assert [k for k, _ in rows if got[k].item_id != k] == []
