@@ -162,8 +162,11 @@ class Item:
         sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text) if len(tokens(s))]
         self.answer = tokens(answer if answer is not None else sentences[-1])
 
-    def check(self, region: np.ndarray, least: float) -> tuple[float, bool]:
-        """Best share of the item's words found in order in a stretch of its own size, and the answer beside it."""
+    def check(self, region: np.ndarray, least: float, whole: float = 0.95) -> tuple[float, bool]:
+        """Share of the item's words found in order in a stretch of its own size, and the answer beside it.
+
+        Of all stretches the best that holds the item (``least`` with the answer, or ``whole``), else the best.
+        """
         n = len(self.toks)
         there = set(region.tolist())
         if sum(t in there for t in self.words) < least * n:  # no subsequence can be longer
@@ -171,13 +174,19 @@ class Item:
         if common_subsequence(self.toks, region) < least * n:
             return 0.0, False
         size, step = -(-5 * n // 4), max(1, n // 8)
-        best, at = 0, 0
-        for k in range(0, max(1, len(region) - size + step), step):
-            if (c := common_subsequence(self.toks, region[k:k + size])) > best:
-                best, at = c, k
-        near = region[max(0, at - size // 2):at + size + size // 2]
-        share = common_subsequence(self.answer, near) / max(1, len(self.answer))
-        return best / n, share >= least
+        stretches = sorted((-common_subsequence(self.toks, region[k:k + size]), k)
+                           for k in range(0, max(1, len(region) - size + step), step))
+        best = False, 0.0, False
+        for c, at in stretches:
+            share = -c / n
+            if share < (best[1] if best[0] else least):
+                break
+            near = region[max(0, at - size // 2):at + size + size // 2]
+            answer = common_subsequence(self.answer, near) / max(1, len(self.answer)) >= least
+            best = max(best, (answer or share >= whole, share, answer))
+            if best[0] and answer:
+                break
+        return best[1:]
 
 
 class Index:
@@ -232,20 +241,21 @@ class Index:
                 yield t, int(k + i - first[t]), int(j), float(cosine[i, j])
 
 
-def _search(index, cosine: float, subsequence: float):
+def _search(index, cosine: float, subsequence: float, whole: float):
     def run(batches):
         for b in slices(batches, 256):
             raw = column(b, "__toks")
-            best: dict[tuple[int, int], tuple[float, bool, float]] = {}
+            best: dict[tuple[int, int], tuple[bool, float, bool, float]] = {}
             for t, half, j, c in index.value.candidates(raw, cosine):
                 item = index.value.items[j]
                 n = len(item.toks)
                 words = np.frombuffer(raw[t], np.uint32)
-                share, answer = item.check(words[max(0, half * HALF - n):(half + 2) * HALF + n], subsequence)
+                share, answer = item.check(words[max(0, half * HALF - n):(half + 2) * HALF + n], subsequence, whole)
                 if share >= subsequence:
-                    best[t, j] = max(best.get((t, j), (0.0, False, 0.0)), (share, answer, min(c, 1.0)))
+                    best[t, j] = max(best.get((t, j), (False, 0.0, False, 0.0)),
+                                     (answer or share >= whole, share, answer, min(c, 1.0)))
             uid = column(b, "__uid")
-            rows = [(uid[t], index.value.items[j].id, *v) for (t, j), v in best.items()]
+            rows = [(uid[t], index.value.items[j].id, *v[1:]) for (t, j), v in best.items()]
             cols = list(zip(*rows, strict=True)) or [()] * 5
             kinds = pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.float64()
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
@@ -266,7 +276,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
     ``cosine`` near an item (against the passage's full length) are candidates.  A
     candidate holds the item if at least ``subsequence`` of the item's words stand in
     order in a stretch 1.25 times the item's size, and as much of its answer beside
-    it, or ``whole`` of the item anyway.  The answer is the column ``answer`` of
+    it, or ``whole`` of the item anyway; every stretch is judged by itself.  The answer is the column ``answer`` of
     ``benchmark`` if there is one and it has words, else the item's last sentence.
 
     Returns one row per input row: ``doc_id``, ``contaminated``, ``n_items``,
@@ -308,7 +318,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
             continue
         index = docs.sparkSession.sparkContext.broadcast(Index(rows, idf, names, vectors))
         found = toks.select("__uid", "__toks").mapInArrow(
-            _search(index, cosine, subsequence),
+            _search(index, cosine, subsequence, whole),
             "__muid long, item_id long, lcs double, answer boolean, cosine double")
         found = found.filter(F.col("answer") | (F.col("lcs") >= whole))
         matches = found if matches is None else matches.union(found)

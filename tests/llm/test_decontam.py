@@ -148,3 +148,17 @@ def test_many_items_keep_their_length(spark):
     got = {x.doc_id: x for x in find_leaks(docs(spark, rows), benchmark(spark, items)).collect()}
     assert [k for k, t in rows if not Item(k, items[k][1], None).check(tokens(t), 0.8)[1]] == []  # brute force finds all
     assert [k for k, _ in rows if got[k].item_id != k] == []
+
+
+def test_second_stretch_with_the_answer(spark):
+    words = [f"fact{k}" for k in range(40)]
+    item = ". ".join(" ".join(words[k:k + 10]) for k in (0, 10, 20)) + ". " + " ".join(words[30:]) + "."
+    without = " ".join([*words[:30], *words[34:]])  # 36 of 40 words, 6 of 10 of the answer
+    loose = " ".join(w if k % 6 or k >= 30 else f"other{k}" for k, w in enumerate(words))  # 35 of 40, whole answer
+    gap = " ".join(f"gap{k}" for k in range(150))
+    q = benchmark(spark, [(1, item)])
+    rows = [(1, f"{without} {gap} {loose}"), (2, f"{loose} {gap} {without}"), (3, f"{without} {gap}"),
+            (4, f"{without} {' '.join(gap.split()[:70])} {loose}")]
+    rows += [(100 + k, " ".join(prose(60))) for k in range(40)]
+    got = {r.doc_id: (r.item_id, r.lcs, r.answer) for r in find_leaks(docs(spark, rows), q).collect() if r.doc_id < 100}
+    assert got == {k: (None, None, None) if k == 3 else (1, 0.875, True) for k in range(1, 5)}
