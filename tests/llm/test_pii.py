@@ -129,3 +129,12 @@ def test_sanitise(spark):
 
 def test_empty_table(spark):
     assert digest(find_personal_data(docs(spark, ["x"]).filter("false"))).count() == 0
+
+
+def test_entities_of_one_or_two_documents(spark):
+    rows = [(1, "see Rosamund one@x.org today"), (2, "see Theobald two@x.org today"), (3, "see Theobald two@x.org today")]
+    rows += [(10 + i, f"see what we do today on day {i}") for i in range(100)]
+    got = {r.doc_id: r.spans for r in digest(find_personal_data(docs(spark, rows), support=None)).collect()}
+    assert got[1] == "generalised:4:12,email:13:22"
+    assert got[2] == got[3] == "generalised:4:12,email:13:22"
+    assert not any(got[10 + i] for i in range(100))
