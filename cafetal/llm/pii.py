@@ -151,7 +151,44 @@ def _least_share(c: Column, df: Column) -> Column:
     return (p + z2 / (2 * df) - _SURE * F.sqrt(p * (1 - p) / df + z2 / (4 * df * df))) / (1 + z2 / df)
 
 
-def find_personal_data(docs: DataFrame, window: int = 48, support: int | None = 3, removed: float = 0.5,
+def _whole_documents(table: DataFrame, frequency: DataFrame, n_docs: int, support: int | None, removed: float,
+                     generalised: float, least_bits: float) -> DataFrame:
+    """Occurrences (__uid, start, end, kind) of the terms that reveal an entity of their document, wherever they stand.
+
+    A pair's count is at most min(df, n): pairs that could not pass even so are never
+    made, and what drops terms in too many documents comes first.
+    """
+    def chance(c, df):
+        return c / df if support is not None else _least_share(c, df)
+
+    def bits(c):
+        return F.log2(c / F.col("df") * F.lit(float(max(n_docs, 1))) / F.col("n"))
+
+    least = 1 if support is None else support
+    held = table.select("__uid", F.explode("__entities").alias("entity"))
+    many = held.groupBy("entity").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    held = held.join(many, "entity").select(F.col("__uid").alias("__huid"), "entity", "n")
+    # c / n <= 1, so bits are at most log2(D / df)
+    rare = frequency.filter(F.log2(F.lit(float(max(n_docs, 1))) / F.col("df")) >= least_bits)
+    terms = (table.select("__uid", F.explode(F.array_distinct(F.transform("__terms", lambda t: t["term"]))).alias("term"))
+             .join(rare, "term"))
+    most = F.least("df", "n")
+    pairs = materialise(
+        terms.join(held, (F.col("__uid") == F.col("__huid")) & (most >= least)
+                   & (chance(most, F.col("df")) >= generalised) & (bits(most) >= least_bits))
+        .select("__uid", "entity", "term", "n", "df"), "pii-pairs")
+    counted = pairs.groupBy("entity", "term", "n", "df").agg(F.count("*").alias("c"))
+    sure = chance(F.col("c"), F.col("df"))
+    verdicts = (counted.filter((F.col("c") >= least) & (sure >= generalised) & (bits(F.col("c")) >= least_bits))
+                .select("entity", "term", F.when(sure >= removed, len(KINDS) + 1).otherwise(len(KINDS)).alias("kind")))
+    judged = (pairs.select("__uid", "entity", "term").join(verdicts, ["entity", "term"])
+              .groupBy("__uid", "term").agg(F.max("kind").alias("kind")))
+    places = table.filter(F.size("__terms") > 0).select("__uid", F.explode("__terms").alias("t")).select(
+        "__uid", "t.term", "t.start", "t.end")
+    return places.join(judged, ["__uid", "term"]).select("__uid", "start", "end", "kind")
+
+
+def find_personal_data(docs: DataFrame, window: int | None = 48, support: int | None = 3, removed: float = 0.5,
                        generalised: float = 0.25, least_bits: float = 4.0, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """Personal data and what reveals it, in every whole text.
@@ -169,6 +206,10 @@ def find_personal_data(docs: DataFrame, window: int = 48, support: int | None =
     95 % confidence interval of c / df, so one document's evidence can generalise and
     that of three can remove.
 
+    With ``window`` None terms co-occur with every entity of their document, however
+    far away, and a verdict touches all occurrences of the term in all documents that
+    hold the entity, but for those that overlap a base span.
+
     Returns one row per input row: ``doc_id``, ``base`` and ``spans`` (arrays of
     struct(start, kind, end), code points, end exclusive, sorted; kinds number
     ``KINDS`` then ``TERM_KINDS``) and ``sanitised`` (masked text).  A null text is
@@ -183,22 +224,39 @@ def find_personal_data(docs: DataFrame, window: int = 48, support: int | None =
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(body).alias("__h"), body.alias("__body"))
-    based = source.withColumn("__base", base_spans()).withColumn("__ctx", _contexts(window))
+    based = source.withColumn("__base", base_spans())
+    if window is None:
+        terms = F.when(F.size("__base") > 0, _places(F.col("__body"), _TERM, lambda m, s: F.struct(
+            F.lit(None).cast("long").alias("entity"), F.lower(m).alias("term"), s.alias("start"),
+            (s + F.length(m)).alias("end"))))
+    else:
+        based = based.withColumn("__ctx", _contexts(window))
+        terms = F.flatten(F.transform("__ctx", lambda c: _terms(c)))
     table = materialise(based.select(
+        F.monotonically_increasing_id().alias("__uid"),
         "__id", "__h", F.transform("__base", lambda x: F.struct(x["start"], x["kind"], x["end"])).alias("base"),
         F.array_distinct(F.transform("__base", lambda x: x["entity"])).alias("__entities"),
-        F.coalesce(F.flatten(F.transform("__ctx", lambda c: _terms(c))), F.array().cast(_TERM_TYPE)).alias("__terms")), "pii-base")
+        F.coalesce(terms, F.array().cast(_TERM_TYPE)).alias("__terms")), "pii-base")
 
     least_docs = 1 if support is None else support
     n_docs = table.count()
+    frequency = (source.select(F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("__body"), F.lit(_TERM), F.lit(0)))).alias("term"))
+        .groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least_docs))
+    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    if window is None:
+        found = (_whole_documents(table, frequency, n_docs, support, removed, generalised, least_bits)
+                 .groupBy(F.col("__uid").alias("__xuid"))
+                 .agg(F.collect_list(F.struct("start", "kind", "end")).alias("__extra")))
+        clear = F.filter(F.coalesce("__extra", empty), lambda t: ~F.exists(
+            "base", lambda x: (x["start"] < t["end"]) & (t["start"] < x["end"])))
+        return (table.join(found, F.col("__uid") == F.col("__xuid"), "left")
+                .select(F.col("__id").alias("doc_id"), "__h", "base", F.array_sort(F.concat("base", clear)).alias("spans")))
     entities = table.select(F.explode("__entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n"))
     pairs = (table.select(F.explode(F.array_distinct(F.transform(
         "__terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p"))
         .groupBy(F.col("p.entity").alias("entity"), F.col("p.term").alias("term")).agg(F.count("*").alias("c"))
         .filter(F.col("c") >= least_docs))
-    frequency = (source.select(F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("__body"), F.lit(_TERM), F.lit(0)))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least_docs))
     share = F.col("c") / F.greatest("df", "c")
     sure = share if support is not None else _least_share(F.col("c"), F.greatest("df", "c"))
     verdicts = (pairs.join(frequency, "term").join(entities, "entity")
@@ -210,7 +268,6 @@ def find_personal_data(docs: DataFrame, window: int = 48, support: int | None =
              .groupBy(F.col("__id").alias("__xid"), F.col("__h").alias("__xh"), "start", "end")
              .agg(F.max("kind").alias("kind"))
              .groupBy("__xid", "__xh").agg(F.collect_list(F.struct("start", "kind", "end")).alias("__extra")))
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     joined = table.join(found, F.col("__id").eqNullSafe(F.col("__xid")) & (F.col("__h") == F.col("__xh")), "left")
     return joined.select(F.col("__id").alias("doc_id"), "__h", "base",
                          F.array_sort(F.concat("base", F.coalesce("__extra", empty))).alias("spans"))
@@ -219,12 +276,12 @@ def find_personal_data(docs: DataFrame, window: int = 48, support: int | None =
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """The columns of ``docs`` with the text masked: base spans by their kind, terms generalised or removed.
 
-    Parameters as in :func:`find_personal_data`, without a least support unless one is given; a null text comes back empty.  Of
+    Parameters as in :func:`find_personal_data`, over whole documents and without a least support unless given; a null text comes back empty.  Of
     overlapping spans the first one is masked.  One shuffle of the texts.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     own, sid, sh, spans = fresh(docs, "__sbody", "__sid", "__sh", "__spans")
-    found = (find_personal_data(docs, id_col=id_col, text_col=text_col, **{"support": None, **parameters})
+    found = (find_personal_data(docs, id_col=id_col, text_col=text_col, **{"window": None, "support": None, **parameters})
              .select(F.col("doc_id").alias(sid), F.col("__h").alias(sh), F.col("spans").alias(spans))
              .dropDuplicates([sid, sh]))
     joined = docs.withColumn(own, body).join(

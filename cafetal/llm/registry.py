@@ -34,7 +34,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents"), support=None))
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents"), window=None, support=None))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

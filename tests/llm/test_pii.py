@@ -138,3 +138,40 @@ def test_entities_of_one_or_two_documents(spark):
     assert got[1] == "generalised:4:12,email:13:22"
     assert got[2] == got[3] == "generalised:4:12,email:13:22"
     assert not any(got[10 + i] for i in range(100))
+
+
+def brute_whole(rows, removed=0.5, generalised=0.25, least_bits=4.0, z=1.645):
+    texts = [t or "" for _, t in rows]
+    found = [base(t) for t in texts]
+    words = [[(m.group().lower(), m.start(), m.end()) for m in LETTERS.finditer(t) if len(m.group()) >= 3] for t in texts]
+    n, c, df = Counter(), Counter(), Counter()
+    for f, ws in zip(found, words, strict=True):
+        entities, terms = {(k, v) for _, k, _, v in f}, {w for w, _, _ in ws}
+        n.update(entities)
+        df.update(terms)
+        c.update({(e, w) for e in entities for w in terms})
+
+    def kind(e, w):
+        p, d = c[e, w] / df[w], df[w]
+        sure = (p + z * z / (2 * d) - z * math.sqrt(p * (1 - p) / d + z * z / (4 * d * d))) / (1 + z * z / d)
+        return (sure >= generalised and math.log2(p * len(rows) / n[e]) >= least_bits) * (len(KINDS) + (sure >= removed))
+
+    out = []
+    for (i, _), f, ws in zip(rows, found, words, strict=True):
+        entities = {(k, v) for _, k, _, v in f}
+        extra = [(s, k, e) for w, s, e in ws if (k := max((kind(x, w) for x in entities), default=0))
+                 and not any(a < e and s < b for a, _, b, _ in f)]
+        names = (*KINDS, *TERM_KINDS)
+        out.append((i, ",".join(f"{names[k]}:{s}:{e}" for s, k, e in sorted([x[:3] for x in f] + extra))))
+    return sorted(out, key=str)
+
+
+def test_whole_documents(spark):
+    rows = corpus()
+    far = "Rosamund" + " so we go on" * 40 + " far@x.org" + " and so on we go" * 40 + " rosamund"
+    rows += [(7000, far), (7001, "far@x.org" + " so on" * 60 + " Rosamund")]
+    result = digest(find_personal_data(docs(spark, rows), window=None, support=None)).collect()
+    got = {r.doc_id: r.spans for r in result}
+    assert got[7000].startswith("generalised:0:8") and got[7000].endswith(f"generalised:{len(far) - 8}:{len(far)}")
+    assert got[7001].endswith("generalised:370:378")
+    assert sorted(((r.doc_id, r.spans) for r in result), key=str) == brute_whole(rows)
