@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -57,6 +58,8 @@ class TemplateIndex:
             for i, w in enumerate(t[:len(t) - self.need[name] + 1]):
                 self.prefix.setdefault(w, []).append((name, i))
         self.triggers = {order[k] for k in self.prefix}
+        # words of a block that runs over any number of lines: a template's own, at the threshold's share
+        self.longest = {n: math.ceil(len(words(templates[n])) / threshold - 1e-9) for n in self.templates}
 
     def match(self, block: set[int]) -> dict[str, float]:
         """Templates contained in a block (ranks of its known tokens) and their containment."""
@@ -81,7 +84,7 @@ class TemplateIndex:
         return out
 
 
-def _scan_blocks(text: str, index: TemplateIndex, span: int) -> list[tuple[str, int, int, float]]:
+def _scan_blocks(text: str, index: TemplateIndex, span: int, wrapped: bool = False) -> list[tuple[str, int, int, float]]:
     """(template, first line, lines, containment) for the smallest windows of lines that match."""
     rank = index.rank
     lines = [{rank[w] for w in words(x) if w in rank} for x in text.split("\n")]
@@ -99,9 +102,58 @@ def _scan_blocks(text: str, index: TemplateIndex, span: int) -> list[tuple[str,
                 starts.add(k)
                 ends[name, k] = k + n
                 found.append((name, k, n, c))
+    if wrapped:
+        found += _wrapped_blocks(lines, text, index, span, found)
     return sorted(found, key=lambda m: (m[1], m[2], m[0]))
 
 
+def _wrapped_blocks(lines: list[set[int]], text: str, index: TemplateIndex, span: int,
+                    short: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """Matches on more than ``span`` lines, of at most ``longest`` words, without a smaller match inside.
+
+    Only templates with a prefix token in the text are looked at; two pointers over
+    their tokens' positions give the smallest stretches with enough distinct ones.
+    """
+    hits, at = [], 0  # (rank, word number, line) of the known words
+    for k, line in enumerate(text.split("\n")):
+        ws = words(line)
+        if lines[k]:
+            hits += [(index.rank[w], at + i, k) for i, w in enumerate(ws) if w in index.rank]
+        at += len(ws)
+    present = set().union(*lines)
+    out = []
+    for name in sorted({name for w in present for name, _ in index.prefix.get(w, ())}):
+        template, need = set(index.templates[name]), index.need[name]
+        if len(template & present) < need:
+            continue
+        own = [h for h in hits if h[0] in template]
+        inside: Counter = Counter()
+        left, wide = 0, []  # (first line, last line), both rising
+        for w, i, last in own:
+            inside[w] += 1
+            while inside[own[left][0]] > 1 or len(inside) > need or i - own[left][1] >= index.longest[name]:
+                x = own[left][0]
+                inside[x] -= 1
+                if not inside[x]:
+                    del inside[x]
+                left += 1
+            if len(inside) < need:
+                continue
+            first = own[left][2]
+            if wide and wide[-1][1] == last:
+                wide.pop()  # holds this one
+            if not wide or wide[-1][0] < first:
+                wide.append((first, last))
+        least = sorted((k, k + n - 1) for label, k, n, _ in short if label == name)
+        for first, last in wide:
+            j = bisect_left(least, (first, 0))
+            if last - first < span or j < len(least) and least[j][1] <= last:
+                continue
+            block = set().union(*lines[first:last + 1])
+            out.append((name, first, last - first + 1, len(template & block) / len(template)))
+    return out
+
+
 def _frequencies(vocabulary: frozenset[bytes]):
     def run(batches):
         counts: Counter = Counter()
@@ -118,7 +170,7 @@ _MATCH = pa.struct([("label", pa.string()), ("first_line", pa.int32()), ("lines"
                     ("containment", pa.float64())])
 
 
-def _scan(index: TemplateIndex, phrases: dict[str, str], span: int):
+def _scan(index: TemplateIndex, phrases: dict[str, str], span: int, wrapped: bool):
     by_first: dict[bytes, list[tuple[list[bytes], str]]] = {}
     for p, label in phrases.items():
         by_first.setdefault(words(p)[0], []).append((words(p), label))
@@ -134,7 +186,7 @@ def _scan(index: TemplateIndex, phrases: dict[str, str], span: int):
                         places.append(i)
                         labels.add(label)
         if not index.triggers.isdisjoint(ws):
-            matches = _scan_blocks(text, index, span)
+            matches = _scan_blocks(text, index, span, wrapped)
         return len(ws), len(places), min(places, default=None), max(places, default=None), sorted(labels), matches
 
     def run(batches):
@@ -152,10 +204,11 @@ def _scan(index: TemplateIndex, phrases: dict[str, str], span: int):
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8, span: int = 3,
-                  phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  phrases: dict[str, str] = PHRASES, wrapped: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """License phrases and license templates found in every whole text.
 
-    Blocks are all windows of up to ``span`` consecutive lines.  A block matches a
+    Blocks are all windows of up to ``span`` consecutive lines and, with ``wrapped``,
+    stretches over any number of lines with at most 1 / ``threshold`` times the template's words.  A block matches a
     template if it holds at least ``threshold`` of the template's distinct words;
     of nested blocks the smallest is reported.  Tokens are ordered by the number of
     documents of this corpus that hold them, rarest first; a block can only match
@@ -177,7 +230,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
               .groupBy("w").agg(F.sum("n").alias("n")).collect())  # at most the templates' vocabulary
     index = TemplateIndex(templates, threshold, {r.w.encode(): r.n for r in counts})
     return base.mapInArrow(
-        _scan(index, phrases, span),
+        _scan(index, phrases, span, wrapped),
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, "
         "matches array<struct<label:string,first_line:int,lines:int,containment:double>>")
 

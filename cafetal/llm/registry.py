@@ -50,7 +50,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+    return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents"), wrapped=True))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import pytest
 from hypothesis import given, settings
@@ -89,3 +90,15 @@ def test_filters_lose_nothing(threshold, data):
     share = {n: len(set(t.split()) & block) / len(set(t.split())) for n, t in templates.items()}
     assert got == {n: c for n, c in share.items() if c >= threshold - 1e-12}
     assert licenses.words("A-B c") == [b"a", b"b", b"c"]
+
+
+@pytest.mark.parametrize("width", [30, 40])
+@pytest.mark.parametrize("form", ["{}", "# {}", "{}\n", " * {}\n *"])
+def test_wrapped_notices(width, form):
+    index = TemplateIndex(TEMPLATES, 0.8, {})
+    for name in ("bsd", "gpl-notice", "mit-notice", "mpl-2.0"):
+        notice = "\n".join(form.format(x) for x in textwrap.wrap(TEMPLATES[name], width))
+        found = licenses._scan_blocks(f"Some words before\n\n{notice}\nand behind it", index, 3, True)
+        assert name in {m[0] for m in found}
+        scattered = notice.replace("\n", "\n" + "other words of a text " * 12 + "\n")
+        assert name not in {m[0] for m in licenses._scan_blocks(scattered, index, 3, True)} or name == "mpl-2.0"
