@@ -9,6 +9,7 @@ import re
 import struct
 import unicodedata
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +22,7 @@ from cafetal.llm.common import column, slices
 
 NONE = 1 << 40  # rank of a pair that doesn't merge
 _SHORT = 64  # bytes up to which the ranks of a word are scanned again for each merge
-_CACHED = 60_000  # entries at which a generation of a cache is full
+_CACHED = 200_000  # entries at which a generation of the memory is full
 
 # str.split() also parts at these four; the tokenizer's white space does not have them.
 _NO_BLANK = re.compile("[\x1c-\x1f]").search
@@ -57,35 +58,34 @@ class Ranks:
         return np.where(self.keys[at] == pair, self.order[at], NONE)
 
 
-def merge_words(parts: np.ndarray, ranks: Ranks) -> list[np.ndarray]:
+def merge_words(parts: np.ndarray, ranks: Ranks) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Apply BPE merges to words of equal length: a row of ids each.
 
     A word's parts and the ranks of its neighbouring parts stand in two contiguous
     rows.  Each round scans every row for its smallest rank (leftmost if tied),
     deletes that boundary and refreshes the two ranks beside it, in all words at once.
+    Yields finished words by length: their numbers, and their ids as rows of a table.
     """
-    done: list[np.ndarray] = [None] * len(parts)
     who = np.arange(len(parts))
     near = ranks.of(parts[:, :-1], parts[:, 1:])
-    while True:
+    while len(who):
         n = parts.shape[1]
         at = near.argmin(axis=1) if n > 1 else np.zeros(len(parts), np.int64)
         best = near[np.arange(len(parts)), at] if n > 1 else np.full(len(parts), NONE)
         over = best == NONE
-        for w, row in zip(who[over].tolist(), parts[over], strict=True):
-            done[w] = row
-        if over.all():
-            return done
-        who, parts, near, at, best = (x[~over] for x in (who, parts, near, at, best))
+        if over.any():
+            yield who[over], parts[over]
+            who, parts, near, at, best = (x[~over] for x in (who, parts, near, at, best))
         row = np.arange(len(parts))
         parts[row, at] = ranks.merged[best]
         keep = np.arange(n)[None, :] != (at + 1)[:, None]
         parts = parts[keep].reshape(len(row), n - 1)
-        near = near[keep[:, 1:]].reshape(len(row), n - 2)
+        near = near[keep[:, 1:]].reshape(len(row), max(0, n - 2))
         if n > 2:
-            left, right = at > 0, at < n - 2
-            near[row[left], at[left] - 1] = ranks.of(parts[row[left], at[left] - 1], parts[row[left], at[left]])
-            near[row[right], at[right]] = ranks.of(parts[row[right], at[right]], parts[row[right], at[right] + 1])
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < n - 2)
+            by, to = at[left], at[right]
+            near[left, by - 1] = ranks.of(parts[left, by - 1], parts[left, by])
+            near[right, to] = ranks.of(parts[right, to], parts[right, to + 1])
 
 
 def merge_long(parts: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
@@ -110,22 +110,31 @@ def merge_long(parts: list[int], ranks: dict[tuple[int, int], tuple[int, int]])
     return [p for p in parts if p >= 0]
 
 
-class Recent(dict):
-    """A bounded memory of results: two generations, the older of which goes when the newer is full."""
+class Recent:
+    """Ids and tokens of chunks, in bounded memory: two generations, the older of which goes when the newer is full.
+
+    Both are bytes by chunk: ids as little-endian 32-bit integers, tokens joined by blanks.
+    """
 
     def __init__(self, most: int = _CACHED):
-        super().__init__()
-        self.most, self.old = most, {}
+        self.most, self.ids, self.names, self.old = most, {}, {}, ({}, {})
+
+    def __len__(self) -> int:
+        return len(self.ids) + len(self.old[0])
 
-    def absent(self, keys: set) -> set:
+    def turn(self) -> None:
+        """Between batches: start a new generation if this one is full."""
+        if len(self.ids) > self.most:
+            self.old, self.ids, self.names = (self.ids, self.names), {}, {}
+
+    def absent(self, keys: set[str]) -> set[str]:
         """Those of ``keys`` that have to be computed; the others are in the newer generation now."""
-        if len(self) > self.most:
-            self.old = dict(self)
-            self.clear()
-        new = keys.difference(self)
-        known = new.intersection(self.old)
-        self.update((k, self.old[k]) for k in known)
-        return new - known
+        new = keys.difference(self.ids)
+        ids, names = self.old
+        known = new.intersection(ids) if ids else ()
+        for k in known:
+            self.ids[k], self.names[k] = ids[k], names[k]
+        return new.difference(known)
 
 
 class WordBpe:
@@ -148,32 +157,38 @@ class WordBpe:
         self.ranks = Ranks([(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
         self.parts = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
-        self.words, self.chunks = Recent(), Recent()
+        self.raw_names = {i: t.encode() for i, t in self.names.items()}
+        self.known = Recent()
 
     def _add_words(self, words: set[str]) -> None:
         by_length = defaultdict(list)
         for w in words:
             by_length[len(raw := w.encode())].append((w, raw))
-        name = self.names.__getitem__
+        name, ids_of, names_of = self.raw_names.__getitem__, self.known.ids, self.known.names
         for n, group in by_length.items():
-            raw = np.frombuffer(b"".join(r for _, r in group), np.uint8).reshape(-1, n)
+            raw = np.frombuffer(b"".join([r for _, r in group]), np.uint8).reshape(-1, n)
             parts = self.inner[raw]
             parts[:, -1] = self.last[raw[:, -1]]
             if n > _SHORT:
-                merged = [np.array(merge_long(p.tolist(), self.ranks.single)) for p in parts]
+                merged = ((np.array([k]), np.array([merge_long(p.tolist(), self.ranks.single)]))
+                          for k, p in enumerate(parts))
             else:
                 merged = merge_words(parts, self.ranks)
-            for (w, _), ids in zip(group, merged, strict=True):
-                self.words[w] = ids.astype("<u4").tobytes(), " ".join(map(name, ids.tolist()))
+            for who, ids in merged:
+                m, flat = 4 * ids.shape[1], ids.astype("<u4").tobytes()
+                for k, (i, row) in enumerate(zip(who.tolist(), ids.tolist(), strict=True)):
+                    w = group[i][0]
+                    ids_of[w], names_of[w] = flat[k * m:k * m + m], b" ".join(map(name, row))
 
     def _add_chunks(self, chunks: set[str]) -> None:
-        # isalpha() means letters only, so such a chunk is one word
-        cut = {c: (c,) if c.isalpha() else self.parts(c) for c in chunks}
-        self._add_words(self.words.absent({w for ws in cut.values() for w in ws}))
+        # isalpha() means letters only, so such a chunk is one word; a word is a chunk that is not cut again
+        cut = {c: ws for c in chunks if not c.isalpha() and len(ws := self.parts(c)) > 1}
+        words = chunks.difference(cut)
+        rest = {w for ws in cut.values() for w in ws} - words
+        self._add_words(words | self.known.absent(rest))
+        ids, names = self.known.ids, self.known.names
         for c, ws in cut.items():
-            got = [self.words[w] for w in ws]
-            self.chunks[c] = got[0] if len(got) == 1 else (
-                b"".join(i for i, _ in got), " ".join(n for _, n in got))
+            ids[c], names[c] = b"".join([ids[w] for w in ws]), b" ".join([names[w] for w in ws])
 
     def _cut(self, text: str) -> list[str]:
         """Normalised chunks between white space, and special tokens."""
@@ -182,22 +197,25 @@ class WordBpe:
             if piece in self.special:
                 out.append(piece.upper())  # chunks are in lower case: no mistaking one for the other
                 continue
-            # Lower case goes character by character here, so a final sigma is like any other.
-            piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+            if not piece.isascii():
+                # Lower case goes character by character here, so a final sigma is like any other.
+                piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+            piece = piece.lower()
             out += filter(None, _BLANK.split(piece)) if _NO_BLANK(piece) else piece.split()
         return out
 
-    def encode_batch(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """For each text its ids (little-endian, 32 bits) and its tokens joined by blanks."""
+    def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """For each text its ids (little-endian, 32 bits) and its tokens joined by blanks (UTF-8)."""
         cut = [self._cut(t) for t in texts]
+        self.known.turn()
         for s, i in self.special.items():
-            self.chunks[s.upper()] = struct.pack("<I", i), s
-        self._add_chunks(self.chunks.absent({c for cs in cut for c in cs}))
-        out = []
+            self.known.ids[s.upper()], self.known.names[s.upper()] = struct.pack("<I", i), s.encode()
+        found = set()
         for cs in cut:
-            got = [self.chunks[c] for c in cs]
-            out.append((b"".join([i for i, _ in got]), " ".join([n for _, n in got])))
-        return out
+            found.update(cs)
+        self._add_chunks(self.known.absent(found))
+        ids, names = self.known.ids.__getitem__, self.known.names.__getitem__
+        return [(b"".join(map(ids, cs)), b" ".join(map(names, cs))) for cs in cut]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by blanks; special tokens are kept, unknown ids are left out."""
@@ -222,16 +240,16 @@ _SQL = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decod
 
 
 def _encoded(spec, columns: tuple[str, ...]):
-    def value(name: str, raw: bytes, names: str):
+    def value(name: str, raw: bytes, names: bytes):
         if name == "ids":
             return np.frombuffer(raw, "<u4").astype(np.int32)
         if name == "decoded":
-            return names
-        return hashlib.sha256(raw if name == "ids_sha256" else names.encode()).hexdigest()
+            return names.decode()
+        return hashlib.sha256(raw if name == "ids_sha256" else names).hexdigest()
 
     def run(batches):
         bpe = tokenizer(spec.value)
-        for b in slices(batches, 128):
+        for b in slices(batches, 256):
             got = bpe.encode_batch(column(b, "__body"))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(raw) // 4 for raw, _ in got], pa.int64()),
