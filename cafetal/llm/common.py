@@ -61,3 +61,23 @@ def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
             name = "_" + name
         out.append(name)
     return tuple(out)
+
+
+def numbered(df: DataFrame, order: list, name: str, label: str) -> DataFrame:
+    """Add ``name``: the place of each row, from 0 without gaps, in ``order``; rows stay spread over tasks.
+
+    Rows are sorted by ranges and written; places inside the parts become places in all by
+    the counts of the parts before (a row for each part, so that table may be broadcast).
+    """
+    mid, part, first = fresh(df, "__mid", "__part", "__first")
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = materialise(ordered.withColumn(mid, F.monotonically_increasing_id()), label)
+    ordered = ordered.withColumn(part, F.shiftright(mid, 33))
+    counts = {r[0]: r[1] for r in ordered.groupBy(part).count().collect()}
+    before, offsets = 0, []
+    for p in sorted(counts):
+        offsets.append((p, before - (p << 33)))
+        before += counts[p]
+    offsets = df.sparkSession.createDataFrame(offsets, f"{part} long, {first} long")
+    return (ordered.join(F.broadcast(offsets), part)
+            .withColumn(name, F.col(mid) + F.col(first)).drop(mid, part, first))

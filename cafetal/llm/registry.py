@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cafetal.llm import ann, bpe, decontam, licenses, linededup, maxent, pii, sharding, simhash, toxicity
+from cafetal.llm import ann, bpe, convrepair, decontam, licenses, linededup, maxent, pii, sharding, simhash, toxicity
 from cafetal.llm.common import table
 
 
@@ -61,8 +61,13 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.shard(table(spark, sf_dir, "documents")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_learned_partitions, op2_bpe, op3_toxicity, op4_pii, op5_simhash, op6_maxent_lm, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards)}
+    return {f.__name__: f for f in (op1_learned_partitions, op2_bpe, op3_toxicity, op4_pii, op5_simhash, op6_maxent_lm, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards,
+                                      op11_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -102,7 +102,7 @@ def test_run_and_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert sorted(int(m[1]) for q in entry.queries() if (m := re.match(r"op(\d+)_", q))) == list(range(1, 11))
+    assert sorted(int(m[1]) for q in entry.queries() if (m := re.match(r"op(\d+)_", q))) == list(range(1, 14))
     assert corpus_pipeline.run(spark, SF_SMALL).count() > 0 and os.path.isdir(SF_SMALL)
 
 
