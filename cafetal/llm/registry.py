@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cafetal.llm import ann, bpe, convrepair, decontam, licenses, linededup, maxent, pii, sharding, simhash, toxicity
+from cafetal.llm import (ann, bpe, convrepair, decontam, hardneg, licenses, linededup, maxent, pii, sharding, simhash,
+                         spotsigs, toxicity)
 from cafetal.llm.common import table
 
 
@@ -65,10 +66,18 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convrepair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_learned_partitions, op2_bpe, op3_toxicity, op4_pii, op5_simhash, op6_maxent_lm, op7_line_dedup, op8_license_scan, op9_decontaminate, op10_histogram_shards,
-                                      op11_conversation_repair)}
+                                      op11_conversation_repair, op12_hard_negatives, op13_spotsigs)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": linededup.ORACLE}
+    return {"op7_line_dedup": linededup.ORACLE, "op12_hard_negatives": hardneg.ORACLE, "op13_spotsigs": spotsigs.ORACLE}
