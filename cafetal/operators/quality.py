@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cafetal import constants as K
 from cafetal.functions import rnd
 from cafetal.operators.silver import detect_columns
+from cafetal.operators.spells import coverage_gaps
 
 
 def count_if(cond: Column) -> Column:
@@ -243,25 +244,10 @@ def coords_in_country(bronze: DataFrame) -> DataFrame:
 def date_gaps(silver: DataFrame, start: str = K.COVERAGE[0], end: str = K.COVERAGE[1]) -> DataFrame:
     """Point-days missing from the declared coverage [start, end] (days outside it don't count).
 
-    The days of a point and month are one bit mask, so the only shuffle of daily
-    rows is a partially aggregated one, and what follows is a row per point and
-    month.  A bad date can't widen the calendar: the coverage bounds it.
+    The intervals of ``coverage_gaps``, day by day; ask for those where the intervals will do.
     """
-    first = F.trunc(F.lit(start).cast("date"), "month")
-    inside = silver.filter(F.col("fecha").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    month = F.trunc("fecha", "month")
-    masks = (inside.groupBy("lat", "lon", month.alias("_m"))
-             .agg(F.bit_or(F.expr("shiftleft(1, day(fecha) - 1)")).alias("_days")))
-    points = silver.select("lat", "lon").distinct()  # a point with no day inside misses all of it
-    per_point = (masks.groupBy("lat", "lon").agg(F.map_from_entries(F.collect_list(F.struct("_m", "_days"))).alias("_seen"))
-                 .join(points, ["lat", "lon"], "right"))
-    months = per_point.select("lat", "lon", "_seen", F.explode(
-        F.sequence(first, F.lit(end).cast("date"), F.expr("INTERVAL 1 MONTH"))).alias("_m"))
-    seen = F.coalesce(F.element_at("_seen", F.col("_m")), F.lit(0))
-    absent = F.filter(F.sequence(F.greatest(F.col("_m"), F.lit(start).cast("date")),
-                                 F.least(F.last_day("_m"), F.lit(end).cast("date")), F.expr("INTERVAL 1 DAY")),
-                      lambda d: seen.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.dayofmonth(d) - 1)) == 0)
-    return months.select("lat", "lon", F.explode(absent).alias("fecha"))
+    gaps = coverage_gaps(silver, start, end)
+    return gaps.select("lat", "lon", F.explode(F.sequence("inicio", "fin")).alias("fecha"))
 
 
 def missing_years(bronze: DataFrame, first: int, last: int) -> DataFrame:

@@ -20,15 +20,21 @@ from cafetal import constants as K
 from cafetal.functions import comfort_day, comfort_score, composite_key, optimal_day
 from cafetal.operators import agro as A
 from cafetal.operators import gold as G
+from cafetal.operators import intervals as I
 from cafetal.operators import mapdata as M
 from cafetal.operators import quality as Q
+from cafetal.operators import rolling as W
 from cafetal.operators import silver as S
+from cafetal.operators import spatial as N
+from cafetal.operators import spells as L
+from cafetal.operators.asof import asof_join
+from cafetal.plans import incremental as D
 from cafetal.plans import pipeline as P
 from cafetal.session import scratch_path
 from cafetal.sources import csv_ingest as C
 from cafetal.sources import io
 from cafetal.sources import raster as R
-from cafetal.sources.fixture import bronze_fixture, coarse_grid_fixture, hourly_readings
+from cafetal.sources.fixture import bronze_fixture, coarse_grid_fixture, hourly_readings, station_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +47,8 @@ RANKING_COLUMNS = ["pk_gold", "lat", "lon", "dias_evaluados", "dias_optimos", "p
 CSV_REORDERED_YEAR = 1996         # written with its columns in reverse order
 CSV_NO_EVAP_YEAR = 2001           # written without potential_evaporation_sum
 EXPECTED_YEARS = (1993, 2002)     # expected coverage for missing_years
+TOLERANCE = 0.18                  # degrees: half the diagonal of a 0.25 degree cell, rounded up
+CHANGED_MONTH = (1998, 3)         # published anew for incremental_gold
 SAMPLE_START, SAMPLE_END = "1996-01-01", "2001-01-01"   # half-open date range
 
 
@@ -290,7 +298,58 @@ def q_monthly_anomaly(spark, sf_dir):
     return A.monthly_anomaly(_silver(spark, sf_dir))
 
 
+def q_nearest_cell(spark, sf_dir):
+    return N.nearest_cell(_ranking(spark, sf_dir).select("lat", "lon"), coarse_grid_fixture(spark, sf_dir), TOLERANCE)
+
+
+def _dry(spark, sf_dir):
+    return L.dry_spells(_silver(spark, sf_dir), K.RAIN_MIN_OPT)
+
+
+def q_asof_grid_day(spark, sf_dir):
+    silver = _silver(spark, sf_dir).select("lat", "lon", F.col("fecha").cast("timestamp_ntz").alias("dia"), "temp_c", "rain_mm")
+    return asof_join(station_readings(spark, sf_dir).select("event_id", "lat", "lon", "ts_utc", "lectura"), silver,
+                     ["lat", "lon"], "ts_utc", "dia", ["temp_c", "rain_mm"])
+
+
+def q_readings_in_spells(spark, sf_dir):
+    return I.readings_in_spells(station_readings(spark, sf_dir).select("event_id", "lat", "lon", "fecha_local", "lectura"),
+                                _dry(spark, sf_dir))
+
+
+def q_compound_spells(spark, sf_dir):
+    hot = L.spells(_silver(spark, sf_dir), F.col("temp_c") > F.lit(K.TEMP_MAX_OPT))
+    return I.compound_spells(_dry(spark, sf_dir), hot)
+
+
 # ---------------------------------------------------------------- aggregations, windows, top-k
+def q_dry_spells(spark, sf_dir):
+    return _dry(spark, sf_dir)
+
+
+def q_rolling_rain(spark, sf_dir):
+    return W.rolling_rain(_silver(spark, sf_dir))
+
+
+def q_rollup_scores(spark, sf_dir):
+    return W.rollup_scores(_silver(spark, sf_dir))
+
+
+def q_incremental_gold(spark, sf_dir):
+    """The cube after one published month was replaced: its rows of odd days only, two degrees warmer."""
+    silver, root = _silver(spark, sf_dir), scratch_path(spark, "incremental")
+    published = io.write_partitioned(silver, f"{root}/silver", ["anio", "mes"])
+    D.update(spark, published, f"{root}/state")
+    year, month = CHANGED_MONTH
+    new = (silver.filter((F.col("anio") == year) & (F.col("mes") == month) & (F.dayofmonth("fecha") % 2 == 1))
+           .withColumn("temp_c", F.col("temp_c") + F.lit(2.0)))
+    io.write_partitioned(new, published, ["anio", "mes"])
+    done = D.update(spark, published, f"{root}/state")
+    if done["scanned"] != [CHANGED_MONTH] or done["removed"]:
+        raise RuntimeError(f"an update of {CHANGED_MONTH} scanned {done}")
+    return D.cube(spark, f"{root}/state")
+
+
 def q_duplicate_keys(spark, sf_dir):
     return Q.duplicate_keys(_bronze(spark, sf_dir), ["fecha", "latitud", "longitud"])
 
@@ -348,6 +407,10 @@ def q_date_gaps(spark, sf_dir):
     return Q.date_gaps(_silver(spark, sf_dir), *COVERAGE)
 
 
+def q_coverage_gaps(spark, sf_dir):
+    return L.coverage_gaps(_silver(spark, sf_dir), *COVERAGE)
+
+
 def q_dew_le_temp(spark, sf_dir):
     return Q.dew_le_temp(_bronze(spark, sf_dir))
 
@@ -465,6 +528,10 @@ def queries() -> dict[str, Query]:
         "executive_summary": q_executive_summary,
         "point_month_join": q_point_month_join,
         "grid_match": q_grid_match,
+        "nearest_cell": q_nearest_cell,
+        "asof_grid_day": q_asof_grid_day,
+        "readings_in_spells": q_readings_in_spells,
+        "compound_spells": q_compound_spells,
         "monthly_anomaly": q_monthly_anomaly,
         # aggregations
         "ranking": q_ranking,
@@ -476,8 +543,12 @@ def queries() -> dict[str, Query]:
         "thermal_amplitude": q_thermal_amplitude,
         "icc_ranking": q_icc_ranking,
         "icc_seasonality": q_icc_seasonality,
+        "rollup_scores": q_rollup_scores,
+        "incremental_gold": q_incremental_gold,
         # windows, sorts, top-k
         "map_feed": q_map_feed,
+        "dry_spells": q_dry_spells,
+        "rolling_rain": q_rolling_rain,
         "bronze_sorted": q_bronze_sorted,
         "seasonality_sorted": q_seasonality_sorted,
         "summary_sorted": q_summary_sorted,
@@ -494,6 +565,7 @@ def queries() -> dict[str, Query]:
         "validation_verdict": q_validation_verdict,
         "loss_gate": q_loss_gate,
         "date_gaps": q_date_gaps,
+        "coverage_gaps": q_coverage_gaps,
         "dew_le_temp": q_dew_le_temp,
         "coords_in_country": q_coords_in_country,
         "summary_cardinality": q_summary_cardinality,

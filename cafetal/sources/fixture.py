@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _longitude(s):
+    return ((F.lit(-76600000) + F.lit(10000) * ((s * 31) % 220) + F.floor(s / F.lit(22000.0)).cast("long")).cast("double")
+            / F.lit(1e6))
+
+
+def _latitude(s):
+    return (F.lit(3900007) + F.lit(100) * ((s * 7919) % 22000)).cast("double") / F.lit(1e6)
+
+
 def bronze_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (day, grid point) with bronze names and units (K, m, J/m2).
 
@@ -37,9 +46,7 @@ def bronze_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_k = (F.lit(28315.0) + F.lit(40.0) * q)
     return g.select(
         "fecha",
-        ((F.lit(-76600000) + F.lit(10000) * ((F.col("s") * 31) % 220)
-          + F.floor(F.col("s") / F.lit(22000.0)).cast("long")).cast("double") / F.lit(1e6)).alias("longitud"),
-        ((F.lit(3900007) + F.lit(100) * ((F.col("s") * 7919) % 22000)).cast("double") / F.lit(1e6)).alias("latitud"),
+        _longitude(F.col("s")).alias("longitud"), _latitude(F.col("s")).alias("latitud"),
         F.when((n == 6) & (q == 1), F.lit(None).cast("double"))
          .when((n == 5) & (q == 50) & (t == 8), F.lit(999.0))
          .otherwise(base_k / F.lit(1e2)).alias("temp_k"),
@@ -68,3 +75,16 @@ def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", F.col("user_id").alias("punto"),
                      F.col("ts").alias("ts_utc"), F.col("value").alias("lectura"))
 
+
+def station_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly readings of stations at grid points, moved into the years of the daily grid.
+
+    A station stands at the point of the supplier whose number its user number leaves modulo the number of suppliers;
+    its clock is 26 years back.
+    """
+    points = max(1, table(spark, sf_dir, "supplier").count())
+    s = F.col("punto") % points
+    moved = F.col("ts_utc") - F.expr("INTERVAL 26 YEARS")
+    return (hourly_readings(spark, sf_dir)
+            .select("event_id", rnd(_latitude(s), 6).alias("lat"), rnd(_longitude(s), 6).alias("lon"),
+                    moved.alias("ts_utc"), (moved - F.expr("INTERVAL 5 HOURS")).cast("date").alias("fecha_local"), "lectura"))
