@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated rows are one document), after the last one the first.  The edited text has its last quarter
     (``floor(n_chars / 4)`` code points) replaced by the first as many (or all) of the next text.  A null text is
     empty.  Returns a row for each row: id, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
-    ``near_edited``, ``near_next``, ``n_signatures`` and ``length_part``.  Other columns are not looked at.
+    ``near_edited``, ``near_next``, ``n_signatures``, ``length_part`` and ``next_id``.  Other columns are not looked at.
 
     Two shuffles by id: one of the texts, one of quarters of texts and hashed signatures.
     """
@@ -120,8 +120,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gives = order.select("__g", "__k", "__h").join(before, "__g").drop("__g")
     whole = (rows.groupBy("__k", "__h").agg(F.first("__id").alias("__id"), F.first("__text").alias("__text"),
                                             F.count(F.lit(1)).alias("__rows")).join(gives, ["__k", "__h"]))
-    gifts = whole.select(F.col("__to_k").alias("__k"), F.col("__to_h").alias("__h"),
-                         F.expr("left(__text, __need)").alias("__head"), hashed(signatures(F.col("__text"))).alias("__next"))
+    # both uses of ``whole`` need the same columns of the texts' shuffle, so that it is made once
+    gifts = whole.filter("__rows > 0").select(
+        F.col("__to_k").alias("__k"), F.col("__to_h").alias("__h"), F.col("__id").alias("__next_id"),
+        F.expr("left(__text, __need)").alias("__head"), hashed(signatures(F.col("__text"))).alias("__next"))
     n = F.length("__text")
     edited = F.concat(F.expr("left(__text, length(__text) - cast(floor(length(__text) / 4) as int))"), "__head")
     out = (whole.select("__k", "__h", "__id", "__text", "__rows").join(gifts, ["__k", "__h"])
@@ -132,7 +134,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                    fingerprint(F.col("__changed")).alias("edited_fingerprint"),
                    likeness(F.col("__own"), F.col("__changed")).alias("near_edited"),
                    likeness(hashed(F.col("__own")), F.col("__next")).alias("near_next"),
-                   F.size("__own").cast("long").alias("n_signatures"), length_part(F.col("__own")).alias("length_part"), "__rows"))
+                   F.size("__own").cast("long").alias("n_signatures"), length_part(F.col("__own")).alias("length_part"),
+                   F.col("__next_id").alias("next_id"), "__rows"))
     return out.withColumn("__rows", F.explode(F.sequence(F.lit(1).cast("long"), "__rows"))).drop("__rows")
 
 
@@ -142,10 +145,11 @@ def _oracle() -> str:
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 pairs AS (
   SELECT doc_id, text, length(text) AS n,
+         coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_id,
          coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next_text
   FROM docs
 ), edits AS (
-  SELECT doc_id, n, text, next_text, left(text, n - n // 4) || left(next_text, n // 4) AS edited FROM pairs
+  SELECT doc_id, n, text, next_id, next_text, left(text, n - n // 4) || left(next_text, n // 4) AS edited FROM pairs
 ), texts AS (
   SELECT DISTINCT text FROM (SELECT text FROM docs UNION ALL SELECT edited FROM edits)
 ), cut AS (
@@ -163,7 +167,7 @@ pairs AS (
     ELSE list_transform(range(1, greatest(len(ws) - {CHAIN}, 1) + 1),
                         lambda i: array_to_string(list_slice(ws, i, i + {CHAIN}), ' ')) END)) AS s FROM found
 ), compared AS (
-  SELECT e.doc_id, e.n, e.edited, a.s AS a, b.s AS b, c.s AS c,
+  SELECT e.doc_id, e.n, e.next_id, e.edited, a.s AS a, b.s AS b, c.s AS c,
          len(list_intersect(a.s, b.s)) AS ab, len(list_intersect(a.s, c.s)) AS ac
   FROM edits e JOIN sets a ON a.text = e.text JOIN sets b ON b.text = e.edited JOIN sets c ON c.text = e.next_text
 )
@@ -172,7 +176,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
        CASE WHEN len(a) + len(b) = 0 THEN 1e0 ELSE ab / (len(a) + len(b) - ab)::DOUBLE END AS near_edited,
        CASE WHEN len(a) + len(c) = 0 THEN 1e0 ELSE ac / (len(a) + len(c) - ac)::DOUBLE END AS near_next,
        CAST(len(a) AS BIGINT) AS n_signatures,
-       CAST(CASE WHEN len(a) > 0 THEN floor(ln(len(a)::DOUBLE) / ln(1 / 0.8) + 1e-9) ELSE -1 END AS INTEGER) AS length_part
+       CAST(CASE WHEN len(a) > 0 THEN floor(ln(len(a)::DOUBLE) / ln(1 / 0.8) + 1e-9) ELSE -1 END AS INTEGER) AS length_part, next_id
 FROM compared
 """
 

@@ -81,7 +81,7 @@ def test_one_and_no_document(spark):
 def test_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF_MID}/documents.parquet'")
-    names = [*COLUMNS, "n_signatures", "length_part"]
+    names = [*COLUMNS, "n_signatures", "length_part", "next_id"]
     want = sorted((tuple(r) for r in con.sql(f"SELECT {', '.join(names)} FROM ({ss.ORACLE})").fetchall()))
     got = ss.fingerprints(spark.read.parquet(f"{SF_MID}/documents.parquet")).select(*names).collect()
     assert sorted(tuple(r) for r in got) == want
