@@ -19,25 +19,48 @@ _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 # Phrases of the contract and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Wording of common license notices.
+# Wording of common license notices and texts.  What follows a slash tells variants of a label apart.
 TEMPLATES = {
     "agpl-3.0": "licensed under the GNU Affero General Public License, version 3",
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted "
            "provided that the following conditions are met",
     "cc-by-4.0": "Licensed under a Creative Commons Attribution 4.0 International License",
+    "cc-by-4.0/short": "Licensed under CC BY 4.0",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
+    "cc-by-nc-4.0/long": "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
+    "cc-by-sa-4.0/long": "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
     "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
                   "GNU General Public License as published by the Free Software Foundation",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+           "granted, provided that the above copyright notice and this permission notice appear in all copies",
     "lgpl": "licensed under the GNU Lesser General Public License",
     "mit": "Released under the MIT License",
     "mit-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
                   "associated documentation files, to deal in the Software without restriction",
+    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+                "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+                "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+                "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+                "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+                "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+                "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+                "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+                "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
+    "zlib": "This software is provided as-is, without any express or implied warranty. In no event will the authors be held "
+            "liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+            "software for any purpose, including commercial applications, and to alter it and redistribute it freely",
 }
 
+# Families of licenses (a word that all their templates hold one of) and the words that tell siblings apart.
+FAMILIES = [(("gnu",), ("affero", "lesser")),
+            (("cc", "creative"), ("nc", "noncommercial", "sa", "sharealike", "nd", "noderivatives"))]
+
 
 def words(text: str) -> list[bytes]:
     return _WORDS(text.encode().lower())
@@ -53,105 +76,79 @@ class TemplateIndex:
         self.templates = {name: [self.rank[w] for w in sorted(s, key=self.rank.get)] for name, s in sets.items() if s}
         # tokens that must be common; the small term keeps 0.8 * 5 at 4
         self.need = {n: max(1, math.ceil(threshold * len(t) - 1e-9)) for n, t in self.templates.items()}
-        self.prefix: dict[int, list[tuple[str, int]]] = {}
+        self.prefix: dict[int, list[str]] = {}
         for name, t in self.templates.items():
-            for i, w in enumerate(t[:len(t) - self.need[name] + 1]):
-                self.prefix.setdefault(w, []).append((name, i))
+            for w in t[:len(t) - self.need[name] + 1]:
+                self.prefix.setdefault(w, []).append(name)
         self.triggers = {order[k] for k in self.prefix}
-        # words of a block that runs over any number of lines: a template's own, at the threshold's share
+        # words of a block: as many as the template's at the threshold's share
         self.longest = {n: math.ceil(len(words(templates[n])) / threshold - 1e-9) for n in self.templates}
-
-    def match(self, block: set[int]) -> dict[str, float]:
-        """Templates contained in a block (ranks of its known tokens) and their containment."""
-        tokens = sorted(block)
-        seen: set[str] = set()
-        out = {}
-        for j, w in enumerate(tokens):
-            for name, i in self.prefix.get(w, ()):
-                if name in seen:
-                    continue
-                seen.add(name)
-                t, need = self.templates[name], self.need[name]
-                if len(tokens) < need:  # length filter
-                    continue
-                # Positional filter: this is the template's first token in the block, so at most the
-                # tokens behind it on either side can still be common.
-                if 1 + min(len(t) - i - 1, len(tokens) - j - 1) < need:
-                    continue
-                common = sum(x in block for x in t[i:])
-                if common >= need:
-                    out[name] = common / len(t)
-        return out
-
-
-def _scan_blocks(text: str, index: TemplateIndex, span: int, wrapped: bool = False) -> list[tuple[str, int, int, float]]:
-    """(template, first line, lines, containment) for the smallest windows of lines that match."""
-    rank = index.rank
-    lines = [{rank[w] for w in words(x) if w in rank} for x in text.split("\n")]
-    found: list[tuple[str, int, int, float]] = []
-    inside: dict[str, set[int]] = {}  # lines at which smaller matching windows start
-    ends: dict[tuple[str, int], int] = {}
-    for n in range(1, span + 1):
-        for k in range(len(lines) - n + 1):
-            if not any(lines[k:k + n]):
+        # words that must stand in a block, and those that must not
+        self.marks = {}
+        for n in self.templates:
+            own = [marks for heads, marks in FAMILIES if any(h.encode() in sets[n] for h in heads)]
+            marks = {m.encode() for ms in own for m in ms}
+            self.marks[n] = marks & sets[n], marks - sets[n]
+
+    def _stretches(self, name: str, hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(distinct tokens, first word, last word) of blocks that match; of blocks that overlap the best.
+
+        ``hits`` are the places of the template's tokens, as (word number, rank).
+        """
+        template, need, longest = self.templates[name], self.need[name], self.longest[name]
+        place = {w: i for i, w in enumerate(template)}
+        prefix = len(template) - need + 1
+        found = []
+        at = [i for i, _ in hits]
+        start = 0
+        for i, w in hits:
+            if place[w] >= prefix or i < start:
                 continue
-            for name, c in index.match(set().union(*lines[k:k + n])).items():
-                starts = inside.setdefault(name, set())
-                if any(s in starts and ends[name, s] <= k + n for s in range(k, k + n)):
-                    continue  # a smaller window within this one has it
-                starts.add(k)
-                ends[name, k] = k + n
-                found.append((name, k, n, c))
-    if wrapped:
-        found += _wrapped_blocks(lines, text, index, span, found)
-    return sorted(found, key=lambda m: (m[1], m[2], m[0]))
-
-
-def _wrapped_blocks(lines: list[set[int]], text: str, index: TemplateIndex, span: int,
-                    short: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
-    """Matches on more than ``span`` lines, of at most ``longest`` words, without a smaller match inside.
-
-    Only templates with a prefix token in the text are looked at; two pointers over
-    their tokens' positions give the smallest stretches with enough distinct ones.
-    """
-    hits, at = [], 0  # (rank, word number, line) of the known words
-    for k, line in enumerate(text.split("\n")):
-        ws = words(line)
-        if lines[k]:
-            hits += [(index.rank[w], at + i, k) for i, w in enumerate(ws) if w in index.rank]
-        at += len(ws)
-    present = set().union(*lines)
-    out = []
-    for name in sorted({name for w in present for name, _ in index.prefix.get(w, ())}):
-        template, need = set(index.templates[name]), index.need[name]
-        if len(template & present) < need:
-            continue
-        own = [h for h in hits if h[0] in template]
-        inside: Counter = Counter()
-        left, wide = 0, []  # (first line, last line), both rising
-        for w, i, last in own:
-            inside[w] += 1
-            while inside[own[left][0]] > 1 or len(inside) > need or i - own[left][1] >= index.longest[name]:
-                x = own[left][0]
-                inside[x] -= 1
-                if not inside[x]:
-                    del inside[x]
-                left += 1
-            if len(inside) < need:
+            # prefix filter: a matching block holds a prefix token, so it lies around one (or a chain of them)
+            low, high = i - longest + 1, i + longest
+            while (more := [j for j, x in hits[bisect_left(at, i):bisect_left(at, high)] if place[x] < prefix][-1] + longest) > high:
+                high = more
+            start = high
+            part = hits[bisect_left(at, low):bisect_left(at, high)]
+            if len(part) < need:  # length filter
+                continue
+            # positional filter: no more can be common than the tokens from the rarest one here on
+            if len(template) - min(place[x] for _, x in part) < need:
                 continue
-            first = own[left][2]
-            if wide and wide[-1][1] == last:
-                wide.pop()  # holds this one
-            if not wide or wide[-1][0] < first:
-                wide.append((first, last))
-        least = sorted((k, k + n - 1) for label, k, n, _ in short if label == name)
-        for first, last in wide:
-            j = bisect_left(least, (first, 0))
-            if last - first < span or j < len(least) and least[j][1] <= last:
+            inside: Counter = Counter()
+            left = 0
+            for j, x in part:
+                inside[x] += 1
+                while j - part[left][0] >= longest or inside[part[left][1]] > 1:
+                    y = part[left][1]
+                    inside[y] -= 1
+                    if not inside[y]:
+                        del inside[y]
+                    left += 1
+                if len(inside) >= need:
+                    found.append((-len(inside), j - part[left][0], part[left][0], j))
+        chosen: list[tuple[int, int, int]] = []
+        for n, _, first, last in sorted(found):
+            k = bisect_left(chosen, (first,))
+            if (k == len(chosen) or chosen[k][0] > last) and (k == 0 or chosen[k - 1][1] < first):
+                chosen.insert(k, (first, last, -n))
+        return [(n, first, last) for first, last, n in chosen]
+
+    def matches(self, ws: list[bytes]) -> list[tuple[str, int, int, float]]:
+        """(label, first word, words, containment) of the blocks of a text, wherever its lines break."""
+        hits = [(i, self.rank[w]) for i, w in enumerate(ws) if w in self.rank]
+        present = {w for _, w in hits}
+        out = set()
+        for name in {name for w in present for name in self.prefix.get(w, ())}:
+            template = set(self.templates[name])
+            if len(template & present) < self.need[name]:
                 continue
-            block = set().union(*lines[first:last + 1])
-            out.append((name, first, last - first + 1, len(template & block) / len(template)))
-    return out
+            must, may_not = self.marks[name]
+            for n, first, last in self._stretches(name, [h for h in hits if h[1] in template]):
+                block = set(ws[first:last + 1])
+                if must <= block and not may_not & block:
+                    out.add((name.split("/")[0], first, last - first + 1, n / len(template)))
+        return sorted(out, key=lambda m: (m[1], m[2], m[0], m[3]))
 
 
 def _frequencies(vocabulary: frozenset[bytes]):
@@ -166,11 +163,11 @@ def _frequencies(vocabulary: frozenset[bytes]):
     return run
 
 
-_MATCH = pa.struct([("label", pa.string()), ("first_line", pa.int32()), ("lines", pa.int32()),
-                    ("containment", pa.float64())])
+_FIELDS = ("label", "first_word", "words", "containment")
+_MATCH = pa.struct(zip(_FIELDS, (pa.string(), pa.int64(), pa.int64(), pa.float64()), strict=True))
 
 
-def _scan(index: TemplateIndex, phrases: dict[str, str], span: int, wrapped: bool):
+def _scan(index: TemplateIndex, phrases: dict[str, str]):
     by_first: dict[bytes, list[tuple[list[bytes], str]]] = {}
     for p, label in phrases.items():
         by_first.setdefault(words(p)[0], []).append((words(p), label))
@@ -186,7 +183,7 @@ def _scan(index: TemplateIndex, phrases: dict[str, str], span: int, wrapped: boo
                         places.append(i)
                         labels.add(label)
         if not index.triggers.isdisjoint(ws):
-            matches = _scan_blocks(text, index, span, wrapped)
+            matches = index.matches(ws)
         return len(ws), len(places), min(places, default=None), max(places, default=None), sorted(labels), matches
 
     def run(batches):
@@ -196,28 +193,28 @@ def _scan(index: TemplateIndex, phrases: dict[str, str], span: int, wrapped: boo
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(base, pa.int64()), pa.array(first, pa.int64()),
                  pa.array(last, pa.int64()), pa.array(labels, pa.list_(pa.string())),
-                 pa.array([[dict(zip(("label", "first_line", "lines", "containment"), m, strict=True)) for m in ms]
-                           for ms in matches], pa.list_(_MATCH))],
+                 pa.array([[dict(zip(_FIELDS, m, strict=True)) for m in ms] for ms in matches], pa.list_(_MATCH))],
                 names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base", "matches"])
 
     return run
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8, span: int = 3,
-                  phrases: dict[str, str] = PHRASES, wrapped: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.8,
+                  phrases: dict[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """License phrases and license templates found in every whole text.
 
-    Blocks are all windows of up to ``span`` consecutive lines and, with ``wrapped``,
-    stretches over any number of lines with at most 1 / ``threshold`` times the template's words.  A block matches a
-    template if it holds at least ``threshold`` of the template's distinct words;
-    of nested blocks the smallest is reported.  Tokens are ordered by the number of
+    A block is a stretch of words of at most 1 / ``threshold`` times the template's words, wherever lines
+    break.  It matches a template if it holds at least ``threshold`` of the template's distinct words; of blocks that
+    overlap, the one with most of them, then the shortest, then the first is reported.  Siblings that differ
+    by a word (Affero, Lesser, NC, SA) are told apart by it: a block must hold just those of
+    its family's marks that the template holds.  Tokens are ordered by the number of
     documents of this corpus that hold them, rarest first; a block can only match
-    through a token of a template's prefix, and length and positional bounds rule
-    out further pairs before the count.  The join is exact.
+    around a token of a template's prefix, and length and positional bounds rule
+    out further stretches before the count.  The join is exact.
 
     Returns one row per input row: ``doc_id``, ``n_words``, ``n_base`` (places of
     ``phrases``, across lines), ``first_word``, ``last_word`` (null without any),
-    ``base`` (labels of phrases), ``matches`` (label, first_line, lines,
+    ``base`` (labels of phrases), ``matches`` (label, first_word, words,
     containment).  A null or empty text has no words and no matches; null ids are
     passed on; other columns are not carried.
 
@@ -230,9 +227,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
               .groupBy("w").agg(F.sum("n").alias("n")).collect())  # at most the templates' vocabulary
     index = TemplateIndex(templates, threshold, {r.w.encode(): r.n for r in counts})
     return base.mapInArrow(
-        _scan(index, phrases, span, wrapped),
+        _scan(index, phrases),
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, "
-        "matches array<struct<label:string,first_line:int,lines:int,containment:double>>")
+        "matches array<struct<label:string,first_word:long,words:long,containment:double>>")
 
 
 def digest(result: DataFrame) -> DataFrame:
