@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from cafetal.llm.common import column, materialise, slices
 
 FEATURES = 18  # words are hashed to 2^18 TF-IDF features
-_SPARE = 8  # dimensions of the randomised range beyond a block's items
-_PLAIN = 64  # commonest words of the items, counted per passage
+_SPARE = 8  # dimensions of the randomised range beyond the rank
+_PLAIN = 64  # commonest words, counted per passage instead of added up one by one
+_HEAVY = 1 << 13  # features of the latent space beside the items' own: those with most weight in the corpus
+UNIT = 128  # words of an item that are looked for together; longer items are several units
 HALF = 32  # passages are windows of two halves of so many words, each half in two windows
 _WORD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -60,8 +62,8 @@ def _passage_counts(batches):
                                      names=["f", "n"])
 
 
-def inverse_frequencies(toks: DataFrame, common: float) -> np.ndarray:
-    """IDF of every feature over all passages; 0 for features in more than ``common`` of them."""
+def inverse_frequencies(toks: DataFrame, common: float) -> tuple[np.ndarray, np.ndarray]:
+    """IDF of every feature over all passages, 0 for features in more than ``common`` of them; and the passages that hold it."""
     got = toks.select("__toks").mapInArrow(_passage_counts, "f long, n long").groupBy("f").agg(F.sum("n").alias("n"))
     n = np.zeros((1 << FEATURES) + 1)
     rows = got.toPandas()  # at most 2^18 + 1 rows
@@ -69,7 +71,7 @@ def inverse_frequencies(toks: DataFrame, common: float) -> np.ndarray:
     total, n = max(n[-1], 1), n[:-1]
     idf = np.log((total + 1) / (n + 1))
     idf[n > common * total] = 0
-    return idf.astype(np.float32)
+    return idf.astype(np.float32), n
 
 
 def _tfidf(toks: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,63 +82,102 @@ def _tfidf(toks: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return f, w / max(np.sqrt((w * w).sum()), 1e-30)
 
 
-def randomised_svd(items: DataFrame, idf: np.ndarray, rank: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Right singular vectors of the items' TF-IDF matrix: (feature numbers, a row of ``rank`` each).
+class Space:
+    """Rows of a features x dimensions matrix, with the commonest features apart."""
 
-    Two distributed passes: the sum of a'(a Omega) over the rows a gives the range,
-    its basis Q the small matrix of sums of (aQ)'(aQ), whose eigenvectors turn Q
-    into singular vectors.  Sums of partitions are added up by Spark.
+    def __init__(self, names: np.ndarray, idf: np.ndarray):
+        self.names, self.idf = names, idf
+        self.row = np.full(1 << FEATURES, -1, np.int32)
+        self.row[names] = np.arange(len(names))
+        # The commonest words make up most tokens: they are counted per passage, the others added one by one.
+        order = np.argsort(idf[names], kind="stable")
+        self.plain = order[idf[names][order] > 0][:_PLAIN]
+        self.plain_at = np.full(len(names) + 1, -1, np.int32)  # row -1, the features outside, is the last
+        self.plain_at[self.plain] = np.arange(len(self.plain))
+
+    def split(self, f: np.ndarray, group: np.ndarray, groups: int):
+        """Counts of the commonest features per group, and (token number, row) of the others."""
+        row = self.row[f]
+        plain, m = self.plain_at[row], len(self.plain)
+        is_plain = plain >= 0
+        counts = np.bincount(group[is_plain] * m + plain[is_plain], minlength=groups * m) if m else np.zeros(0)
+        other = np.flatnonzero((row >= 0) & ~is_plain)
+        other = other[self.idf[f[other]] > 0]
+        return counts.reshape(groups, m).astype(np.float32), other, row[other]
+
+    def fold(self, counts: np.ndarray, group: np.ndarray, row: np.ndarray, weighted: np.ndarray) -> np.ndarray:
+        """The groups' sums of ``weighted`` rows; ``group`` rises."""
+        z = counts @ weighted[self.plain] if len(self.plain) else np.zeros((len(counts), weighted.shape[1]), np.float32)
+        if len(row):
+            start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            z[group[start]] += np.add.reduceat(weighted[row], start, axis=0)
+        return z
+
+
+def latent_features(items: list[Item], idf: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The items' features and those of most weight in the corpus."""
+    mass = counts * idf.astype(float) ** 2
+    heavy = np.argsort(-mass, kind="stable")[:_HEAVY]
+    own = [features(i.toks) for i in items]
+    names = np.unique(np.concatenate([heavy[mass[heavy] > 0], *own]))
+    return names[idf[names] > 0]
+
+
+def randomised_svd(toks: DataFrame, space: Space, rank: int, seed: int = 7) -> np.ndarray:
+    """Leading right singular vectors of the TF-IDF matrix of all passages: a row of ``rank`` for each feature of ``space``.
+
+    The matrix has a row per passage (64 words, one after the other, over whole texts), of length 1.  Two distributed
+    passes over the tokens: the sum of a'(a Omega) over its rows a gives a range, whose basis Q goes
+    through the same sum once more (a power pass); the eigenvectors of Q'(A'A)Q turn Q into singular vectors.  Each task
+    adds up its passages in a features x rank table, Spark adds up the tables.
     """
-    spark = items.sparkSession
-    sums = [F.sum(f"v{k}").alias(f"v{k}") for k in range(rank)]
-    schema = "f long, " + ", ".join(f"v{k} double" for k in range(rank))
-
-    def add_up(df: DataFrame, run):
-        got = df.select("__toks").mapInArrow(run, schema).groupBy("f").agg(*sums).orderBy("f").toPandas()
-        return got.f.to_numpy(), got.drop(columns="f").to_numpy(float)
-
-    def batch(f, v):
-        return pa.RecordBatch.from_arrays([pa.array(f), *(pa.array(np.ascontiguousarray(c)) for c in v.T)],
-                                          names=["f", *(f"v{k}" for k in range(rank))])
-
-    frequencies = spark.sparkContext.broadcast(idf)
-
-    def omega(f):  # a feature's random row is a function of its number: nothing to send
-        return np.stack([np.random.default_rng((seed, int(x))).standard_normal(rank) for x in f])
-
-    def sketch(batches):
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for raw in column(b, "__toks"):
-                f, w = _tfidf(np.frombuffer(raw, np.uint32), frequencies.value)
-                if len(f):
-                    y = w @ omega(f)
-                    for x, a in zip(f.tolist(), w.tolist(), strict=True):
-                        total[x] = total[x] + a * y if x in total else a * y
-        if total:
-            yield batch(np.array(list(total), np.int64), np.stack(list(total.values())))
-
-    names, y = add_up(items, sketch)
-    if not len(names):
-        return names, y
-    q, r = np.linalg.qr(y)
-    basis = spark.sparkContext.broadcast((names, q))
-
-    def gram(batches):
-        names, q = basis.value
-        total = np.zeros((q.shape[1], rank))
-        for b in batches:
-            for raw in column(b, "__toks"):
-                f, w = _tfidf(np.frombuffer(raw, np.uint32), frequencies.value)
-                z = w @ q[np.searchsorted(names, f)]
-                total[:, :q.shape[1]] += np.outer(z, z)
-        yield batch(np.arange(q.shape[1]), total)
-
-    _, g = add_up(items, gram)
-    g = g[:, :q.shape[1]]
-    values, vectors = np.linalg.eigh((g + g.T) / 2)
-    keep = values > 1e-9 * max(values.max(), 1e-30)
-    return names, q @ vectors[:, keep][:, ::-1]
+    spark = toks.sparkSession
+    wide = min(rank + _SPARE, len(space.names))
+    schema = "f long, " + ", ".join(f"v{k} float" for k in range(wide))
+    sums = [F.sum(f"v{k}").alias(f"v{k}") for k in range(wide)]
+
+    def added(basis: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast((space, basis.astype(np.float32)))
+
+        def run(batches):
+            space, basis = sent.value
+            weighted = basis * space.idf[space.names][:, None]
+            total = np.zeros_like(weighted)
+            for b in slices(batches, 256):
+                flat, count, half = _halves(column(b, "__toks"))
+                first = np.cumsum(count) - count
+                text = np.repeat(np.arange(len(count)), count)
+                number = np.cumsum(-(-count // 2)) - -(-count // 2)
+                passage = (number[text] + (np.arange(len(text)) - first[text]) // 2)[half] if len(text) else half
+                groups = int((-(-count // 2)).sum())
+                f = features(flat)
+                square = np.bincount(passage, space.idf[f].astype(float) ** 2, minlength=groups)
+                counts, other, row = space.split(f, passage, groups)
+                z = space.fold(counts, passage[other], row, weighted)
+                z /= np.maximum(square, 1e-12)[:, None]
+                if len(space.plain):
+                    total[space.plain] += counts.T @ z
+                if len(row):
+                    order = np.argsort(row, kind="stable")
+                    start = np.flatnonzero(np.append(True, row[order][1:] != row[order][:-1]))
+                    total[row[order][start]] += np.add.reduceat(z[passage[other[order]]], start, axis=0)
+            total *= space.idf[space.names][:, None]
+            full = np.flatnonzero(total.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(np.ascontiguousarray(c)) for c in total[full].T)],
+                                             names=["f", *(f"v{k}" for k in range(wide))])
+
+        got = toks.select("__toks").mapInArrow(run, schema).groupBy("f").agg(*sums).toPandas()  # at most 2^18 rows
+        y = np.zeros((len(space.names), wide))
+        y[got.f.to_numpy()] = got.drop(columns="f").to_numpy(float)
+        return y
+
+    omega = np.stack([np.random.default_rng((seed, int(x))).standard_normal(wide) for x in space.names])
+    q, _ = np.linalg.qr(added(omega))
+    gram = q.T @ added(q)
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    order = np.argsort(-values)[:rank]
+    order = order[values[order] > 1e-6 * max(values.max(), 1e-30)]
+    return q @ vectors[:, order]
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -190,72 +231,100 @@ class Item:
 
 
 class Index:
-    """Items of one block in the latent space, with what folding passages in takes."""
+    """Units of the items in the latent space and as plain TF-IDF, with what folding passages in takes."""
 
-    def __init__(self, items: list[Item], idf: np.ndarray, names: np.ndarray, vectors: np.ndarray):
-        self.items, self.idf = items, idf
-        self.row = np.full(1 << FEATURES, -1, np.int64)
-        self.row[names] = np.arange(len(names))
+    def __init__(self, items: list[Item], space: Space, vectors: np.ndarray):
+        self.items, self.space = items, space
         self.vectors = vectors.astype(np.float32)
-        self.weighted = self.vectors * idf[names][:, None]  # a word's share in a passage's sum
-        # The commonest words make up most tokens: they are counted per passage, the others added one by one.
-        order = np.argsort(idf[names], kind="stable")
-        self.plain = order[idf[names][order] > 0][:_PLAIN]
-        self.plain_at = np.full(len(names) + 1, -1, np.int64)  # row -1, the words of no item, is the last
-        self.plain_at[self.plain] = np.arange(len(self.plain))
-        z = np.zeros((len(items), self.vectors.shape[1]), np.float32)
-        for k, item in enumerate(items):
-            f, w = _tfidf(item.toks, idf)
-            z[k] = w @ self.vectors[self.row[f]] if len(f) else 0
-        size = np.linalg.norm(z, axis=1, keepdims=True)
-        self.z = z / np.maximum(size, 1e-12)
-
-    def candidates(self, raw: list[bytes], least: float):
-        """(text, first half, item, cosine) of the passages near an item; texts as in ``raw``."""
+        self.weighted = self.vectors * space.idf[space.names][:, None]  # a word's share in a passage's sum
+        self.unit = [(k, at) for k, i in enumerate(items) for at in range(0, max(1, len(i.toks) - UNIT // 2), UNIT)]
+        z = np.zeros((len(self.unit), self.vectors.shape[1]), np.float32)
+        postings: list[list[tuple[int, float]]] = [[] for _ in space.names]
+        for u, (k, at) in enumerate(self.unit):
+            toks = items[k].toks
+            end = at + UNIT if (k, at + UNIT) in self.unit[u + 1:u + 2] else len(toks)
+            f, w = _tfidf(toks[at:end], space.idf)
+            rows = space.row[f]
+            z[u] = w @ self.vectors[rows] if len(f) else 0
+            for r, x in zip(rows.tolist(), w.tolist(), strict=True):
+                postings[r].append((u, x * float(space.idf[space.names[r]])))
+        self.z = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+        # plain TF-IDF: the units that hold a word, and what one occurrence adds to their inner product
+        self.dense = np.zeros((len(space.plain), len(self.unit)), np.float32)
+        for i, r in enumerate(space.plain.tolist()):
+            for u, x in postings[r]:
+                self.dense[i, u] = x
+            postings[r] = []
+        self.first = np.concatenate([[0], np.cumsum([len(p) for p in postings])])
+        self.post_unit = np.array([u for p in postings for u, _ in p], np.int64)
+        self.post_weight = np.array([x for p in postings for _, x in p], np.float32)
+
+    def cosines(self, raw: list[bytes]):
+        """For blocks of passages: (their numbers, plain cosines, latent cosines) with each unit; then (text, half) of all."""
         flat, count, half = _halves(raw)
         n = int(count.sum())
         f = features(flat)
-        w = self.idf[f]
-        row = self.row[f]
-        z = np.zeros((n + 1, self.vectors.shape[1]), np.float32)
-        plain = self.plain_at[row]
-        is_plain = plain >= 0
-        m = len(self.plain)
-        if m and n:
-            counts = np.bincount(half[is_plain] * m + plain[is_plain], minlength=n * m)
-            z[:-1] = counts.reshape(n, m).astype(np.float32) @ self.weighted[self.plain]
-        known = np.flatnonzero((row >= 0) & (w > 0) & ~is_plain)
-        if len(known):
-            h = half[known]
-            start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            z[h[start]] += np.add.reduceat(self.weighted[row[known]], start, axis=0)
-        square = np.append(np.bincount(half, w * w, minlength=n), 0.0)
+        counts, other, row = self.space.split(f, half, n)
+        h = half[other]
+        square = np.bincount(half, self.space.idf[f].astype(float) ** 2, minlength=n)
         text = np.repeat(np.arange(len(raw)), count)
         last = np.append(text[1:] != text[:-1], True) if n else np.zeros(0, bool)
-        z, square = z[:-1] + np.where(last[:, None], 0, z[1:]), square[:-1] + np.where(last, 0, square[1:])
-        first = np.cumsum(count) - count
-        for k in range(0, n, 8192):
-            cosine = (z[k:k + 8192] @ self.z.T) / np.sqrt(np.maximum(square[k:k + 8192], 1e-12))[:, None]
-            for i, j in zip(*np.nonzero(cosine >= least), strict=True):
-                t = int(text[k + i])
-                yield t, int(k + i - first[t]), int(j), float(cosine[i, j])
-
-
-def _search(index, cosine: float, subsequence: float, whole: float):
+        two = lambda x: x + np.where(last if x.ndim == 1 else last[:, None], 0, np.append(x[1:], x[:1], axis=0))
+        z, length = two(self.space.fold(counts, h, row, self.weighted)), np.sqrt(np.maximum(two(square), 1e-12))
+        z, counts = z / length[:, None], two(counts)
+        step = max(256, (1 << 22) // max(1, len(self.unit)))
+        places = text, np.arange(n) - (np.cumsum(count) - count)[text]
+        for k in range(0, n, step):
+            e = min(n, k + step)
+            plain = counts[k:e] @ self.dense
+            # tokens of these passages: their own halves, and the next one's
+            a, z_ = np.searchsorted(h, [k, e + 1])
+            tok_row, tok_half = row[a:z_], h[a:z_] - k
+            many = self.first[tok_row + 1] - self.first[tok_row]
+            at = np.repeat(self.first[tok_row] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            place = np.repeat(tok_half, many) * len(self.unit) + self.post_unit[at]
+            sparse = np.bincount(place, self.post_weight[at], minlength=(e - k + 1) * len(self.unit)).astype(np.float32)
+            sparse = sparse[:(e - k + 1) * len(self.unit)].reshape(e - k + 1, len(self.unit))
+            plain += sparse[:-1] + np.where(last[k:e, None], 0, sparse[1:])
+            yield k, plain / length[k:e, None], z[k:e] @ self.z.T, places
+
+    def candidates(self, raw: list[bytes], least: float, latent: float):
+        """(text, item) -> [(half, words of the item before the unit, cosine)] of the passages near an item."""
+        found: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
+        for k, plain, near, (text, half) in self.cosines(raw):
+            for i, u in zip(*np.nonzero((plain >= least) | (near >= latent)), strict=True):
+                item, at = self.unit[u]
+                found.setdefault((int(text[k + i]), item), []).append((int(half[k + i]), at, float(max(plain[i, u], near[i, u]))))
+        return found
+
+
+def _regions(hits: list[tuple[int, int, float]], n: int) -> list[tuple[int, int]]:
+    """Stretches of words that an item of ``n`` words may fill, from the passages near its units."""
+    if n <= UNIT + UNIT // 2:
+        return [(half * HALF - n, (half + 2) * HALF + n) for half in sorted({h for h, _, _ in hits})]
+    slack, out = n // 4 + 2 * HALF, []
+    for start in sorted({h * HALF - at for h, at, _ in hits}):
+        if out and start - slack <= out[-1][0] + 2 * slack:
+            out[-1] = out[-1][0], start + n + slack
+        else:
+            out.append((start - slack, start + n + slack))
+    return out
+
+
+def _search(index, cosine: float, latent: float, subsequence: float, whole: float):
     def run(batches):
         for b in slices(batches, 256):
-            raw = column(b, "__toks")
-            best: dict[tuple[int, int], tuple[bool, float, bool, float]] = {}
-            for t, half, j, c in index.value.candidates(raw, cosine):
+            raw, uid, rows = column(b, "__toks"), column(b, "__uid"), []
+            for (t, j), hits in index.value.candidates(raw, cosine, latent).items():
                 item = index.value.items[j]
-                n = len(item.toks)
                 words = np.frombuffer(raw[t], np.uint32)
-                share, answer = item.check(words[max(0, half * HALF - n):(half + 2) * HALF + n], subsequence, whole)
-                if share >= subsequence:
-                    best[t, j] = max(best.get((t, j), (False, 0.0, False, 0.0)),
-                                     (answer or share >= whole, share, answer, min(c, 1.0)))
-            uid = column(b, "__uid")
-            rows = [(uid[t], index.value.items[j].id, *v[1:]) for (t, j), v in best.items()]
+                best = False, 0.0, False
+                for low, high in _regions(hits, len(item.toks)):
+                    share, answer = item.check(words[max(0, low):max(0, high)], subsequence, whole)
+                    if share >= subsequence:
+                        best = max(best, (answer or share >= whole, share, answer))
+                if best[1]:
+                    rows.append((uid[t], item.id, *best[1:], min(1.0, max(c for _, _, c in hits))))
             cols = list(zip(*rows, strict=True)) or [()] * 5
             kinds = pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.float64()
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
@@ -264,16 +333,16 @@ def _search(index, cosine: float, subsequence: float, whole: float):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: float = 0.2, subsequence: float = 0.8,
-               whole: float = 0.95, common: float = 0.5, block: int = 4096, id_col: str = "doc_id",
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 32, cosine: float = 0.2, latent: float = 0.45,
+               subsequence: float = 0.8, whole: float = 0.95, common: float = 0.5, block: int = 8192, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Benchmark items that documents hold, word for word or paraphrased.
 
     Passages are windows of 64 words, one every 32 words, over whole texts; TF-IDF
-    counts all of them.  The TF-IDF matrix of a block of items is taken to its singular
-    vectors by a distributed randomised SVD with more dimensions than the block has
-    items, so each item keeps its whole length; passages are folded in, and those at least
-    ``cosine`` near an item (against the passage's full length) are candidates.  A
+    counts all of them.  The TF-IDF matrix of all passages is taken to its ``rank`` leading singular vectors by a
+    distributed randomised SVD, so words that occur together in the corpus lie near each other.  Items, in units of
+    about 128 words, and passages are folded in; passages at least ``latent`` near a unit in that space (against the
+    passage's full length) are candidates, and so are those with a plain TF-IDF cosine of ``cosine``.  A
     candidate holds the item if at least ``subsequence`` of the item's words stand in
     order in a stretch 1.25 times the item's size, and as much of its answer beside
     it, or ``whole`` of the item anyway; every stretch is judged by itself.  The answer is the column ``answer`` of
@@ -287,23 +356,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
     are left out; an item of which every word is in more than ``common`` of all
     passages is too plain to be found.  Repeated items count once per id.
 
-    Plan: texts are hashed to words once and that table is written; three scans of
-    it follow (frequencies, search, ids).  Items are handled in blocks of about
-    ``block``, and of no more than about ``rank`` dimensions, so what is broadcast is
-    bounded; each further block is one more search scan.
+    Plan: texts are hashed to words once and that table is written; five scans of
+    it follow (frequencies, two of the SVD, search, ids).  Items are handled in blocks of about
+    ``block``, so what is broadcast is bounded (a block's units, 2^18 frequencies, and the singular vectors of at most
+    2^18 features); each further block of items is three more scans.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     toks = materialise(
         docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(body).alias("__hash"), body.alias("__body"))
         .mapInArrow(_tokenise, "__id long, __hash long, __toks binary").withColumn("__uid", F.monotonically_increasing_id()),
         "decontam-tokens")
-    idf = inverse_frequencies(toks, common)
+    idf, counts = inverse_frequencies(toks, common)
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = materialise(
         benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("body"),
                          answer.alias("reply"))
         .filter("item is not null and body is not null").distinct(), "decontam-items")
-    blocks = max(1, -(-items.count() // max(1, min(block, rank - _SPARE))))
+    blocks = max(1, -(-items.count() // block))
     matches = None
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item", "body", "reply"), F.lit(blocks)) == k)
@@ -311,14 +380,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: f
                 for r in part.collect() if len(tokens(r.body))]  # about ``block`` rows
         if not rows:
             continue
-        names, vectors = randomised_svd(
-            part.select(F.lit(0).cast("long").alias("__id"), F.col("body").alias("__body"))
-            .mapInArrow(_tokenise, "__id long, __toks binary"), idf, len(rows) + _SPARE)
+        names = latent_features(rows, idf, counts)
         if not len(names):
             continue
-        index = docs.sparkSession.sparkContext.broadcast(Index(rows, idf, names, vectors))
+        space = Space(names, idf)
+        index = docs.sparkSession.sparkContext.broadcast(Index(rows, space, randomised_svd(toks, space, rank)))
         found = toks.select("__uid", "__toks").mapInArrow(
-            _search(index, cosine, subsequence, whole),
+            _search(index, cosine, latent, subsequence, whole),
             "__muid long, item_id long, lcs double, answer boolean, cosine double")
         found = found.filter(F.col("answer") | (F.col("lcs") >= whole))
         matches = found if matches is None else matches.union(found)

@@ -6,7 +6,8 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cafetal.llm.decontam import Item, common_subsequence, find_leaks, inverse_frequencies, randomised_svd, tokens
+from cafetal.llm.decontam import (Index, Item, Space, common_subsequence, find_leaks, inverse_frequencies, latent_features,
+                                  randomised_svd, tokens)
 from tests.llm.helpers import docs
 
 
@@ -121,19 +122,119 @@ def test_edges(spark):
         assert len(none) == len(odd) * 3 and not any(r.contaminated for r in none)
 
 
-def test_svd_matches_numpy(spark):
-    b = docs(spark, ITEMS)
-    toks = spark.createDataFrame([(bytearray(tokens(t).tobytes()),) for _, t in ITEMS], "__toks binary").repartition(4)
-    idf = inverse_frequencies(toks, 0.9)
-    names, v = randomised_svd(toks, idf, 68)
-    a = np.zeros((len(ITEMS), len(names)))
-    for k, (_, t) in enumerate(ITEMS):
-        f, n = np.unique(tokens(t) & ((1 << 18) - 1), return_counts=True)
-        f, n = f[idf[f] > 0], (n * idf[f])[idf[f] > 0]
-        a[k, np.searchsorted(names, f)] = n / np.linalg.norm(n)
-    s = np.linalg.svd(a, compute_uv=False)
-    assert np.allclose(np.linalg.norm(a @ v, axis=0), s[:v.shape[1]], rtol=1e-6)
-    assert np.allclose(v.T @ v, np.eye(v.shape[1]), atol=1e-8) and b.count() == len(ITEMS)
+def table_of(spark, texts, parts=4):
+    rows = [(bytearray(tokens(t).tobytes()),) for t in texts]
+    return spark.createDataFrame(rows, "__toks binary").repartition(parts)
+
+
+def space_of(toks, items, common=0.9):
+    idf, counts = inverse_frequencies(toks, common)
+    return Space(latent_features(items, idf, counts), idf)
+
+
+def test_svd_of_the_passages_matches_numpy(spark):
+    """The passages are topical, so that the leading singular values stand apart."""
+    r = random.Random(3)
+    topics = [r.sample(VOCAB, 12) for _ in range(6)]
+    texts = [" ".join(r.choice(topics[k % 6]) if r.random() < 0.9 else r.choice(VOCAB) for _ in range(r.choice([30, 64, 300])))
+             for k in range(300)]
+    toks = table_of(spark, texts)
+    space = space_of(toks, [Item(0, texts[0], None)])
+    v = randomised_svd(toks, space, 6)
+    rows = []
+    for t in texts:
+        ids = tokens(t)
+        for k in range(0, len(ids), 64):
+            f = ids[k:k + 64] & ((1 << 18) - 1)
+            a = np.zeros(len(space.names))
+            np.add.at(a, np.searchsorted(space.names, f), space.idf[f])
+            rows.append(a / np.sqrt((space.idf[f].astype(float) ** 2).sum()))
+    a = np.stack(rows)
+    _, sv, right = np.linalg.svd(a, full_matrices=False)
+    assert np.allclose(v.T @ v, np.eye(6), atol=1e-5)
+    assert np.linalg.norm(a @ v) ** 2 > 0.99 * (sv[:6] ** 2).sum()          # the same energy in six dimensions
+    assert np.linalg.svd(right[:6] @ v)[1].min() > 0.9                       # the same subspace
+
+
+def test_latent_space_finds_what_words_miss(spark):
+    """Words that occur together in the corpus stand for each other; plain TF-IDF at the same limit sees nothing."""
+    r = random.Random(4)
+    topics = [[f"t{k}w{i}" for i in range(40)] for k in range(8)]
+    texts = [" ".join(r.choice(topics[k % 8]) for _ in range(64)) for k in range(800)]
+    item = Item(1, " ".join(topics[2][:20]), None)
+    paraphrase = " ".join(topics[2][20:] * 2)                                # other words of the topic, none of the item's
+    other = " ".join(topics[5][20:] * 2)
+    toks = table_of(spark, texts)
+    space = space_of(toks, [item])
+    index = Index([item], space, randomised_svd(toks, space, 8))
+    raw = [tokens(t).tobytes() for t in (paraphrase, other)]
+    assert not index.candidates(raw, 0.2, 2.0)
+    found = index.candidates(raw, 2.0, 0.45)
+    assert set(found) == {(0, 0)} and len(index.vectors[0]) == 8 < len(space.names)
+
+
+def test_plain_cosines_are_tf_idf(spark):
+    toks = table_of(spark, [t for _, t in ITEMS])
+    items = [Item(i, t, None) for i, t in ITEMS[:7]] + [Item(99, " ".join(t for _, t in ITEMS[:9]), None)]
+    space = space_of(toks, items, 0.5)
+    index = Index(items, space, np.zeros((len(space.names), 1)))
+    raw = [tokens(t).tobytes() for _, t in ITEMS] + [b""]
+
+    def vector(ids):
+        f = ids & ((1 << 18) - 1)
+        a = np.zeros(1 << 18)
+        np.add.at(a, f, space.idf[f])
+        return a, np.sqrt((space.idf[f].astype(float) ** 2).sum())
+
+    for k, plain, _, (text, half) in index.cosines(raw):
+        for i in range(0, len(plain), 3):
+            a, norm = vector(np.frombuffer(raw[text[k + i]], np.uint32)[half[k + i] * 32:half[k + i] * 32 + 64])
+            for u, (j, at) in enumerate(index.unit):
+                end = at + 128 if (j, at + 128) in index.unit else None
+                b, _ = vector(items[j].toks[at:end])
+                assert abs(plain[i, u] - a @ b / max(norm, 1e-6) / max(np.linalg.norm(b), 1e-9)) < 1e-4
+
+
+def test_items_of_all_lengths(spark):
+    """Items of 20 to 3,000 words, word for word and with a fifth of their words changed, against brute force."""
+    r = random.Random(6)
+    vocab = [f"{a}{b}" for a in VOCAB for b in ("", "ka", "lo", "mu", "pe")]
+
+    def text(n):
+        return " ".join(r.choice(vocab) if r.random() < 0.6 else r.choice(COMMON) for _ in range(n))
+
+    items, rows = [], []
+    for size in (20, 200, 1000, 3000):
+        for k in range(12):
+            body = text(size)
+            items.append((len(items), body))
+            loose = body.split()
+            for i in r.sample(range(size - 12), int(0.17 * size)):
+                loose[i] = "changed" + r.choice(VOCAB)
+            for x in (body, " ".join(loose)):
+                rows.append((len(rows), f"{text(r.choice([0, 50, 500]))} {x} {text(r.choice([0, 70]))}"))
+    rows += [(1000 + k, text(700)) for k in range(50)]
+    got = {x.doc_id: x for x in find_leaks(docs(spark, rows), benchmark(spark, items)).collect()}
+    for k, t in rows:
+        if k >= 1000:
+            assert not got[k].contaminated
+            continue
+        words, item = tokens(t), Item(k // 2, items[k // 2][1], None)
+        share = common_subsequence(item.toks, words) / len(item.toks)         # brute force: the item in order in the text
+        assert share >= 0.8
+    caught = [got[k].item_id == k // 2 for k, _ in rows if k < 1000]
+    assert sum(caught) >= 0.95 * len(caught), [k for k, c in enumerate(caught) if not c]
+
+
+def test_thousands_of_items_take_one_search(spark):
+    r = random.Random(7)
+    vocab = [f"{a}{b}{c}" for a in VOCAB for b in ("", "ka", "lo", "mu") for c in ("", "xi", "zu")]
+    items = [(k, " ".join(r.choice(vocab) for _ in range(20))) for k in range(5000)]
+    rows = [(k, f"some words before {items[k * 25][1]} and behind") for k in range(200)]
+    df = find_leaks(docs(spark, rows), benchmark(spark, items))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert [x.item_id for x in df.orderBy("doc_id").collect()] == [k * 25 for k in range(200)]
 
 
 def test_many_items_keep_their_length(spark):
