@@ -22,9 +22,10 @@ PATTERNS = {
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 _TERM = r"\p{L}{3,}"
-_TERM_TYPE = "array<struct<entity:bigint,term:string,start:int,end:int>>"
+_TERM_TYPE = "array<struct<term:string,start:int,end:int>>"
 _BLOCK = 128
-_SURE = 1.645  # one-sided 95 %
+_CELL = 256  # code points of a cell in which spans meet
+_COPIES = ("__least1", "__least2", "__least3")
 
 
 def _let(value: Column, body) -> Column:
@@ -72,67 +73,31 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _entity(kind: str, m: Column) -> Column:
-    """Hash of what a match names: digits of a card or phone, a lower-cased address."""
-    return F.xxhash64(F.lit(kind), F.regexp_replace(m, "[^0-9]", "") if kind in ("card", "phone") else F.lower(m))
+def _entities(kind: str, m: Column) -> Column:
+    """Hashes of what a match names, as it is and in a coarser grain.
+
+    An address and its domain, an IP and its block of 256, the digits of a card or phone and the first six of them.
+    """
+    if kind in ("card", "phone"):
+        digits = F.regexp_replace(m, "[^0-9]", "")
+        return F.array(F.xxhash64(F.lit(kind), digits), F.xxhash64(F.lit(f"{kind} group"), F.left(digits, F.lit(6))))
+    cut = r"^[^@]*@" if kind == "email" else r"\.[0-9]+$"
+    return F.array(F.xxhash64(F.lit(kind), F.lower(m)), F.xxhash64(F.lit(f"{kind} group"), F.regexp_replace(F.lower(m), cut, "")))
 
 
 def base_spans(body: str = "__body") -> Column:
-    """All valid base spans of a text, sorted: array of struct(start, kind number, end, entity)."""
+    """All valid base spans of a text, sorted: array of struct(start, kind number, end, entities)."""
     def of(k: int, kind: str) -> Column:
         spans = _places(F.col(body), PATTERNS[kind], lambda m, s: F.struct(
             s.alias("start"), F.lit(k).alias("kind"), (s + F.length(m)).alias("end"),
-            _entity(kind, m).alias("entity"), _valid(kind, m).alias("ok")))
+            _entities(kind, m).alias("entities"), _valid(kind, m).alias("ok")))
         kept = F.filter(spans, lambda x: x["ok"])
-        empty = F.array().cast("array<struct<start:int,kind:int,end:int,entity:bigint,ok:boolean>>")
+        empty = F.array().cast("array<struct<start:int,kind:int,end:int,entities:array<bigint>,ok:boolean>>")
         return F.when(F.col(body).rlike(_HINTS[kind]), kept).otherwise(empty)
 
     return F.array_sort(F.concat(*[of(k, kind) for k, kind in enumerate(KINDS)]))
 
 
-def _contexts(window: int) -> Column:
-    """For each base span the text beside it, up to its neighbours: struct(entity, pos, cut_left, cut_right, ctx).
-
-    Words cut by the window's outer edge are left out.  The text is cut into pieces
-    once, so a context is taken from two pieces and not from the whole text.
-    """
-    size = max(256, window)
-
-    def part(pieces, a, b):
-        k = F.floor(a / size).cast("int")
-        return F.when(b > a, F.substring(F.concat(F.get(pieces, k), F.coalesce(F.get(pieces, k + 1), F.lit(""))),
-                                         a - k * size + 1, b - a)).otherwise(F.lit(""))
-
-    def beside(base, pieces, n):
-        def both(x, i):
-            left = F.greatest(F.lit(0), x["start"] - window, F.coalesce(F.get(base, i - 1)["end"], F.lit(0)))
-            right = F.least(n, x["end"] + window, F.coalesce(F.get(base, i + 1)["start"], n))
-            return F.array(
-                F.struct(x["entity"].alias("entity"), left.alias("pos"), (left > 0).alias("cut_left"),
-                         F.lit(False).alias("cut_right"), part(pieces, left, x["start"]).alias("ctx")),
-                F.struct(x["entity"].alias("entity"), x["end"].alias("pos"), F.lit(False).alias("cut_left"),
-                         (right < n).alias("cut_right"), part(pieces, x["end"], right).alias("ctx")))
-
-        return F.flatten(F.transform(base, lambda x, i: both(x, i)))
-
-    cut = F.regexp_extract_all(F.col("__body"), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
-    return F.when(F.size("__base") > 0, _let(F.col("__base"), lambda base: _let(
-        cut, lambda pieces: _let(F.length("__body"), lambda n: beside(base, pieces, n)))))
-
-
-def _terms(c: Column) -> Column:
-    """Terms of one context: array of struct(entity, term, start, end)."""
-    head = F.when(c["cut_left"], F.regexp_extract(c["ctx"], r"^\p{L}+", 0)).otherwise(F.lit(""))
-
-    def whole(n):
-        text = F.substring(c["ctx"], n + 1, F.length(c["ctx"]))
-        return F.when(c["cut_right"], F.regexp_replace(text, r"\p{L}+$", "")).otherwise(text)
-
-    return _let(F.length(head), lambda n: _let(whole(n), lambda text: _places(text, _TERM, lambda m, s: F.struct(
-        c["entity"].alias("entity"), F.lower(m).alias("term"), (c["pos"] + n + s).alias("start"),
-        (c["pos"] + n + s + F.length(m)).alias("end")))))
-
-
 def _masked(spans: str, body: str) -> str:
     """SQL: the text with its spans masked; of overlapping spans the first one counts."""
     masks = " ".join(f"when {k} then '[{n.upper()}]'" for k, n in enumerate(KINDS))
@@ -145,143 +110,119 @@ def _masked(spans: str, body: str) -> str:
     """
 
 
-def _least_share(c: Column, df: Column) -> Column:
-    """Lower end of the one-sided 95 % Wilson interval of c of df; 0.27 for 1 of 1, 0.43 for 2 of 2, 0.53 for 3 of 3."""
-    p, z2 = c / df, _SURE * _SURE
-    return (p + z2 / (2 * df) - _SURE * F.sqrt(p * (1 - p) / df + z2 / (4 * df * df))) / (1 + z2 / df)
+def _least_hash(seed: int) -> Column:
+    return F.array_min(F.transform("__terms", lambda t: F.xxhash64(t["term"], F.lit(seed))))
 
 
-def _whole_documents(table: DataFrame, frequency: DataFrame, n_docs: int, support: int | None, removed: float,
-                     generalised: float, least_bits: float) -> DataFrame:
-    """Occurrences (__uid, start, end, kind) of the terms that reveal an entity of their document, wherever they stand.
+def _judged(table: DataFrame, frequency: DataFrame, n_docs: int, removed: float, generalised: float,
+            least_bits: float) -> DataFrame:
+    """(__uid, term, kind): terms that disclose an entity of their document.
 
-    A pair's count is at most min(df, n): pairs that could not pass even so are never
-    made, and what drops terms in too many documents comes first.
+    Entities that stand in the very same documents are one class, so a list of ten thousand addresses in two
+    documents is counted once.  A pair's count is at most min(df, n), so pairs that could not pass even then are never made:
+    among them all of an entity or term of one document, and an entity that a large share of all documents holds.
     """
-    def chance(c, df):
-        return c / df if support is not None else _least_share(c, df)
-
     def bits(c):
         return F.log2(c / F.col("df") * F.lit(float(max(n_docs, 1))) / F.col("n"))
 
-    least = 1 if support is None else support
+    def sure(c, groups):
+        return c / F.col("df") * groups / (groups + 1)
+
     held = table.select("__uid", F.explode("__entities").alias("entity"))
-    many = held.groupBy("entity").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    held = held.join(many, "entity").select(F.col("__uid").alias("__huid"), "entity", "n")
+    same = F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("__uid")), F.bit_xor(F.xxhash64("__uid", F.lit(1))))
+    many = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), same.alias("class")).filter("n > 1")
+    held = (held.join(many, "entity").select("__uid", "class", "n").distinct()
+            .select(F.col("__uid").alias("__huid"), "class", "n"))
     # c / n <= 1, so bits are at most log2(D / df)
     rare = frequency.filter(F.log2(F.lit(float(max(n_docs, 1))) / F.col("df")) >= least_bits)
-    terms = (table.select("__uid", F.explode(F.array_distinct(F.transform("__terms", lambda t: t["term"]))).alias("term"))
-             .join(rare, "term"))
+    terms = table.select("__uid", *_COPIES, F.explode(F.array_distinct(F.transform("__terms", lambda t: t["term"]))).alias("term")
+                         ).join(rare, "term")
     most = F.least("df", "n")
     pairs = materialise(
-        terms.join(held, (F.col("__uid") == F.col("__huid")) & (most >= least)
-                   & (chance(most, F.col("df")) >= generalised) & (bits(most) >= least_bits))
-        .select("__uid", "entity", "term", "n", "df"), "pii-pairs")
-    counted = pairs.groupBy("entity", "term", "n", "df").agg(F.count("*").alias("c"))
-    sure = chance(F.col("c"), F.col("df"))
-    verdicts = (counted.filter((F.col("c") >= least) & (sure >= generalised) & (bits(F.col("c")) >= least_bits))
-                .select("entity", "term", F.when(sure >= removed, len(KINDS) + 1).otherwise(len(KINDS)).alias("kind")))
-    judged = (pairs.select("__uid", "entity", "term").join(verdicts, ["entity", "term"])
-              .groupBy("__uid", "term").agg(F.max("kind").alias("kind")))
-    places = table.filter(F.size("__terms") > 0).select("__uid", F.explode("__terms").alias("t")).select(
-        "__uid", "t.term", "t.start", "t.end")
-    return places.join(judged, ["__uid", "term"]).select("__uid", "start", "end", "kind")
-
-
-def find_personal_data(docs: DataFrame, window: int | None = 48, support: int | None = 3, removed: float = 0.5,
-                       generalised: float = 0.25, least_bits: float = 4.0, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
+        terms.join(held, (F.col("__uid") == F.col("__huid")) & (sure(most, most) >= generalised) & (bits(most) >= least_bits))
+        .select("__uid", "class", "term", "n", "df", *_COPIES), "pii-pairs")
+    # copies of a text are no further evidence: those that share two of three least hashes of their terms count as one
+    counted = pairs.groupBy("class", "term", "n", "df").agg(
+        F.count(F.lit(1)).alias("c"), *(F.count_distinct(k).alias(k) for k in _COPIES))
+    x, y, z = _COPIES
+    groups = F.greatest(F.least(x, y), F.least(F.greatest(x, y), z))
+    evidence = sure(F.col("c"), groups)
+    verdicts = (counted.filter((groups > 1) & (evidence >= generalised) & (bits(F.col("c")) >= least_bits))
+                .select("class", "term", F.when(evidence >= removed, len(KINDS) + 1).otherwise(len(KINDS)).alias("kind")))
+    return (pairs.select("__uid", "class", "term").join(verdicts, ["class", "term"])
+            .groupBy("__uid", "term").agg(F.max("kind").alias("kind")))
+
+
+def _clear_places(table: DataFrame, judged: DataFrame) -> DataFrame:
+    """Occurrences (__uid, start, end, kind) of judged terms that overlap no base span; both meet in cells of the text."""
+    cells = F.sequence(F.floor(F.col("start") / _CELL), F.floor((F.col("end") - 1) / _CELL))
+    places = (table.filter(F.size("__terms") > 0).select("__uid", F.explode("__terms").alias("t")).select("__uid", "t.*")
+              .join(judged, ["__uid", "term"]).select("__uid", "start", "end", "kind"))
+    base = table.select("__uid", F.explode("base").alias("x")).select(
+        F.col("__uid").alias("__buid"), F.col("x.start").alias("start"), F.col("x.end").alias("end"))
+    base = base.select("__buid", F.col("start").alias("__from"), F.col("end").alias("__to"), F.explode(cells).alias("__bcell"))
+    taken = (places.withColumn("__cell", F.explode(cells))
+             .join(base, (F.col("__uid") == F.col("__buid")) & (F.col("__cell") == F.col("__bcell"))
+                   & (F.col("__from") < F.col("end")) & (F.col("start") < F.col("__to")), "left_semi")
+             .select("__uid", "start").distinct())
+    return places.join(taken, ["__uid", "start"], "left_anti")
+
+
+def find_personal_data(docs: DataFrame, removed: float = 0.74, generalised: float = 0.6, least_bits: float = 4.0,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Personal data and what reveals it, in every whole text.
 
-    Base spans are the patterns' matches.  Each distinct value is a protected entity.
-    Terms (runs of three letters or more) within ``window`` code points of a span, up
-    to the next span, co-occur with its entity.  Over all documents, c counts those in
-    which a term stands beside an entity, df those that hold the term and n those that
-    hold the entity.  The term discloses log2(c * D / (df * n)) bits of the entity's
-    log2(D / n), and leaves log2(df / c): a term seen beside the entity in ``support``
-    documents or more, that discloses ``least_bits`` and leaves the entity with a
-    probability c / df of at least ``generalised``, is generalised; from ``removed``
-    on it is removed.  Only occurrences beside that entity are touched.  With ``support``
-    None there is no least number of documents: the probability is the lower end of a
-    95 % confidence interval of c / df, so one document's evidence can generalise and
-    that of three can remove.
-
-    With ``window`` None terms co-occur with every entity of their document, however
-    far away, and a verdict touches all occurrences of the term in all documents that
-    hold the entity, but for those that overlap a base span.
+    Base spans are the patterns' matches.  Each distinct value is a protected entity, and so is its group (mail domain,
+    block of IPs, first digits of a number).  Terms (runs of three letters or more) co-occur with every entity of
+    their document.  Over all documents, c counts those that hold both, df those that hold the term, n those that hold the
+    entity, and k the c documents with copies of one text counted once (texts count as copies if two of three least
+    hashes of their terms agree: the median of three counts of distinct ones).  The term discloses
+    log2(c * D / (df * n)) bits of the entity's log2(D / n), and leaves the entity with a probability c / df, of which
+    k / (k + 1) is believed: one document is never enough, however rare its words.  A term that
+    discloses ``least_bits`` and is believed to ``generalised`` (two documents of two are 0.67) is
+    generalised, from ``removed`` on (three of three are 0.75) it is removed: all its occurrences in all
+    documents that hold the entity, but for those that overlap a base span.
 
     Returns one row per input row: ``doc_id``, ``base`` and ``spans`` (arrays of
     struct(start, kind, end), code points, end exclusive, sorted; kinds number
-    ``KINDS`` then ``TERM_KINDS``) and ``sanitised`` (masked text).  A null text is
-    the empty one; null ids are passed on; repeated rows come back repeated and
-    count as documents of their own in the statistics.
-
-    Plan: base spans and their contexts come from one scan and are written; document
-    frequencies come from a second one, partially aggregated in each task.  Terms
-    beside entities are a small share of all; an entity that a third of all rows
-    hold is pre-aggregated, and its rows are split by the runtime in the join that
-    brings the verdicts back.
+    ``KINDS`` then ``TERM_KINDS``).  A null text is the empty one; null ids are passed on; repeated rows come back
+    repeated, and as copies they are no evidence.
+
+    Plan: base spans and the terms of documents that have some come from one scan and are written; document
+    frequencies come from a second one, partially aggregated in each task.  Pairs of a document's entities and terms are
+    only made where both stand in two documents or more.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(body).alias("__h"), body.alias("__body"))
-    based = source.withColumn("__base", base_spans())
-    if window is None:
-        terms = F.when(F.size("__base") > 0, _places(F.col("__body"), _TERM, lambda m, s: F.struct(
-            F.lit(None).cast("long").alias("entity"), F.lower(m).alias("term"), s.alias("start"),
-            (s + F.length(m)).alias("end"))))
-    else:
-        based = based.withColumn("__ctx", _contexts(window))
-        terms = F.flatten(F.transform("__ctx", lambda c: _terms(c)))
-    table = materialise(based.select(
+    terms = F.when(F.size("__base") > 0, _places(F.col("__body"), _TERM, lambda m, s: F.struct(
+        F.lower(m).alias("term"), s.alias("start"), (s + F.length(m)).alias("end"))))
+    table = materialise(source.withColumn("__base", base_spans()).select(
         F.monotonically_increasing_id().alias("__uid"),
         "__id", "__h", F.transform("__base", lambda x: F.struct(x["start"], x["kind"], x["end"])).alias("base"),
-        F.array_distinct(F.transform("__base", lambda x: x["entity"])).alias("__entities"),
-        F.coalesce(terms, F.array().cast(_TERM_TYPE)).alias("__terms")), "pii-base")
-
-    least_docs = 1 if support is None else support
-    n_docs = table.count()
+        F.array_distinct(F.flatten(F.transform("__base", lambda x: x["entities"]))).alias("__entities"),
+        F.coalesce(terms, F.array().cast(_TERM_TYPE)).alias("__terms"))
+        .select("*", *(_least_hash(k).alias(c) for k, c in enumerate(_COPIES))), "pii-base")
     frequency = (source.select(F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower("__body"), F.lit(_TERM), F.lit(0)))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least_docs))
+        .groupBy("term").agg(F.count("*").alias("df")).filter("df > 1"))
+    judged = _judged(table, frequency, table.count(), removed, generalised, least_bits)
+    found = (_clear_places(table, judged).groupBy(F.col("__uid").alias("__xuid"))
+             .agg(F.collect_list(F.struct("start", "kind", "end")).alias("__extra")))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    if window is None:
-        found = (_whole_documents(table, frequency, n_docs, support, removed, generalised, least_bits)
-                 .groupBy(F.col("__uid").alias("__xuid"))
-                 .agg(F.collect_list(F.struct("start", "kind", "end")).alias("__extra")))
-        clear = F.filter(F.coalesce("__extra", empty), lambda t: ~F.exists(
-            "base", lambda x: (x["start"] < t["end"]) & (t["start"] < x["end"])))
-        return (table.join(found, F.col("__uid") == F.col("__xuid"), "left")
-                .select(F.col("__id").alias("doc_id"), "__h", "base", F.array_sort(F.concat("base", clear)).alias("spans")))
-    entities = table.select(F.explode("__entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n"))
-    pairs = (table.select(F.explode(F.array_distinct(F.transform(
-        "__terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p"))
-        .groupBy(F.col("p.entity").alias("entity"), F.col("p.term").alias("term")).agg(F.count("*").alias("c"))
-        .filter(F.col("c") >= least_docs))
-    share = F.col("c") / F.greatest("df", "c")
-    sure = share if support is not None else _least_share(F.col("c"), F.greatest("df", "c"))
-    verdicts = (pairs.join(frequency, "term").join(entities, "entity")
-                .filter((F.log2(share * F.lit(float(max(n_docs, 1))) / F.col("n")) >= least_bits)
-                        & (sure >= generalised))
-                .select("entity", "term", F.when(sure >= removed, len(KINDS) + 1).otherwise(len(KINDS)).alias("kind")))
-    found = (table.filter(F.size("__terms") > 0).select("__id", "__h", F.explode("__terms").alias("t"))
-             .select("__id", "__h", "t.*").join(verdicts, ["entity", "term"])
-             .groupBy(F.col("__id").alias("__xid"), F.col("__h").alias("__xh"), "start", "end")
-             .agg(F.max("kind").alias("kind"))
-             .groupBy("__xid", "__xh").agg(F.collect_list(F.struct("start", "kind", "end")).alias("__extra")))
-    joined = table.join(found, F.col("__id").eqNullSafe(F.col("__xid")) & (F.col("__h") == F.col("__xh")), "left")
-    return joined.select(F.col("__id").alias("doc_id"), "__h", "base",
-                         F.array_sort(F.concat("base", F.coalesce("__extra", empty))).alias("spans"))
+    return (table.join(found, F.col("__uid") == F.col("__xuid"), "left")
+            .select(F.col("__id").alias("doc_id"), "__h", "base",
+                    F.array_sort(F.concat("base", F.coalesce("__extra", empty))).alias("spans")))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """The columns of ``docs`` with the text masked: base spans by their kind, terms generalised or removed.
 
-    Parameters as in :func:`find_personal_data`, over whole documents and without a least support unless given; a null text comes back empty.  Of
+    Parameters as in :func:`find_personal_data`; a null text comes back empty.  Of
     overlapping spans the first one is masked.  One shuffle of the texts.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     own, sid, sh, spans = fresh(docs, "__sbody", "__sid", "__sh", "__spans")
-    found = (find_personal_data(docs, id_col=id_col, text_col=text_col, **{"window": None, "support": None, **parameters})
+    found = (find_personal_data(docs, id_col=id_col, text_col=text_col, **parameters)
              .select(F.col("doc_id").alias(sid), F.col("__h").alias(sh), F.col("spans").alias(spans))
              .dropDuplicates([sid, sh]))
     joined = docs.withColumn(own, body).join(
