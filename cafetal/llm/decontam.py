@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cafetal.llm.common import column, materialise, slices
 
 FEATURES = 18  # words are hashed to 2^18 TF-IDF features
-_SPARE = 8  # dimensions of the randomised range beyond the rank
+_SPARE = 16  # dimensions of the randomised range beyond the rank
 _PLAIN = 64  # commonest words, counted per passage instead of added up one by one
 _HEAVY = 1 << 13  # features of the latent space beside the items' own: those with most weight in the corpus
 UNIT = 128  # words of an item that are looked for together; longer items are several units
@@ -54,8 +54,10 @@ def _passage_counts(batches):
     n, total = np.zeros(1 << FEATURES, np.int64), 0
     for b in slices(batches, 256):
         flat, count, half = _halves(column(b, "__toks"))
-        seen = np.unique(half << FEATURES | features(flat))
-        n += np.bincount(seen & ((1 << FEATURES) - 1), minlength=len(n))
+        key = half << FEATURES | features(flat)
+        key = np.sort(key.astype(np.uint32) if int(count.sum()) < 1 << 32 - FEATURES else key)
+        first = np.append(True, key[1:] != key[:-1])[:len(key)]
+        n += np.bincount(key[first] & ((1 << FEATURES) - 1), minlength=len(n))
         total += int(count.sum())
     full = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1)), pa.array(np.append(n[full], total))],
@@ -124,12 +126,13 @@ def latent_features(items: list[Item], idf: np.ndarray, counts: np.ndarray) -> n
 
 
 def randomised_svd(toks: DataFrame, space: Space, rank: int, seed: int = 7) -> np.ndarray:
-    """Leading right singular vectors of the TF-IDF matrix of all passages: a row of ``rank`` for each feature of ``space``.
+    """Leading right singular vectors of the TF-IDF matrix A of all passages: a row of ``rank`` for each feature of ``space``.
 
-    The matrix has a row per passage (64 words, one after the other, over whole texts), of length 1.  Two distributed
-    passes over the tokens: the sum of a'(a Omega) over its rows a gives a range, whose basis Q goes
-    through the same sum once more (a power pass); the eigenvectors of Q'(A'A)Q turn Q into singular vectors.  Each task
-    adds up its passages in a features x rank table, Spark adds up the tables.
+    The matrix has a row per passage (64 words, one after the other, over whole texts), of length 1.  One distributed
+    pass over the tokens adds up Y = A'(A Omega), a sum of a'(a Omega) over the rows: each task adds up its passages in a
+    features x dimensions table, Spark adds up the tables.  The Nystroem form of the sketch gives the eigenvectors of
+    A'A, which are A's right singular vectors: they are the left singular vectors of
+    Y (Omega'Y)^-1/2.
     """
     spark = toks.sparkSession
     wide = min(rank + _SPARE, len(space.names))
@@ -172,12 +175,14 @@ def randomised_svd(toks: DataFrame, space: Space, rank: int, seed: int = 7) -> n
         return y
 
     omega = np.stack([np.random.default_rng((seed, int(x))).standard_normal(wide) for x in space.names])
-    q, _ = np.linalg.qr(added(omega))
-    gram = q.T @ added(q)
-    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
-    order = np.argsort(-values)[:rank]
-    order = order[values[order] > 1e-6 * max(values.max(), 1e-30)]
-    return q @ vectors[:, order]
+    omega, _ = np.linalg.qr(omega)
+    omega = omega.astype(np.float32).astype(float)  # as it is sent
+    y = added(omega)
+    small = omega.T @ y
+    energy, turn = np.linalg.eigh((small + small.T) / 2)
+    sure = energy > 1e-5 * max(float(energy[-1]), 1e-30)  # sums are in 32 bits
+    vectors, values, _ = np.linalg.svd(y @ turn[:, sure] / np.sqrt(energy[sure]), full_matrices=False)
+    return vectors[:, values > 1e-3 * max(float(values.max(initial=0)), 1e-30)][:, :rank]
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -200,6 +205,7 @@ class Item:
     def __init__(self, item_id: int, text: str, answer: str | None):
         self.id, self.toks = item_id, tokens(text)
         self.words = self.toks.tolist()
+        self.distinct = frozenset(self.words)
         sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text) if len(tokens(s))]
         self.answer = tokens(answer if answer is not None else sentences[-1])
 
@@ -209,8 +215,9 @@ class Item:
         Of all stretches the best that holds the item (``least`` with the answer, or ``whole``), else the best.
         """
         n = len(self.toks)
-        there = set(region.tolist())
-        if sum(t in there for t in self.words) < least * n:  # no subsequence can be longer
+        absent = self.distinct.difference(region.tolist())
+        # no subsequence can be longer than the words that are there
+        if n - len(absent) < least * n or absent and n - sum(t in absent for t in self.words) < least * n:
             return 0.0, False
         if common_subsequence(self.toks, region) < least * n:
             return 0.0, False
@@ -356,10 +363,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 32, cosine: fl
     are left out; an item of which every word is in more than ``common`` of all
     passages is too plain to be found.  Repeated items count once per id.
 
-    Plan: texts are hashed to words once and that table is written; five scans of
-    it follow (frequencies, two of the SVD, search, ids).  Items are handled in blocks of about
+    Plan: texts are hashed to words once and that table is written; four scans of
+    it follow (frequencies, SVD, search, ids).  Items are handled in blocks of about
     ``block``, so what is broadcast is bounded (a block's units, 2^18 frequencies, and the singular vectors of at most
-    2^18 features); each further block of items is three more scans.
+    2^18 features); each further block of items is two more scans.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     toks = materialise(
