@@ -22,19 +22,24 @@ from cafetal.operators import agro as A
 from cafetal.operators import gold as G
 from cafetal.operators import intervals as I
 from cafetal.operators import mapdata as M
+from cafetal.operators import polygon as Y
 from cafetal.operators import quality as Q
 from cafetal.operators import rolling as W
 from cafetal.operators import silver as S
+from cafetal.operators import sketches as H
 from cafetal.operators import spatial as N
 from cafetal.operators import spells as L
 from cafetal.operators.asof import asof_join
+from cafetal.operators.tablediff import table_diff
 from cafetal.plans import incremental as D
 from cafetal.plans import pipeline as P
 from cafetal.session import scratch_path
 from cafetal.sources import csv_ingest as C
 from cafetal.sources import io
 from cafetal.sources import raster as R
-from cafetal.sources.fixture import bronze_fixture, coarse_grid_fixture, hourly_readings, station_readings
+from cafetal.sources.fixture import bronze_fixture, coarse_grid_fixture, hourly_readings, station_readings, table
+from cafetal.streaming.alarm_join import run_alarm_join
+from cafetal.streaming.silver_stream import run_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +53,13 @@ CSV_REORDERED_YEAR = 1996         # written with its columns in reverse order
 CSV_NO_EVAP_YEAR = 2001           # written without potential_evaporation_sum
 EXPECTED_YEARS = (1993, 2002)     # expected coverage for missing_years
 TOLERANCE = 0.18                  # degrees: half the diagonal of a 0.25 degree cell, rounded up
-CHANGED_MONTH = (1998, 3)         # published anew for incremental_gold
+# a region with a bay and a lake (polygon, ring, seq, lat, lon); its east border runs through grid longitudes
+REGION = [("zona", 0, 0, 4.1, -76.4), ("zona", 0, 1, 5.9, -76.2), ("zona", 0, 2, 5.5, -75.4), ("zona", 0, 3, 5.95, -74.8),
+          ("zona", 0, 4, 4.4, -74.8), ("zona", 0, 5, 4.9, -75.7), ("zona", 1, 0, 4.9, -76.0), ("zona", 1, 1, 5.2, -75.9),
+          ("zona", 1, 2, 5.0, -75.75)]
+STATE_PARTITIONS = "16"           # state stores a side of the registered stream-stream join
+CHANGED_MONTH = (1998, 3)         # published anew for incremental_gold and table_diff
+DIFF_COLUMNS = ["pk_silver", "fecha", "anio", "mes", "lat", "lon", "temp_c", "rh_pct", "rain_mm"]
 SAMPLE_START, SAMPLE_END = "1996-01-01", "2001-01-01"   # half-open date range
 
 
@@ -350,6 +361,56 @@ def q_incremental_gold(spark, sf_dir):
     return D.cube(spark, f"{root}/state")
 
 
+def _replaced_month(silver):
+    """The published table with one month's rows of even days gone and its odd days two degrees warmer."""
+    year, month = CHANGED_MONTH
+    changed = (F.col("anio") == year) & (F.col("mes") == month)
+    kept = silver.filter(~changed | (F.dayofmonth("fecha") % 2 == 1))
+    return kept.withColumn("temp_c", F.when(changed, F.col("temp_c") + F.lit(2.0)).otherwise(F.col("temp_c")))
+
+
+def q_table_diff(spark, sf_dir):
+    before = _silver(spark, sf_dir).select(*DIFF_COLUMNS)
+    after = io.read_parquet(spark, io.write_partitioned(_replaced_month(before), scratch_path(spark, "new_run"), ["anio", "mes"]))
+    return table_diff(before, after.select(*(F.col(c).cast(before.schema[c].dataType) for c in DIFF_COLUMNS)), ["pk_silver"],
+                      ["anio", "mes"])
+
+
+def q_points_in_region(spark, sf_dir):
+    region = spark.createDataFrame(REGION, "polygon string, ring int, seq int, lat double, lon double")
+    return Y.points_in_polygons(_silver(spark, sf_dir).select("lat", "lon"), region)
+
+
+def q_sketch_bounds(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    states = io.read_parquet(spark, io.write_parquet(H.month_states(silver), scratch_path(spark, "sketches")))
+    return H.within_bounds(silver, states)
+
+
+def q_stream_alarm_join(spark, sf_dir):
+    """The events arrive as three deliveries in time order; the query is stopped and started again after each."""
+    events, root = table(spark, sf_dir, "events"), scratch_path(spark, "alarms")
+    cuts = events.agg(F.percentile_approx("ts", [0.33, 0.66], 10_000)).first()[0]
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", STATE_PARTITIONS)
+    third = F.when(F.col("ts") < F.lit(cuts[0]), 0).when(F.col("ts") < F.lit(cuts[1]), 1).otherwise(2)
+    for k in range(3):
+        events.filter(third == k).write.parquet(f"{root}/in/delivery{k}")
+        run_alarm_join(session, f"{root}/in/*", f"{root}/out", f"{root}/checkpoint")
+    return io.read_parquet(spark, f"{root}/out").select(
+        "punto", "alarma", F.col("t_alarma").cast("timestamp_ntz").alias("t_alarma"), "lectura",
+        F.col("t_lectura").cast("timestamp_ntz").alias("t_lectura"))
+
+
+def q_stream_silver(spark, sf_dir):
+    """Bronze arrives year by year; each run converts what is new and appends it to silver."""
+    bronze, root = _bronze(spark, sf_dir), scratch_path(spark, "silver_stream")
+    for k, part in enumerate((F.year("fecha") < 1998, F.year("fecha") >= 1998)):
+        bronze.filter(part).write.parquet(f"{root}/in/delivery{k}")
+        run_silver_stream(spark, f"{root}/in/*", f"{root}/out", f"{root}/checkpoint")
+    return io.read_parquet(spark, f"{root}/out").select(*S.SILVER_COLUMNS)
+
+
 def q_duplicate_keys(spark, sf_dir):
     return Q.duplicate_keys(_bronze(spark, sf_dir), ["fecha", "latitud", "longitud"])
 
@@ -532,6 +593,8 @@ def queries() -> dict[str, Query]:
         "asof_grid_day": q_asof_grid_day,
         "readings_in_spells": q_readings_in_spells,
         "compound_spells": q_compound_spells,
+        "points_in_region": q_points_in_region,
+        "stream_alarm_join": q_stream_alarm_join,
         "monthly_anomaly": q_monthly_anomaly,
         # aggregations
         "ranking": q_ranking,
@@ -545,6 +608,9 @@ def queries() -> dict[str, Query]:
         "icc_seasonality": q_icc_seasonality,
         "rollup_scores": q_rollup_scores,
         "incremental_gold": q_incremental_gold,
+        "sketch_bounds": q_sketch_bounds,
+        "table_diff": q_table_diff,
+        "stream_silver": q_stream_silver,
         # windows, sorts, top-k
         "map_feed": q_map_feed,
         "dry_spells": q_dry_spells,

@@ -185,3 +185,95 @@ def test_incremental_gold_forgets_removed_months(spark, scratch):
     b = io.write_partitioned(less, f"{root}/b", ["anio", "mes"])
     assert incremental.update(spark, b, f"{root}/state")["removed"] == [(1997, 1), (1997, 2)]
     assert rows(incremental.cube(spark, f"{root}/state")) == rows(G.gold_cube(less))
+
+
+def test_polygons_brute(spark):
+    from fractions import Fraction
+
+    from cafetal.operators import polygon
+
+    rng = random.Random(7)
+    g = lambda: rng.choice([rng.randrange(-20, 20) / 10, round(rng.uniform(-2, 2), 6)])
+    rings = [("a", 0, [(-1.5, -1.5), (-1.5, 1.5), (0.2, 0.3), (1.5, 1.5), (1.5, -1.5)]), ("a", 1, [(-1.0, -1.0), (-0.5, -1.0), (-0.5, -0.5)]),
+             ("b", 0, [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 0.0)]), ("c", 0, [(g(), g()) for _ in range(7)])]
+    vertices = [(p, r, s, la, lo) for p, r, vs in rings for s, (la, lo) in enumerate(vs)]
+    points = [(g(), g()) for _ in range(500)] + [(0.0, 0.5), (1.0, 1.0), (0.0, 0.0), (-0.75, -1.0), (None, 1.0)]
+    v = spark.createDataFrame(vertices, "polygon string, ring int, seq int, lat double, lon double")
+    p = spark.createDataFrame(points, "lat double, lon double")
+    want = set()
+    for la, lo in points:
+        for name in "abc":
+            if la is None:
+                continue
+            y, x, n, on = Fraction(round(la * 1e6)), Fraction(round(lo * 1e6)), 0, False
+            for q, _, vs in rings:
+                for (a, b), (c, d) in zip(vs, vs[1:] + vs[:1]) if q == name else ():
+                    y1, x1, y2, x2 = (Fraction(round(z * 1e6)) for z in (a, b, c, d))
+                    on |= ((x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(y1, y2) <= y <= max(y1, y2)
+                           and min(x1, x2) <= x <= max(x1, x2))
+                    n += (y1 > y) != (y2 > y) and x < x1 + (x2 - x1) * (y - y1) / (y2 - y1)
+            if on or n % 2:
+                want.add((la, lo, name))
+    for cell in (20_000, 200_000, 5_000_000):
+        got = polygon.points_in_polygons(p, v, cell)
+        assert {tuple(r) for r in got.collect()} == want and got.count() == len(want), cell
+    plan = plan_text(got)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_table_diff_is_a_multiset_difference(spark):
+    from collections import Counter
+
+    from cafetal.operators.tablediff import table_diff
+
+    rng = random.Random(8)
+    row = lambda: (rng.choice([1, 2, 3, None]), rng.choice(["k1", "k2", "k3", "k4", None]), rng.choice([0.5, 1.5, None]))
+    schema = "part int, k string, v double"
+    for _ in range(4):
+        same = [row() for _ in range(30)]
+        a, b = same + [row() for _ in range(rng.choice([0, 9]))], same + [row() for _ in range(6)]
+        rng.shuffle(b)
+        x, y = Counter(a), Counter(b)
+        diff = [(s, r, n) for s, d in (("alta", y - x), ("baja", x - y)) for r, n in d.items()]
+        sides = {k: {s for s, r, _ in diff if r[1] == k} for k in {r[1] for _, r, _ in diff}}
+        want = [("cambio_" + s if len(sides[r[1]]) == 2 else s, *r, n) for s, r, n in diff]
+        got = table_diff(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["k"], ["part"])
+        assert rows(got) == sorted(want, key=lambda t: tuple((z is None, str(z)) for z in t))
+    assert table_diff(spark.createDataFrame(a, schema), spark.createDataFrame(a[::-1], schema), ["k"], ["part"]).count() == 0
+
+
+def test_region_is_answered_from_stored_sketches(spark, scratch):
+    from cafetal.operators import sketches
+
+    silver = catalog.silver_layer(spark, SF_SMALL)
+    states = spark.read.parquet(io.write_parquet(sketches.month_states(silver), scratch("sketches-test")))
+    got = sketches.quantiles(states, []).first()
+    values = sorted(r[0] for r in silver.select("temp_c").collect())
+    assert got.n == len(values)
+    for rank, q in ((0.1, got.q10), (0.5, got.q50), (0.9, got.q90)):
+        below, upto = (sum(v < q for v in values) / len(values), sum(v <= q for v in values) / len(values))
+        assert below - sketches.RANK_ERROR <= rank <= upto + sketches.RANK_ERROR
+    days = silver.select("fecha").distinct().count()
+    assert abs(got.dias_distintos - days) <= sketches.COUNT_ERROR * days
+    plan = plan_text(sketches.quantiles(states, ["mes"]))
+    assert "temp_c" not in plan                                            # only states are read
+
+
+def test_stream_join_keeps_matches_over_restarts_and_drops_state(spark, scratch):
+    from cafetal.streaming.alarm_join import run_alarm_join
+    from cafetal.streaming.amplitude import EVENTS_SCHEMA
+
+    t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    src, sink, ckpt = scratch("alarm_in"), scratch("alarm_out"), scratch("alarm_ckpt")
+    deliveries = [[(1, t(0), 7, "error"), (2, t(5), 7, "view"), (3, t(1), 8, "error")],
+                  [(4, t(6), 7, "view"), (5, t(6.5), 7, "view"), (6, t(7), 8, "view"), (7, t(6), 8, "view"), (8, t(6), 9, "error")],
+                  [(9, t(11), 9, "view"), (10, t(40), 9, "error")], [(11, t(44), 9, "view"), (12, t(90), 1, "view")]]
+    want = {(1, 2), (1, 4), (3, 6), (3, 7), (8, 9), (10, 11)}
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    for k, part in enumerate(deliveries):
+        spark.createDataFrame([(*r, 0.0, None) for r in part], EVENTS_SCHEMA).write.parquet(f"{src}/{k}")
+        q = run_alarm_join(session, f"{src}/*", sink, ckpt)
+    assert sorted((r.alarma, r.lectura) for r in spark.read.parquet(sink).collect()) == sorted(want)
+    kept = sum(s["numRowsTotal"] for s in q.recentProgress[-1]["stateOperators"])
+    assert kept < sum(map(len, deliveries)) - 6                              # rows that can't match any more are gone
