@@ -122,12 +122,12 @@ def fit_router(x: np.ndarray, target: np.ndarray, hidden: int, epochs: int, seed
 def fit(x: np.ndarray, rows: int, per_part: int, most_parts: int, k: int, recall: float, seed: int = 5) -> Router:
     """Learn partitions and their router on a sample of the vectors of a table with ``rows`` of them.
 
-    Partitions: about rows / ``per_part``, at most ``most_parts`` and a sixteenth of
-    the sample.  The mass that a query's partitions must reach is set on a tenth of
+    Partitions: about rows / ``per_part``, or one for each 64 vectors of the sample if that is more (so tables of a few
+    hundred rows have several), at most ``most_parts`` and a sixteenth of the sample.  The mass that a query's partitions must reach is set on a tenth of
     the sample kept from training: the least at which its own neighbours are found
     to the share ``recall``.
     """
-    parts = int(max(1, min(most_parts, rows // per_part, len(x) // 16)))
+    parts = int(max(1, min(most_parts, max(rows // per_part, len(x) // 64), len(x) // 16)))
     if parts == 1:
         d = x.shape[1] if len(x) else 1
         return Router(np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))

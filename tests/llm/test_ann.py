@@ -116,3 +116,20 @@ def test_query(spark):
     got = answers(registry.op1_learned_partitions(spark, SF_MID))
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_MID}/embeddings.parquet").collect()]
     assert recall(got, brute(rows)) >= 0.9 and ann._BLOCK
+
+
+def test_production_parameters_prune_clustered_vectors(spark):
+    """Default parameters: several partitions from a few hundred rows on, and few of them read where vectors have structure."""
+    v = clustered(6000, centres=120, d=32)
+    x = v.astype(float)
+    x /= np.sqrt((x * x).sum(axis=1)).max()
+    router = fit(x[:4096], len(x), 2048, 512, 20, 0.97)
+    part = router.probabilities(x).argmax(axis=1)
+    size = np.bincount(part, minlength=router.w2.shape[1])
+    row, to = router.route(x[::20])
+    read = np.zeros(len(x[::20]))
+    np.add.at(read, row, size[to])
+    assert (read / len(x)).mean() < 1 / 3 and len(size) >= 32
+    assert fit(x[:300], 300, 2048, 512, 20, 0.97).w2.shape[1] > 1
+    got, want = answers(search(frame(spark, v))), brute(list(enumerate(v.tolist())))
+    assert recall(got, want) >= 0.9
