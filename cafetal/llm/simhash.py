@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cafetal.llm.common import column, fresh, materialise, slices
 
-_STEP = 8  # bits by which a crowded node of the upper trie is refined
+_HELD = 1 << 18  # fingerprints of whole subtries that a task joins at a time
 _CHUNK = 1 << 15  # node pairs held at a time
 _BRUTE = 128  # fingerprint pairs up to which a node pair is compared outright
 
@@ -44,10 +43,11 @@ def _fingerprints(shingle: int):
     return run
 
 
-def join_tries(a: np.ndarray, b: np.ndarray | None, bits: int):
+def join_tries(a: np.ndarray, b: np.ndarray | None, bits: int, top: int = 0):
     """Yield index pairs (i, j) of values at most ``bits`` apart; ``a``, ``b`` sorted, unique, unsigned.
 
-    With ``b`` None, ``a`` is joined with itself and each pair comes once.  A trie
+    With ``b`` None, ``a`` is joined with itself and each pair comes once; with ``top``, only pairs that agree in
+    their first ``top`` bits, as the join starts at the nodes of that depth.  A trie
     node is a range of the sorted array.  Node pairs go down together, bit by bit;
     those whose paths already differ in more than ``bits`` bits are pruned, and
     small ones are compared outright.
@@ -59,6 +59,12 @@ def join_tries(a: np.ndarray, b: np.ndarray | None, bits: int):
     one = np.uint64(1)
     # columns: a from, a to, b from, b to, differing bits, next bit
     stack = [np.array([[0, len(a), 0, len(b), 0, 63]], np.int64)]
+    if top:
+        cut = np.flatnonzero(np.append(True, (a[1:] ^ a[:-1]) >> np.uint64(64 - top) != 0))
+        end = np.append(cut[1:], len(a))
+        cut, end = cut[end - cut > 1], end[end - cut > 1]
+        roots = np.stack([cut, end, cut, end, np.zeros_like(cut), np.full_like(cut, 63 - top)], axis=1)
+        stack = [roots[k:k + _CHUNK] for k in range(0, len(roots), _CHUNK)]
     while stack:
         nodes = stack.pop()
         if len(nodes) > _CHUNK:
@@ -114,93 +120,114 @@ def _forest(values: np.ndarray, pairs) -> tuple[np.ndarray, np.ndarray]:
     return values[child], values[label[child]]
 
 
-def _upper_trie(values: DataFrame, most: int) -> list[tuple[int, int]]:
-    """Nodes (prefix, its bits) that part all fingerprints, each of about ``most`` at most.
+class Tries:
+    """Tries of fingerprints turned so that one of ``bits`` + 1 blocks of bits comes first.
 
-    Only counts of nodes come to the driver, and only children of crowded nodes.
+    Two fingerprints at most ``bits`` apart agree in one block at least, so they meet below one node in the trie that
+    has this block on top.  A subtrie that is crowded is split the same way once more: what is below its root is
+    turned so that one of ``bits`` + 1 blocks of the rest comes next, and pairs meet deeper down.
     """
-    leaves, crowded, depth = [], None, 0
-    while depth < 64:
-        depth += _STEP
-        node = F.expr(f"shiftrightunsigned(__fp, {64 - depth})")
-        part = values
-        if crowded is not None:
-            part = values.join(F.broadcast(crowded), F.expr(f"shiftrightunsigned(__fp, {64 - depth + _STEP})")
-                               == F.col("__up")).drop("__up")
-        counts = part.groupBy(node.alias("p")).count().collect()
-        heavy = [r.p for r in counts if r["count"] > most and depth < 64]
-        leaves += [(r.p % (1 << 64), depth) for r in counts if r["count"] <= most or depth == 64]
-        if not heavy:
-            break
-        crowded = values.sparkSession.createDataFrame([(p,) for p in heavy], "__up long")
-    return leaves
-
-
-def node_pairs(leaves: list[tuple[int, int]], bits: int) -> list[tuple[int, int]]:
-    """Pairs of leaves (by index, i <= j) whose common bits differ in at most ``bits``: the trie's top, joined."""
-    tree: dict = {}
-    for k, (prefix, depth) in enumerate(leaves):
-        node = tree
-        for d in range(depth - _STEP, -1, -_STEP):
-            node = node.setdefault((prefix >> d) & ((1 << _STEP) - 1), {})
-        node["leaf"] = k
-    out, stack = set(), [(tree, tree, 0)]
-    while stack:
-        x, y, spent = stack.pop()
-        if "leaf" in x and "leaf" in y:
-            out.add((min(x["leaf"], y["leaf"]), max(x["leaf"], y["leaf"])))
-            continue
-        for i, xc in [(None, x)] if "leaf" in x else x.items():
-            for j, yc in [(None, y)] if "leaf" in y else y.items():
-                cost = 0 if i is None or j is None else (i ^ j).bit_count()
-                if spent + cost <= bits and not (x is y and i is not None and j < i):
-                    stack.append((xc, yc, spent + cost))
-    return sorted(out)
 
+    def __init__(self, bits: int):
+        self.blocks = bits + 1
+        self.wide = 64 // self.blocks
+        self.rest = 64 - self.wide
+        self.deep = self.rest // self.blocks
+
+    def number(self, first: int, second: int | None = None) -> int:
+        return first if second is None else self.blocks * (first + 1) + second
+
+    def depth(self, trie: int) -> int:
+        return self.wide if trie < self.blocks else self.wide + self.deep
+
+    def turned(self, fp: np.ndarray, trie: int) -> np.ndarray:
+        """The fingerprints (unsigned) with their bits in the order of a trie."""
+        first, second = (trie, None) if trie < self.blocks else (trie // self.blocks - 1, trie % self.blocks)
+        out = _rotated(fp, first * self.wide)
+        if second:
+            shift, rest = np.uint64(second * self.deep), np.uint64(self.rest)
+            mask = np.uint64((1 << self.rest) - 1)
+            low = out & mask
+            out = (out & ~mask) | ((low << shift | low >> (rest - shift)) & mask)
+        return out
+
+    def restored(self, turned: np.ndarray, trie: int) -> np.ndarray:
+        first, second = (trie, None) if trie < self.blocks else (trie // self.blocks - 1, trie % self.blocks)
+        if second:
+            shift, rest = np.uint64(second * self.deep), np.uint64(self.rest)
+            mask = np.uint64((1 << self.rest) - 1)
+            low = turned & mask
+            turned = (turned & ~mask) | ((low >> shift | low << (rest - shift)) & mask)
+        return _rotated(turned, (64 - first * self.wide) % 64)
+
+
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return x if not by else x << np.uint64(by) | x >> np.uint64(64 - by)
+
+
+def _keyed(tries: Tries, deep: bool):
+    """A row for each trie of a fingerprint: (trie, node at the depth where the join starts, fingerprint)."""
+    def run(batches):
+        for b in batches:
+            fp = b.column(b.schema.get_field_index("fp")).to_numpy(zero_copy_only=False).view(np.uint64)
+            known = b.column(b.schema.get_field_index("trie")).to_numpy(zero_copy_only=False) if deep else np.zeros(len(fp))
+            for first in range(tries.blocks) if not deep else np.unique(known).astype(int).tolist():
+                own = fp[known == first] if deep else fp
+                for second in range(tries.blocks) if deep else [None]:
+                    trie = tries.number(first, second)
+                    node = tries.turned(own, trie) >> np.uint64(64 - tries.depth(trie))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(own), trie, np.int32)), pa.array(node.astype(np.int64)), pa.array(own.view(np.int64))],
+                        names=["trie", "node", "fp"])
+    return run
+
+
+def _joined(tries: Tries, bits: int):
+    """Star edges of whole subtries, which come one after the other."""
+    def star(trie, node, fp):
+        for t in np.unique(trie).tolist():
+            a = np.sort(tries.turned(fp[trie == t], t))
+            child, root = _forest(a, join_tries(a, None, bits, tries.depth(t)))
+            if len(child):
+                u, v = tries.restored(child, t), tries.restored(root, t)
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
-def link(values: DataFrame, bits: int, most: int = 1 << 15) -> DataFrame:
+    def run(batches):
+        held: list[tuple] = []
+        size = 0
+        for b in batches:
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy().view(np.uint64)))
+            size += b.num_rows
+            if size >= _HELD:
+                cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+                open_ = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])  # the last subtrie may go on
+                yield from star(*(c[~open_] for c in cols))
+                held = [tuple(c[open_] for c in cols)]
+                size = int(open_.sum())
+        if held:
+            yield from star(*(np.concatenate(c) for c in zip(*held, strict=True)))
+    return run
+
+
+def link(values: DataFrame, bits: int, most: int = 1 << 17) -> DataFrame:
     """Star edges (``u``, ``v``) that join all fingerprints reachable by steps of at most ``bits`` bits.
 
-    ``values`` has distinct fingerprints in ``__fp``.  The upper trie is cut into
-    nodes of about max(``most``, all / 4096) fingerprints; a task joins the two
-    subtries of one node pair and returns a spanning star of each group it finds,
-    at most one edge a fingerprint, never all pairs of a group.
+    ``values`` has distinct fingerprints in ``__fp``.  Each is copied to ``bits`` + 1 tries (three for two bits), which
+    start at the nodes that one block of bits leads to; subtries of more than ``most`` fingerprints start deeper, at
+    ``bits`` + 1 times as many.  Subtries are dealt out by their roots and sorted; a task takes whole ones as they come,
+    joins each with itself and returns a spanning star of each group it finds, at most one
+    edge a fingerprint and trie, never all pairs of a group.  Nothing comes to the driver but counts.
     """
-    n = values.count()
-    leaves = _upper_trie(values, max(most, n // 4096))
-    pairs = node_pairs(leaves, bits)
-    mine: list[list[tuple[int, int]]] = [[] for _ in leaves]
-    for k, (i, j) in enumerate(pairs):
-        mine[i].append((k, 0))
-        if i != j:
-            mine[j].append((k, 1))
-    starts = np.array([p << (64 - d) for p, d in leaves], np.uint64)
-    order = np.argsort(starts)
-    starts = starts[order]
-    tasks = [np.array(mine[k], np.int64).reshape(-1, 2) for k in order]
-
-    def deal(batches):
-        for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            leaf = np.searchsorted(starts, fp, "right") - 1
-            for k in np.unique(leaf):
-                got, to = fp[leaf == k], tasks[k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(to[:, 0], len(got))), pa.array(np.repeat(to[:, 1], len(got))),
-                     pa.array(np.tile(got, len(to)).view(np.int64))], names=["pair", "side", "fp"])
-
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        side, fp = group["side"].to_numpy(), group["fp"].to_numpy().view(np.uint64)
-        a, b = np.sort(fp[side == 0]), np.sort(fp[side == 1])
-        if len(b):
-            both = np.concatenate([a, b])
-            child, root = _forest(both, ((i, j + len(a)) for i, j in join_tries(a, b, bits)))
-        else:
-            child, root = _forest(a, join_tries(a, None, bits))
-        return pd.DataFrame({"u": child.view(np.int64), "v": root.view(np.int64)})
-
-    return (values.select("__fp").mapInArrow(deal, "pair long, side long, fp long")
-            .groupBy("pair").applyInPandas(join, "u long, v long"))
+    tries = Tries(bits)
+    schema = "trie int, node long, fp long"
+    first = values.select(F.col("__fp").alias("fp")).mapInArrow(_keyed(tries, False), schema)
+    crowded = (first.groupBy("trie", "node").count().filter(F.col("count") > most)
+               .select("trie", "node", F.lit(True).alias("crowded")))
+    marked = first.join(crowded, ["trie", "node"], "left")
+    deeper = marked.filter("crowded").select("trie", "fp").mapInArrow(_keyed(tries, True), schema)
+    every = marked.filter("crowded IS NULL").select("trie", "node", "fp").unionByName(deeper)
+    return (every.repartition(F.col("trie"), F.col("node")).sortWithinPartitions("trie", "node")
+            .mapInArrow(_joined(tries, bits), "u long, v long"))
 
 
 def components(edges: DataFrame) -> DataFrame:

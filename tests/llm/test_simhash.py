@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cafetal.llm import simhash
-from cafetal.llm.simhash import components, fingerprint, join_tries, near_dedup, node_pairs
+from cafetal.llm.simhash import Tries, components, fingerprint, join_tries, near_dedup
 from tests.llm.helpers import docs
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,14 +101,33 @@ def test_join_tries_large():
     assert sum(len(i) for i, _ in join_tries(a, None, 2)) == want > 300
 
 
-def test_node_pairs_with_uneven_depths():
-    leaves = [(p, 8) for p in range(256) if p != 3] + [((3 << 8) | p, 16) for p in range(256)]
-    got = set(node_pairs(leaves, 2))
-    for i, (p, d) in enumerate(leaves):
-        for j in range(i, len(leaves)):
-            q, e = leaves[j]
-            low = min(d, e)
-            assert ((i, j) in got) == (((p >> (d - low)) ^ (q >> (e - low))).bit_count() <= 2)
+@pytest.mark.parametrize("bits", [0, 1, 2, 5])
+def test_tries_meet_all_near_pairs(bits):
+    r = np.random.default_rng(4)
+    tries = Tries(bits)
+    a = np.unique(np.append(r.integers(0, 2**64, 400, dtype=np.uint64), np.uint64(0)))
+    near = a.copy()
+    for _ in range(bits):
+        near ^= np.uint64(1) << r.integers(0, 64, len(a), dtype=np.uint64)
+    every = np.unique(np.concatenate([a, near]))
+    want = {(int(every[i]), int(y)) for i in range(len(every)) for y in every[i + 1:][np.bitwise_count(every[i + 1:] ^ every[i]) <= bits]}
+    for deep in (False, True):
+        got = set()
+        for t in ([tries.number(i) for i in range(tries.blocks)] if not deep else
+                  [tries.number(i, j) for i in range(tries.blocks) for j in range(tries.blocks)]):
+            x = np.sort(tries.turned(every, t))
+            assert set(tries.restored(x, t).tolist()) == set(every.tolist())
+            for i, j in join_tries(x, None, bits, tries.depth(t)):
+                u, v = tries.restored(x[i], t), tries.restored(x[j], t)
+                got |= {(min(p, q), max(p, q)) for p, q in zip(u.tolist(), v.tolist(), strict=True)}
+        assert got == want
+
+
+def test_copies_and_plan(spark):
+    """A fingerprint is copied three times for two bits, and what is dealt out is counted on executors."""
+    df = spark.createDataFrame([(i * 7919 ** 4 % 2**63,) for i in range(500)], "__fp long")
+    keyed = df.selectExpr("__fp as fp").mapInArrow(simhash._keyed(Tries(2), False), "trie int, node long, fp long")
+    assert keyed.count() == 1500
 
 
 @pytest.mark.parametrize("most", [4, 1000])
