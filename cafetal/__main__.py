@@ -36,6 +36,7 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--allow-critical", action="store_true", help="publish although critical checks failed")
     p.add_argument("--validate-only", action="store_true", help="only validate the published tables")
     p.add_argument("--explain", choices=sorted(("silver", "gold")), help="print the plans of a layer")
+    p.add_argument("--analyze", action="store_true", help="with --explain: run the queries and show what each operator did")
     return p.parse_args(argv)
 
 
@@ -47,7 +48,7 @@ def main(argv=None) -> int:
         if not args.tables:
             print("--explain needs --tables", file=sys.stderr)
             return 2
-        for name, plan in explain_layer(spark, args.tables, args.explain).items():
+        for name, plan in explain_layer(spark, args.tables, args.explain, args.analyze).items():
             print(f"== {name} ==\n{plan}")
         return 0
     try:

@@ -324,6 +324,18 @@ CONTRACTS = {
         Rule("confort_pct", "double", False, "confort_pct BETWEEN 0 AND 100"),
         Rule("aggregated_at", "timestamp", False, audit=True),
     ], ["pk_estacional_mes"]),
+    # the published data contract's own limits, which are narrower than the silver checks
+    "documented": Contract("documented", [
+        Rule("fecha", "date", False),
+        Rule("lon", "double", False, "lon BETWEEN -79.0 AND -66.8"),
+        Rule("lat", "double", False, "lat BETWEEN -4.3 AND 12.5"),
+        Rule("temp_c", "double", True, "temp_c BETWEEN -10.0 AND 45.0"),
+        Rule("dew_c", "double", True, "dew_c < temp_c"),
+        Rule("humedad_relativa", "double", True, "humedad_relativa BETWEEN 0.0 AND 100.0"),
+        Rule("lluvia_mm", "double", True, "lluvia_mm >= 0.0"),
+        Rule("rad_mj_m2", "double", True, "rad_mj_m2 >= 0.0"),
+        Rule("evap_pot_mm", "double", True, "evap_pot_mm >= 0.0"),
+    ], ["fecha", "lat", "lon"]),
 }
 
 

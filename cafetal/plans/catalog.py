@@ -501,6 +501,10 @@ def q_contract_seasonality(spark, sf_dir):
     return Q.contract_violations(_seasonality(spark, sf_dir), Q.CONTRACTS["seasonality"])
 
 
+def q_contract_documented(spark, sf_dir):
+    return Q.contract_violations(S.documented_table(_bronze(spark, sf_dir)), Q.CONTRACTS["documented"])
+
+
 # ---------------------------------------------------------------- gold (core)
 def q_ranking(spark, sf_dir):
     return _ranking(spark, sf_dir)
@@ -639,4 +643,5 @@ def queries() -> dict[str, Query]:
         "contract_silver": q_contract_silver,
         "contract_ranking": q_contract_ranking,
         "contract_seasonality": q_contract_seasonality,
+        "contract_documented": q_contract_documented,
     }

@@ -31,11 +31,47 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-def explain_layer(spark: SparkSession, sf_dir: str, layer: str) -> dict[str, str]:
+# metrics shown by an analysed plan, in this order
+SHOWN = ("numOutputRows", "shuffleRecordsWritten", "dataSize", "spillSize", "scanTime", "aggTime", "sortTime", "pipelineTime")
+
+
+def analyzed_plan(df: DataFrame) -> str:
+    """Run ``df`` and return its final adaptive plan, each operator with what it did: rows, bytes, spill, milliseconds.
+
+    The whole plan runs on the executors, and only its row count comes back.
+    """
+    plan = df._jdf.queryExecution().executedPlan()
+    rows = df._jdf.queryExecution().toRdd().count()
+    lines: list[str] = []
+
+    def show(node, depth: int) -> None:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return show(node.executedPlan(), depth)
+        values = node.metrics()
+        known = []
+        for metric in SHOWN:
+            found = values.get(metric)
+            if found.isDefined() and found.get().value() > 0:
+                known.append(f"{metric}={found.get().value()}")
+        lines.append("  " * depth + name + (f"  [{', '.join(known)}]" if known else ""))
+        children = node.children()
+        below = [children.apply(i) for i in range(children.size())]
+        if hasattr(node, "plan") and "QueryStage" in name:
+            below = [node.plan()]
+        for child in below:
+            show(child, depth + 1)
+
+    show(plan, 0)
+    return "\n".join([f"rows returned: {rows}", *lines])
+
+
+def explain_layer(spark: SparkSession, sf_dir: str, layer: str, analyze: bool = False) -> dict[str, str]:
+    """Plans of a layer's key queries; with ``analyze`` they are run, and the plans say what each operator did."""
     if layer not in LAYER_QUERIES:
         raise ValueError(f"unknown layer {layer!r}; use one of {sorted(LAYER_QUERIES)}")
     qs = catalog.queries()
-    return {name: plan_text(qs[name](spark, sf_dir)) for name in LAYER_QUERIES[layer]}
+    return {name: (analyzed_plan if analyze else plan_text)(qs[name](spark, sf_dir)) for name in LAYER_QUERIES[layer]}
 
 
 def plan_facts(plan: str) -> dict[str, int]:

@@ -12,13 +12,11 @@ written layer.
 
 from __future__ import annotations
 
-import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,25 +42,33 @@ class RunResult:
     tables: dict[str, str]
 
 
+def _entries(spark: SparkSession, root: str) -> DataFrame | None:
+    """All published entries; None if there are none, which is looked up before anything is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder) or not fs.listStatus(folder):
+        return None
+    return (spark.read.schema("orden bigint, corrida string, tabla string, ruta string")
+            .option("mode", "FAILFAST").json(f"{root}/versions/*"))
+
+
 def current_tables(spark: SparkSession, root: str) -> dict[str, str]:
     """Published table locations (empty if nothing was ever published)."""
-    try:
-        entries = (spark.read.schema("orden bigint, corrida string, tabla string, ruta string")
-                   .option("mode", "FAILFAST").json(f"{root}/versions/*"))
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    entries = _entries(spark, root)
+    if entries is None:
         return {}
     newest = entries.groupBy("tabla").agg(F.max_by("ruta", F.struct("orden", "corrida")).alias("ruta"))
     return {r["tabla"]: r["ruta"] for r in newest.collect()}
 
 
 def _publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, str]) -> None:
-    order = time.time_ns()
+    # the next number, not a clock, decides which entry is newest; of two runs at once the run id does
+    entries = _entries(spark, root)
+    order = 1 if entries is None else (entries.agg(F.max("orden")).first()[0] or 0) + 1
     entry = spark.createDataFrame([(order, run_id, t, path) for t, path in sorted(tables.items())],
                                   "orden bigint, corrida string, tabla string, ruta string")
     # one file, moved into place when it is complete
-    entry.coalesce(1).write.mode("error").json(f"{root}/versions/{order}-{run_id}")
+    entry.coalesce(1).write.mode("error").json(f"{root}/versions/{order:012d}-{run_id}")
 
 
 def published(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -99,17 +105,16 @@ def stage_silver(spark: SparkSession, bronze: DataFrame, base: str,
 
 
 def add_row_ids(spark: SparkSession, bronze: DataFrame, path: str) -> DataFrame:
-    """Bronze with a surrogate ``row_id`` (random UUID) first; a no-op if it is there.
+    """Bronze with a surrogate ``row_id`` (random UUID) first; ids that are there already are kept.
 
     ``uuid()`` is not stable under recomputation, so the ids are written first and
     the written table is checked: as many rows as the input and no repeated id,
     else ``GateError``.  Returns the written table.
     """
-    if "row_id" in bronze.columns:
-        return bronze
+    ids = [] if "row_id" in bronze.columns else [F.expr("uuid()").alias("row_id")]
     before = Observation("filas")  # rows are counted while they are written, not by another scan of the source
     io.write_parquet(bronze.observe(before, F.count(F.lit(1)).alias("antes"))
-                     .select(F.expr("uuid()").alias("row_id"), "*"), path)
+                     .select(*ids, "*"), path)
     written = spark.read.parquet(path)
     # ids are compared through 64-bit hashes; only ids whose hash repeats are compared themselves
     ids = written.select("row_id", F.xxhash64("row_id").alias("_h"))

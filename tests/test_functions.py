@@ -121,6 +121,9 @@ def test_column_detection():
     import pytest
 
     from cafetal.operators.silver import detect_columns
+    assert detect_columns(["lat", "lon", "datetime"])["fecha"] == "datetime"
+    assert detect_columns(["lat", "lon", "fechaobs", "value"])["fecha"] == "fechaobs"
+    assert detect_columns(["lat", "lon", "obsdate", "date_obs"])["fecha"] == "date_obs"
     assert detect_columns(["Latitude", "lon", "date_obs", "updated_at"]) == {
         "latitud": "Latitude", "longitud": "lon", "fecha": "date_obs"}
     for bad in (["lat", "lon", "updated_at"], ["lat", "latitud", "lon", "fecha"], ["lat", "lon", "fecha", "run_date"]):

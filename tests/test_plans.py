@@ -65,3 +65,10 @@ def test_explain_layer_returns_formatted_plans(spark):
     assert "TakeOrderedAndProject" in plans["top20_point_month"]
     facts = plan_facts(plans["executive_summary"])
     assert facts["nested_loop_joins"] == 0 and facts["python_udfs"] == 0
+
+
+def test_analyzed_plan_tells_what_operators_did(spark):
+    from cafetal.plans.explain import analyzed_plan
+    text = analyzed_plan(catalog.q_ranking_counts(spark, SF_SMALL))
+    assert text.startswith("rows returned: 8") and "Scan parquet" in text and "shuffleRecordsWritten=" in text
+    assert "numOutputRows=" in text.split("Scan parquet")[1]

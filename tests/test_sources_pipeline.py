@@ -114,7 +114,10 @@ def test_row_ids_written_checked_and_kept(spark, scratch):
     assert with_ids.columns[0] == "row_id"
     r = with_ids.agg(F.count("*").alias("n"), F.count_distinct("row_id").alias("d")).first()
     assert r.n == r.d == b.count()
-    assert P.add_row_ids(spark, with_ids, scratch("ids2")) is with_ids     # no-op when present
+    again = P.add_row_ids(spark, with_ids, scratch("ids2"))               # ids that are there are kept, written and checked
+    assert rows(again.select("row_id", "fecha", "latitud")) == rows(with_ids.select("row_id", "fecha", "latitud"))
+    with pytest.raises(P.GateError):
+        P.add_row_ids(spark, with_ids.withColumn("row_id", F.lit("same")), scratch("ids3"))
     silver = S.to_silver(with_ids, audit=True)
     assert silver.columns[0] == "bronze_id" and "processed_at" in silver.columns
 
