@@ -1,10 +1,17 @@
-"""Language-model scores: a hashed maximum-entropy model with class-factored softmax over unigram counts."""
+"""Language-model scores: a hashed maximum-entropy model with class-factored softmax over the real vocabulary.
+
+Every word has a symbol.  The most frequent words have one of their own; each other word has the symbol of its
+class, learned from the whole corpus: words are put together by their endings, and endings whose words stand between the
+same frequent words are one class.  The model gives the symbol from the two symbols before it, by class-factored
+softmax over hashed features; inside a class a word's share follows its count.
+"""
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -15,8 +22,12 @@ from pyspark.sql import functions as F
 from cafetal.llm.common import column, materialise, slices
 
 SIDE = 16  # classes, and symbols in a class
-SYMBOLS = SIDE * SIDE  # frequent words, END and RARE; as a context RARE also stands before the text
-END, RARE = SYMBOLS - 2, SYMBOLS - 1
+SYMBOLS = SIDE * SIDE  # frequent words, classes of the other words, END; as a context END also stands before the text
+WORDS = 126  # frequent words with a symbol of their own
+END = SYMBOLS - 1
+CLASSES = END - WORDS
+FORMS = 1 << 12  # hashed endings of words
+_SIDES = 128  # frequent neighbours on either side: words, END, and all others
 ROWS = 1 << 12  # hashed features
 _FLUSH = 1 << 21
 _BLOCKS = 16  # parts in which tasks hand over a gradient
@@ -44,6 +55,34 @@ def feature_rows(context: np.ndarray) -> np.ndarray:
                      first + (mixed % np.uint64(ROWS - first)).astype(np.int64)], axis=1)
 
 
+def forms(ws: list[bytes]) -> np.ndarray:
+    """The hashed endings of words: their last three bytes."""
+    return np.fromiter((crc32(w[-3:]) for w in ws), np.int64, len(ws)) & (FORMS - 1)
+
+
+def form_classes(beside: np.ndarray, seed: int = 3, rounds: int = 15) -> np.ndarray:
+    """Classes of the endings by the frequent words beside their words: weighted k-means on the roots of the shares."""
+    mass = beside.sum(axis=1)
+    x = np.sqrt(beside / np.maximum(mass, 1)[:, None])
+    seen = np.flatnonzero(mass)
+    if len(seen) <= CLASSES:
+        out = np.zeros(FORMS, np.int64)
+        out[seen] = np.arange(len(seen))
+        return out
+    rng = np.random.default_rng(seed)
+    centres = x[rng.choice(seen, CLASSES, replace=False, p=mass[seen] / mass[seen].sum())]
+    for _ in range(rounds):
+        label = (x @ centres.T - 0.5 * (centres * centres).sum(axis=1)).argmax(axis=1)
+        weight = np.bincount(label, mass, minlength=CLASSES)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, label, x * mass[:, None])
+        full = weight > 0
+        centres[full] = sums[full] / weight[full, None]
+        if not full.all():  # an empty class starts again at the heaviest endings
+            centres[~full] = x[np.argsort(-mass, kind="stable")[:int((~full).sum())]]
+    return (x @ centres.T - 0.5 * (centres * centres).sum(axis=1)).argmax(axis=1)
+
+
 def _log_softmax(z: np.ndarray) -> np.ndarray:
     z = z - z.max(axis=1, keepdims=True)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
@@ -109,31 +148,47 @@ class Weights:
 
 @dataclass
 class Vocabulary:
-    """Counts of the training corpus: totals, and a bounded table of the most frequent words."""
+    """Counts of the training corpus: totals, a bounded table of the most frequent words, and the classes of all others."""
 
     tokens: int
     distinct: int
     texts: int
     place: dict[bytes, int]
     counts: np.ndarray
+    form: np.ndarray  # of the table's words
+    form_class: np.ndarray  # of each ending
+    class_tokens: np.ndarray  # tokens of each class
+    class_total: np.ndarray  # its words' counts plus one each, and one for a word that is not known
 
     @property
     def symbols(self) -> np.ndarray:
         """Counts of the model's symbols."""
         n = np.zeros(SYMBOLS)
-        n[:min(END, len(self.counts))] = self.counts[:END]
+        n[:min(WORDS, len(self.counts))] = self.counts[:WORDS]
+        n[WORDS:END] = self.class_tokens
         n[END] = self.texts
-        n[RARE] = max(0, self.tokens - n.sum())
         return n
 
     def places(self, ws: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.place.get, ws, repeat(-1)), np.int64, len(ws))
 
-    def trigrams(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Contexts and symbols of a text's tokens, its end included."""
-        y = np.append(np.where((places >= 0) & (places < END), places, RARE), END)
-        before = np.concatenate([[RARE, RARE], y[:-1]])
-        return before[:-1] * SYMBOLS + before[1:], y
+    def forms(self, ws: list[bytes], places: np.ndarray) -> np.ndarray:
+        """The endings of the words; those of the table's words are known."""
+        out = self.form[places]  # place -1 is the last one, a filler
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            out[unknown] = forms([ws[i] for i in unknown.tolist()])
+        return out
+
+    def symbols_of(self, ws: list[bytes], places: np.ndarray) -> np.ndarray:
+        """Symbols of a text's tokens, its end included."""
+        own = (places >= 0) & (places < WORDS)
+        return np.append(np.where(own, places, WORDS + self.form_class[self.forms(ws, places)]), END)
+
+    @staticmethod
+    def contexts(y: np.ndarray) -> np.ndarray:
+        before = np.concatenate([[END, END], y[:-1]])
+        return before[:-1] * SYMBOLS + before[1:]
 
 
 def _count_words(batches):
@@ -153,6 +208,45 @@ def _count_words(batches):
     yield rows()
 
 
+def _count_neighbours(vocabulary):
+    """Per ending of the words without a symbol of their own: the frequent words before and behind them."""
+    def run(batches):
+        total = np.zeros(FORMS * 2 * _SIDES, np.int64)
+        v = vocabulary.value
+        for b in slices(batches):
+            keys = [np.zeros(0, np.int64)]
+            for text in column(b, "__body"):
+                ws = words(text)
+                at = v.places(ws)
+                own = (at >= 0) & (at < WORDS)
+                side = np.concatenate([[WORDS], np.where(own, at, WORDS + 1), [WORDS]])
+                rare = np.flatnonzero(~own)
+                form = v.forms(ws, at)[rare] * 2 * _SIDES
+                keys += [form + side[rare], form + _SIDES + side[rare + 2]]
+            total += np.bincount(np.concatenate(keys), minlength=len(total))
+        full = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], names=["cell", "n"])
+
+    return run
+
+
+def _count_forms(vocabulary):
+    """Per ending: tokens, words, of the words without a symbol of their own; reads the table of all counts."""
+    def run(batches):
+        n = np.zeros((2, FORMS), np.int64)
+        place = vocabulary.value.place
+        for b in batches:
+            ws, c = [w.encode() for w in column(b, "word")], b.column(b.schema.get_field_index("c")).to_numpy()
+            rare = np.array([place.get(w, WORDS) >= WORDS for w in ws], bool)
+            f = forms(ws)[rare]
+            n[0] += np.bincount(f, c[rare], minlength=FORMS).astype(np.int64)
+            n[1] += np.bincount(f, minlength=FORMS)
+        full = np.flatnonzero(n[1])
+        yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(x[full]) for x in n)], names=["f", "tokens", "words"])
+
+    return run
+
+
 def _count_trigrams(vocabulary):
     def run(batches):
         held, size = [], 0
@@ -164,8 +258,9 @@ def _count_trigrams(vocabulary):
 
         for b in slices(batches):
             for text in column(b, "__body"):
-                context, y = vocabulary.value.trigrams(vocabulary.value.places(words(text)))
-                held.append(context * SYMBOLS + y)
+                ws = words(text)
+                y = vocabulary.value.symbols_of(ws, vocabulary.value.places(ws))
+                held.append(vocabulary.value.contexts(y) * SYMBOLS + y)
                 size += len(y)
             if size > _FLUSH:
                 yield rows()
@@ -201,7 +296,8 @@ def fit(train: DataFrame, text_col: str = "text", table_size: int = 1 << 17, rou
     """Learn from every row of ``train``: (vocabulary, all word counts, weights).
 
     Every token is counted.  The table of frequent words has at most ``table_size``
-    of them, and less by those that a tie at its end would bring in.  The model's training data are the counts of all its
+    of them, and less by those that a tie at its end would bring in.  Classes are learned from the neighbours of all
+    words, and their totals counted over all words.  The model's training data are the counts of all its
     trigrams of symbols, at most 2^24 rows however large the corpus.  Weights start
     from the symbols' own counts; each of ``rounds`` rounds then sums the gradient
     of ``tasks`` tasks, block by block, and takes an Adam step with it on the driver.
@@ -221,9 +317,22 @@ def fit(train: DataFrame, text_col: str = "text", table_size: int = 1 << 17, rou
         room, lowest = room - r["count"], r.g
     top = counts.filter(grade >= lowest if lowest is not None else F.lit(False)).toPandas()
     top = top.sort_values(["c", "word"], ascending=[False, True])
-    vocabulary = Vocabulary(total[0] + n_texts, total[1] + (n_texts > 0), n_texts,
-                            {w.encode(): k for k, w in enumerate(top["word"])}, top["c"].to_numpy(float))
-    del top
+    known = [w.encode() for w in top["word"]]
+    vocabulary = Vocabulary(total[0] + n_texts, total[1] + (n_texts > 0), n_texts, {w: k for k, w in enumerate(known)},
+                            top["c"].to_numpy(float), np.append(forms(known), 0), np.zeros(FORMS, np.int64), np.zeros(CLASSES),
+                            np.ones(CLASSES))
+    del top, known
+    shared = spark.sparkContext.broadcast(vocabulary)
+    beside = np.zeros(FORMS * 2 * _SIDES)
+    got = (texts.mapInArrow(_count_neighbours(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+           .toPandas())  # at most 2^20 rows
+    beside[got.cell.to_numpy(int)] = got.n.to_numpy()
+    vocabulary.form_class = form_classes(beside.reshape(FORMS, -1))
+    got = (counts.mapInArrow(_count_forms(shared), "f long, tokens long, words long")
+           .groupBy("f").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).toPandas())  # at most 2^12 rows
+    of = vocabulary.form_class[got.f.to_numpy(int)]
+    vocabulary.class_tokens = np.bincount(of, got.tokens.to_numpy(float), minlength=CLASSES)
+    vocabulary.class_total = vocabulary.class_tokens + np.bincount(of, got.words.to_numpy(float), minlength=CLASSES) + 1
     shared = spark.sparkContext.broadcast(vocabulary)
     grams = materialise(
         texts.mapInArrow(_count_trigrams(shared), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
@@ -262,10 +371,8 @@ def _partial_scores(model):
     def run(batches):
         vocabulary, weights = model.value
         logs = np.log10(vocabulary.counts + 1) if len(vocabulary.counts) else np.zeros(1)
-        symbols = vocabulary.symbols
-        # A rare word's share: its count plus one, among all rare words and one unknown.
-        rare_total = np.log10(symbols[RARE] + max(0, vocabulary.distinct - min(END, len(vocabulary.counts))
-                                                  - (vocabulary.texts > 0)) + 1)
+        # a word's share in its class: its count plus one, among all words of the class and one unknown
+        class_log = np.log10(vocabulary.class_total)
         end_log = np.log10(vocabulary.texts + 1)
         for b in slices(batches, 256):
             cols = [[] for _ in range(5)]
@@ -274,16 +381,16 @@ def _partial_scores(model):
                 ws = words(text)
                 at = vocabulary.places(ws)
                 known = at[at >= 0]
-                context, y = vocabulary.trigrams(at)
-                grams.append(context * SYMBOLS + y)
+                y = vocabulary.symbols_of(ws, at)
+                grams.append(vocabulary.contexts(y) * SYMBOLS + y)
                 sizes.append(len(y))
                 rare = Counter(w.decode() for w, k in zip(ws, (at < 0).tolist(), strict=True) if k) if (
                     len(known) < len(ws)) else {}
-                n_rare = int((y == RARE).sum())
+                in_class = y[(y >= WORDS) & (y < END)] - WORDS
                 cols[0].append(len(y))
                 cols[1].append(len(known) + (vocabulary.texts > 0))
                 cols[2].append(float(logs[known].sum() + end_log))
-                cols[3].append(float(logs[known[known >= END]].sum() - n_rare * rare_total))
+                cols[3].append(float(logs[known[known >= WORDS]].sum() - class_log[in_class].sum()))
                 cols[4].append([{"word": w, "m": m} for w, m in rare.items()])
             if not grams:
                 continue
@@ -309,9 +416,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     from.  With no training text, all counts are zero and words are as likely as an
     unknown one.
 
-    The model gives a token's symbol from the two symbols before it; a word outside
-    the symbols is RARE, and within RARE its share follows its count, so the
-    probabilities of all words, an unknown one and the end sum to one.
+    The model gives a token's symbol from the two symbols before it; a word without a symbol of its own
+    has that of its class, and within the class its share follows its count, so the
+    probabilities of all words, an unknown one in each class and the end sum to one.
 
     Plan: words in a bounded table of the most frequent ones, which hold most tokens,
     are scored where texts are read.  Only the others, once per document, are joined

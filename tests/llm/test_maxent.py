@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from cafetal.llm import maxent
-from cafetal.llm.maxent import END, RARE, ROWS, SIDE, SYMBOLS, Weights, feature_rows, score_documents
+from cafetal.llm.maxent import CLASSES, END, ROWS, SIDE, SYMBOLS, WORDS, Weights, feature_rows, score_documents
 from tests.llm.helpers import docs
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -71,13 +71,66 @@ def test_model_beats_unigrams_on_held_out_texts(spark):
 def test_probabilities_sum_to_one(spark):
     rows = corpus(200)
     vocabulary, counts, weights = maxent.fit(docs(spark, [r for r in rows if not held(r[0])]), table_size=300, rounds=2)
-    for context in (RARE * SYMBOLS + RARE, 3 * SYMBOLS + 1, 0):
+    for context in (END * SYMBOLS + END, 3 * SYMBOLS + 1, 0):
         p = np.exp(weights.log_probability(np.full(SYMBOLS, context), np.arange(SYMBOLS)))
         assert math.isclose(p.sum(), 1, rel_tol=1e-9)
     c = {r.word: r.c for r in counts.collect()}
-    rare = [w for w in c if not 0 <= vocabulary.place.get(w.encode(), -1) < END]
-    total = vocabulary.symbols[RARE] + vocabulary.distinct - min(END, len(vocabulary.counts)) - 1 + 1
-    assert sum(c[w] + 1 for w in rare) + 1 == total and vocabulary.tokens == sum(c.values()) + vocabulary.texts
+    share, tokens_of = np.ones(CLASSES), np.zeros(CLASSES)
+    for w, n in c.items():
+        if not 0 <= vocabulary.place.get(w.encode(), -1) < WORDS:
+            k = vocabulary.form_class[crc32(w.encode()[-3:]) % maxent.FORMS]
+            share[k] += n + 1
+            tokens_of[k] += n
+    assert np.array_equal(share, vocabulary.class_total) and np.array_equal(tokens_of, vocabulary.class_tokens)
+    assert vocabulary.tokens == sum(c.values()) + vocabulary.texts == vocabulary.symbols.sum()
+
+
+def test_scores_match_a_plain_second_implementation(spark):
+    """The model's own weights and counts, applied token by token with dictionaries."""
+    rows = corpus(120)
+    train = docs(spark, [r for r in rows if not held(r[0])])
+    v, counts, w = maxent.fit(train, table_size=200, rounds=2)
+    c = {r.word: r.c for r in counts.collect()}
+    rank = {x: k for k, x in enumerate(sorted(c, key=lambda x: (-c[x], x)))}
+
+    def symbol(word):
+        if word is None:
+            return END
+        if word in rank and rank[word] < WORDS:
+            return rank[word]
+        return WORDS + int(v.form_class[crc32(word.encode()[-3:]) % maxent.FORMS])
+
+    def log_p(skip, last, y):
+        f = feature_rows(np.array([skip * SYMBOLS + last]))[0]
+        out = 0.0
+        for table, at in ((w.of_class, y // SIDE), (w.of_symbol[:, y // SIDE], y % SIDE)):
+            z = [sum(float(table[r][k]) for r in f) for k in range(SIDE)]
+            out += z[at] - max(z) - math.log(sum(math.exp(x - max(z)) for x in z))
+        return out / math.log(10)
+
+    got = {r.doc_id: r.score for r in score_documents(docs(spark, rows), table_size=200, rounds=2).collect() if r.doc_id is not None}
+    for i, text in rows:
+        if i is None or i in (5, 1005, 1006):
+            continue
+        ys, total = [END, END], 0.0
+        for word in [*tokens(text), None]:
+            y = symbol(word)
+            total += log_p(ys[-2], ys[-1], y)
+            if WORDS <= y < END:
+                total += math.log10((c.get(word, 0) + 1) / v.class_total[y - WORDS])
+            ys.append(y)
+        assert math.isclose(got[i], total, rel_tol=1e-5), i
+
+
+def test_classes_follow_the_company_words_keep():
+    """Endings of words that stand between the same frequent words fall together."""
+    r = np.random.default_rng(1)
+    kind = r.integers(0, 3, maxent.FORMS)
+    shares = r.dirichlet(np.full(2 * maxent._SIDES, 0.1), 3)
+    beside = np.stack([r.multinomial(400, shares[k]) for k in kind]).astype(float)
+    label = maxent.form_classes(beside)
+    for k in np.unique(label):
+        assert len(set(kind[label == k])) == 1
 
 
 def test_gradient_matches_differences():
@@ -102,4 +155,4 @@ def test_empty_and_untrained(spark):
     only = [i for i in range(100) if held(i)][:2]
     got = score_documents(docs(spark, [(only[0], "a b"), (only[1], None)])).collect()
     assert all((r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) and r.score <= 0 for r in got)
-    assert END == SYMBOLS - 2
+    assert END == SYMBOLS - 1 == WORDS + CLASSES
