@@ -390,3 +390,60 @@ def repair_damaged(conversations: DataFrame) -> DataFrame:
     zeros = gone.select("conv_id", *(F.lit(0).cast("long").alias(c) for c in _COUNTS), F.lit("").alias("audit"),
                         F.lit(hashlib.sha256(b"").hexdigest()).alias("repaired_sha256"))
     return got.unionByName(zeros)
+
+
+# The same in SQL: a row after the other, all states at once, insertions before each row and at the end.
+ORACLE = r"""
+WITH RECURSIVE keyed AS (
+  SELECT *, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                           lambda c: ascii(c)::BIGINT) AS bytes FROM conversations
+), fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: list_reduce(
+           [xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))) % 20 AS fate FROM keyed
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fated
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         regexp_replace(text, '[\x20\x09-\x0D]+\z', '') AS body FROM damaged
+), marked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS seen FROM numbered
+), faults AS (
+  SELECT *, body = '' AS blank, body <> '' AND seen AS again, body <> '' AND NOT seen AND right(body, 1) NOT IN ('.', '!', '?') AS cut,
+         left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM marked
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (pos > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+  FROM faults GROUP BY conv_id
+), step(p, r, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserts(p, q, k, made) AS (
+  SELECT p, p, 0, '' FROM range(4) t(p) UNION ALL
+  VALUES (0, 2, 1, chr(10) || 'user:'), (0, 3, 2, chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 2, 1, chr(10) || 'user:'),
+         (1, 3, 2, chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 3, 1, chr(10) || 'assistant:'), (3, 2, 1, chr(10) || 'user:')
+), edits AS (
+  SELECT conv_id, pos, 4 AS cost, 'D' AS edit, NULL AS r, '' AS made FROM faults UNION ALL
+  SELECT conv_id, pos, CASE WHEN cut THEN 3 ELSE 0 END, 'K', r, chr(10) || role || ':' || text FROM faults WHERE NOT blank AND NOT again
+  UNION ALL SELECT conv_id, pos, CASE WHEN cut THEN 6 ELSE 3 END, 'R', left(full_role, 1), chr(10) || full_role || ':' || text
+  FROM faults, (VALUES ('user'), ('assistant')) t(full_role) WHERE NOT blank AND NOT again
+), parsed AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'made': ''} AS best FROM counts
+  UNION ALL
+  SELECT s.conv_id, e.pos, coalesce(t.q, i.q), min({'cost': s.best.cost + 3 * i.k + e.cost, 'audit': s.best.audit || repeat('I', i.k) || e.edit,
+         'made': s.best.made || i.made || e.made})
+  FROM parsed s JOIN edits e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.pos = s.pos + 1 JOIN inserts i ON i.p = s.state
+  LEFT JOIN step t ON t.p = i.q AND t.r = e.r WHERE e.edit = 'D' OR t.q IS NOT NULL
+  GROUP BY s.conv_id, e.pos, coalesce(t.q, i.q)
+), ended AS (
+  SELECT s.conv_id, min({'cost': s.best.cost + 3 * i.k, 'audit': s.best.audit || repeat('I', i.k), 'made': s.best.made || i.made}) AS best
+  FROM parsed s JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.n = s.pos JOIN inserts i ON i.p = s.state
+  WHERE i.q IN (0, 3) GROUP BY s.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost,
+       coalesce(e.best.audit, '') AS audit, sha256(substr(coalesce(e.best.made, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

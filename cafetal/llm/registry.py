@@ -80,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": linededup.ORACLE, "op12_hard_negatives": hardneg.ORACLE, "op13_spotsigs": spotsigs.ORACLE}
+    return {"op7_line_dedup": linededup.ORACLE, "op11_conversation_repair": convrepair.ORACLE, "op12_hard_negatives": hardneg.ORACLE, "op13_spotsigs": spotsigs.ORACLE}
