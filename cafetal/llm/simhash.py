@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cafetal.llm.common import column, fresh, materialise, slices
@@ -165,21 +165,24 @@ def _rotated(x: np.ndarray, by: int) -> np.ndarray:
     return x if not by else x << np.uint64(by) | x >> np.uint64(64 - by)
 
 
-def _keyed(tries: Tries, deep: bool):
-    """A row for each trie of a fingerprint: (trie, node at the depth where the join starts, fingerprint)."""
-    def run(batches):
-        for b in batches:
-            fp = b.column(b.schema.get_field_index("fp")).to_numpy(zero_copy_only=False).view(np.uint64)
-            known = b.column(b.schema.get_field_index("trie")).to_numpy(zero_copy_only=False) if deep else np.zeros(len(fp))
-            for first in range(tries.blocks) if not deep else np.unique(known).astype(int).tolist():
-                own = fp[known == first] if deep else fp
-                for second in range(tries.blocks) if deep else [None]:
-                    trie = tries.number(first, second)
-                    node = tries.turned(own, trie) >> np.uint64(64 - tries.depth(trie))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(own), trie, np.int32)), pa.array(node.astype(np.int64)), pa.array(own.view(np.int64))],
-                        names=["trie", "node", "fp"])
-    return run
+def _turned_column(fp: Column, tries: Tries, first: int, second: int | None = None) -> Column:
+    """The same turn as a column expression."""
+    def rotated(x, by, wide):
+        mask = F.lit(-1 if wide == 64 else (1 << wide) - 1)
+        return x if not by else F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x.bitwiseAND(mask), wide - by)).bitwiseAND(mask)
+
+    out = rotated(fp, first * tries.wide, 64)
+    if second:
+        above = F.shiftleft(F.shiftrightunsigned(out, tries.rest), tries.rest)
+        out = above.bitwiseOR(rotated(out.bitwiseAND(F.lit((1 << tries.rest) - 1)), second * tries.deep, tries.rest))
+    return out
+
+
+def _keyed(fp: Column, tries: Tries, first: int, second: int | None = None) -> Column:
+    """A fingerprint's row for one trie: (trie, node at the depth where the join starts, fingerprint)."""
+    trie = tries.number(first, second)
+    node = F.shiftrightunsigned(_turned_column(fp, tries, first, second), 64 - tries.depth(trie))
+    return F.struct(F.lit(trie).alias("trie"), node.alias("node"), fp.alias("fp"))
 
 
 def _joined(tries: Tries, bits: int):
@@ -219,12 +222,13 @@ def link(values: DataFrame, bits: int, most: int = 1 << 17) -> DataFrame:
     edge a fingerprint and trie, never all pairs of a group.  Nothing comes to the driver but counts.
     """
     tries = Tries(bits)
-    schema = "trie int, node long, fp long"
-    first = values.select(F.col("__fp").alias("fp")).mapInArrow(_keyed(tries, False), schema)
+    fp, some = F.col("__fp"), range(tries.blocks)
+    first = values.select(F.inline(F.array(*(_keyed(fp, tries, i) for i in some))))
     crowded = (first.groupBy("trie", "node").count().filter(F.col("count") > most)
                .select("trie", "node", F.lit(True).alias("crowded")))
     marked = first.join(crowded, ["trie", "node"], "left")
-    deeper = marked.filter("crowded").select("trie", "fp").mapInArrow(_keyed(tries, True), schema)
+    below = [F.array(*(_keyed(F.col("fp"), tries, i, j) for j in some)) for i in some]
+    deeper = marked.filter("crowded").select(F.inline(F.get(F.array(*below), F.col("trie"))))
     every = marked.filter("crowded IS NULL").select("trie", "node", "fp").unionByName(deeper)
     return (every.repartition(F.col("trie"), F.col("node")).sortWithinPartitions("trie", "node")
             .mapInArrow(_joined(tries, bits), "u long, v long"))

@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cafetal.llm import simhash
 from cafetal.llm.simhash import Tries, components, fingerprint, join_tries, near_dedup
@@ -123,11 +124,20 @@ def test_tries_meet_all_near_pairs(bits):
         assert got == want
 
 
-def test_copies_and_plan(spark):
-    """A fingerprint is copied three times for two bits, and what is dealt out is counted on executors."""
-    df = spark.createDataFrame([(i * 7919 ** 4 % 2**63,) for i in range(500)], "__fp long")
-    keyed = df.selectExpr("__fp as fp").mapInArrow(simhash._keyed(Tries(2), False), "trie int, node long, fp long")
-    assert keyed.count() == 1500
+@pytest.mark.parametrize("bits", [0, 2, 3])
+def test_nodes_on_spark_are_those_of_the_join(spark, bits):
+    """A fingerprint is copied bits + 1 times, and a node is the top of the fingerprint as the join turns it."""
+    r = np.random.default_rng(5)
+    fps = np.unique(np.append(r.integers(0, 2**64, 200, dtype=np.uint64), np.array([0, 2**64 - 1, 1 << 63], np.uint64)))
+    tries = Tries(bits)
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    some = range(tries.blocks)
+    keys = [(i, None) for i in some] + [(i, j) for i in some for j in some]
+    got = df.select(F.inline(F.array(*(simhash._keyed(F.col("fp"), tries, i, j) for i, j in keys)))).collect()
+    assert len(got) == len(fps) * len(keys)
+    for row in got:
+        turned = tries.turned(np.array([row.fp], np.int64).view(np.uint64), row.trie)
+        assert row.node == (turned >> np.uint64(64 - tries.depth(row.trie))).view(np.int64)[0]
 
 
 @pytest.mark.parametrize("most", [4, 1000])
