@@ -232,8 +232,8 @@ def _stream(schema: pa.Schema, turns: bool):
 
         for b in slices(batches, 1024):
             cols = [b.column(i).to_pylist() for i in range(b.num_columns)]
-            for conv, g, role, text, n, found, *counts in zip(*cols, strict=True):
-                if g < 0:
+            for conv, side, role, text, n, found, *counts in zip(*cols, strict=True):
+                if side < 0:
                     close()
                     verdict, audit, at, state, place, sha = (conv, *counts), found, 0, 0, 0, hashlib.sha256()
                     continue
@@ -261,32 +261,40 @@ def _order(c: str) -> Column:
     return F.col(c).asc_nulls_first()
 
 
-def _turns(conversations: DataFrame, copies: Column) -> DataFrame:
-    """Distinct turns with their number of copies, fault and place."""
-    rows = (conversations.select(F.col("conv_id").alias("__conv"), F.col("turn").cast("long").alias("__turn"),
-                                 F.coalesce("role", F.lit(" ")).alias("__role"),
-                                 F.coalesce("text", F.lit(" ")).alias("__text"), copies.cast("long").alias("__n"))
-            .filter("__n > 0").groupBy("__conv", "__turn", "__role", "__text").agg(F.sum("__n").alias("__n"))
-            .withColumn("__key", F.sha2(F.concat("__role", F.lit("\0"), "__text"), 256)))
+def _rows(conversations: DataFrame, copies: Column) -> DataFrame:
+    """The turns with their copies and a key of role and text, by which equal ones are known and rows of one turn ordered."""
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    return (conversations.select(F.col("conv_id").alias("__conv"), F.col("turn").cast("long").alias("__turn"),
+                                 role.alias("__role"), text.alias("__text"), copies.cast("long").alias("__n"))
+            .filter("__n > 0")
+            .withColumn("__key", F.unhex(F.sha2(F.concat(F.length("__role").cast("string"), F.lit(":"), "__role", "__text"), 256))))
+
+
+def _turns(rows: DataFrame) -> DataFrame:
+    """Distinct turns with their number of copies, fault and place; their texts stay behind."""
+    body = _blank_ended("__text")
+    start = F.substring("__role", 1, 1)
+    seen = rows.select("__conv", "__turn", "__key", "__n", (body == "").alias("__void"),
+                       (~F.right(body, F.lit(1)).isin(".", "!", "?")).alias("__cut"),
+                       F.when(start.isin("s", "u", "a"), start).otherwise("x").alias("__start"))
+    seen = seen.groupBy("__conv", "__turn", "__key").agg(
+        F.sum("__n").alias("__n"), *(F.max(c).alias(c) for c in ("__void", "__cut", "__start")))
     # the first of equal turns, per conversation: partial minima, then a join on a key that no two rows share
-    first = (rows.groupBy("__conv", "__key")
+    first = (seen.groupBy("__conv", "__key")
              .agg(F.min(F.struct(F.col("__turn").isNotNull().alias("there"), F.col("__turn").alias("turn"))).alias("__first"))
              .select(F.col("__conv").alias("__c"), F.col("__key").alias("__k"), F.col("__first.turn").alias("__t"),
                      F.lit(True).alias("__is_first")))
-    rows = rows.join(first, F.col("__conv").eqNullSafe(F.col("__c")) & (F.col("__key") == F.col("__k"))
-                     & F.col("__turn").eqNullSafe(F.col("__t")), "left").drop("__c", "__k", "__t", "__key")
-    body = _blank_ended("__text")
-    blank, is_first = body == "", F.coalesce("__is_first", F.lit(False))
+    rows = seen.join(first, F.col("__conv").eqNullSafe(F.col("__c")) & (F.col("__key") == F.col("__k"))
+                     & F.col("__turn").eqNullSafe(F.col("__t")), "left").drop("__c", "__k", "__t")
+    blank, is_first = F.col("__void"), F.coalesce("__is_first", F.lit(False))
     again = F.col("__n") - is_first.cast("long")
-    cut = ~F.right(body, F.lit(1)).isin(".", "!", "?")
-    start = F.substring("__role", 1, 1)
-    start = F.when(start.isin("s", "u", "a"), start).otherwise("x")
+    cut, start = F.col("__cut"), F.col("__start")
     rows = (rows.withColumn("__blank", F.when(blank, F.col("__n")).otherwise(0))
             .withColumn("__dup", F.when(blank, 0).otherwise(again))
             .withColumn("__trunc", (~blank & is_first & cut).cast("long"))
             .withColumn("__kind", F.when(blank | ~is_first, "d").when(cut, F.upper(start)).otherwise(start))
-            .withColumn("__start", start).drop("__is_first"))
-    return numbered(rows, [_order(c) for c in ("__conv", "__turn", "__role", "__text")], "__g", "conversation-turns")
+            .drop("__is_first", "__void", "__cut"))
+    return numbered(rows, [_order(c) for c in ("__conv", "__turn", "__key")], "__g", "conversation-turns")
 
 
 def _verdicts(turns: DataFrame) -> DataFrame:
@@ -327,15 +335,17 @@ _COUNTS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
 
 
 def _walked(conversations: DataFrame, copies: Column, turns: bool) -> DataFrame:
-    rows = _turns(conversations, copies)
+    rows = _rows(conversations, copies)
     # written once: every count below it is used twice, and the walk should not parse again
-    verdicts = materialise(_verdicts(rows), "conversation-verdicts")
-    heads = verdicts.select("__conv", F.lit(-1).cast("long").alias("__g"), F.lit("").alias("__role"),
-                            F.lit("").alias("__text"), F.lit(0).cast("long").alias("__n"), "audit", *_COUNTS)
-    body = rows.select("__conv", "__g", "__role", "__text", "__n", F.lit(None).cast("string").alias("audit"),
-                       *(F.lit(None).cast("long").alias(c) for c in _COUNTS))
+    verdicts = materialise(_verdicts(_turns(rows)), "conversation-verdicts")
+    heads = verdicts.select("__conv", F.lit(-1).alias("__side"), F.lit("").alias("__role"), F.lit("").alias("__text"),
+                            F.lit(0).cast("long").alias("__n"), "audit", *_COUNTS, F.lit(None).cast("long").alias("__turn"),
+                            F.lit(None).cast("binary").alias("__key"))
+    body = rows.select("__conv", F.lit(0).alias("__side"), "__role", "__text", "__n", F.lit(None).cast("string").alias("audit"),
+                       *(F.lit(None).cast("long").alias(c) for c in _COUNTS), "__turn", "__key")
+    # the only shuffle of the texts; the order is that of the places, so copies come one after the other
     sorted_rows = (heads.unionAll(body).repartition("__conv")
-                   .sortWithinPartitions(_order("__conv"), "__g"))
+                   .sortWithinPartitions(_order("__conv"), "__side", _order("__turn"), "__key").drop("__turn", "__key"))
     conv = rows.schema["__conv"].dataType
     id_type = pa.int64() if isinstance(conv, T.LongType) else pa.int32() if isinstance(conv, T.IntegerType) else pa.string()
     if turns:
@@ -352,7 +362,7 @@ def _walked(conversations: DataFrame, copies: Column, turns: bool) -> DataFrame:
 def repair(conversations: DataFrame, copies: Column | None = None) -> DataFrame:
     """The cheapest repair of each conversation: counts of faults, ``cost``, ``audit`` and ``repaired_sha256``.
 
-    Turns are taken by ``turn`` (nulls first; equal turns by role, then text), a null role or text is one
+    Turns are taken by ``turn`` (nulls first; rows of one turn by a hash of role and text), a null role or text is one
     blank, a null ``conv_id`` is a conversation like any other.  ``copies`` says how often a row stands there
     (once if not given; a conversation all of whose rows stand there zero times has no row here).
     Repeated rows are counted, not multiplied.  ``gaps`` ends at the largest long.
@@ -406,7 +416,7 @@ WITH RECURSIVE keyed AS (
          CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
          unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fated
 ), numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS pos,
          regexp_replace(text, '[\x20\x09-\x0D]+\z', '') AS body FROM damaged
 ), marked AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS seen FROM numbered

@@ -67,7 +67,7 @@ def brute(rows):
     out = []
     for conv in {r[0] for r in rows}:
         after = sorted((r for r in seen(rows) if r[0] == conv),
-                       key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+                       key=lambda r: (r[1] is not None, r[1] or 0, sha256(f"{len(r[2])}:{r[2]}{r[3]}".encode()).digest()))
         ts = [t for _, t, _, _ in after if t is not None]
         known, marked, counts = set(), [], [0, 0, 0]
         for _, _, role, text in after:
