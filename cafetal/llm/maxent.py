@@ -28,6 +28,7 @@ END = SYMBOLS - 1
 CLASSES = END - WORDS
 FORMS = 1 << 12  # hashed endings of words
 _SIDES = 128  # frequent neighbours on either side: words, END, and all others
+_EDGE = WORDS + FORMS  # the end among codes, which number the frequent words and then the endings
 ROWS = 1 << 12  # hashed features
 _FLUSH = 1 << 21
 _BLOCKS = 16  # parts in which tasks hand over a gradient
@@ -172,23 +173,34 @@ class Vocabulary:
     def places(self, ws: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.place.get, ws, repeat(-1)), np.int64, len(ws))
 
-    def forms(self, ws: list[bytes], places: np.ndarray) -> np.ndarray:
-        """The endings of the words; those of the table's words are known."""
-        out = self.form[places]  # place -1 is the last one, a filler
+    def codes(self, ws: list[bytes], places: np.ndarray) -> np.ndarray:
+        """Code of each word: its place if it is one of the frequent words, else ``WORDS`` and its ending."""
+        out = np.where((places >= 0) & (places < WORDS), places, WORDS + self.form[places])  # place -1 is a filler
         unknown = np.flatnonzero(places < 0)
         if len(unknown):
-            out[unknown] = forms([ws[i] for i in unknown.tolist()])
-        return out
+            out[unknown] = WORDS + forms([ws[i] for i in unknown.tolist()])
+        return out.astype("<u2")
+
+    def symbol_of_code(self) -> np.ndarray:
+        return np.concatenate([np.arange(WORDS), WORDS + self.form_class, [END]])
+
+
+def _flat(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of several texts in one array, each with two edges before and one behind; the texts' starts and sizes."""
+    codes = [np.frombuffer(r, "<u2") for r in raw]
+    n = np.array([len(c) for c in codes], np.int64)
+    start = np.cumsum(n + 3) - n - 3
+    out = np.full(int((n + 3).sum()), _EDGE, np.int64)
+    out[np.arange(int(n.sum())) + np.repeat(start + 2 - (np.cumsum(n) - n), n)] = np.concatenate([*codes, np.zeros(0, "<u2")])
+    return out, start, n
 
-    def symbols_of(self, ws: list[bytes], places: np.ndarray) -> np.ndarray:
-        """Symbols of a text's tokens, its end included."""
-        own = (places >= 0) & (places < WORDS)
-        return np.append(np.where(own, places, WORDS + self.form_class[self.forms(ws, places)]), END)
 
-    @staticmethod
-    def contexts(y: np.ndarray) -> np.ndarray:
-        before = np.concatenate([[END, END], y[:-1]])
-        return before[:-1] * SYMBOLS + before[1:]
+def _trigrams(raw: list[bytes], symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams of symbols (context * SYMBOLS + symbol) of the tokens of several texts, ends included; tokens of each text."""
+    flat, start, n = _flat(raw)
+    y = symbol[flat]
+    at = np.arange(int((n + 1).sum())) + np.repeat(start + 2 - (np.cumsum(n + 1) - n - 1), n + 1)
+    return (y[at - 2] * SYMBOLS + y[at - 1]) * SYMBOLS + y[at], n + 1
 
 
 def _count_words(batches):
@@ -208,28 +220,52 @@ def _count_words(batches):
     yield rows()
 
 
-def _count_neighbours(vocabulary):
-    """Per ending of the words without a symbol of their own: the frequent words before and behind them."""
+def _encoded(vocabulary):
+    """Texts read as codes, with the sums that need the words themselves: the only pass that looks at words again."""
     def run(batches):
-        total = np.zeros(FORMS * 2 * _SIDES, np.int64)
         v = vocabulary.value
-        for b in slices(batches):
-            keys = [np.zeros(0, np.int64)]
+        logs = np.log10(v.counts + 1) if len(v.counts) else np.zeros(1)
+        end_log = np.log10(v.texts + 1)
+        for b in slices(batches, 256):
+            cols = [[] for _ in range(6)]
             for text in column(b, "__body"):
                 ws = words(text)
                 at = v.places(ws)
-                own = (at >= 0) & (at < WORDS)
-                side = np.concatenate([[WORDS], np.where(own, at, WORDS + 1), [WORDS]])
-                rare = np.flatnonzero(~own)
-                form = v.forms(ws, at)[rare] * 2 * _SIDES
-                keys += [form + side[rare], form + _SIDES + side[rare + 2]]
-            total += np.bincount(np.concatenate(keys), minlength=len(total))
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], names=["cell", "n"])
+                known = at[at >= 0]
+                rare = Counter(w.decode() for w, k in zip(ws, (at < 0).tolist(), strict=True) if k) if (
+                    len(known) < len(ws)) else {}
+                cols[0].append(len(ws) + 1)
+                cols[1].append(len(known) + (v.texts > 0))
+                cols[2].append(float(logs[known].sum() + end_log))
+                cols[3].append(float(logs[known[known >= WORDS]].sum()))
+                cols[4].append([{"word": w, "m": m} for w, m in rare.items()])
+                cols[5].append(v.codes(ws, at).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                 pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()),
+                 pa.array(cols[4], pa.list_(pa.struct([("word", pa.string()), ("m", pa.int64())]))), pa.array(cols[5], pa.binary())],
+                names=["doc_id", "held_out", "n_tokens", "known", "base", "inside", "rare", "codes"])
 
     return run
 
 
+_ENCODED = ("doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, "
+            "rare array<struct<word:string,m:long>>, codes binary")
+
+
+def _count_neighbours(batches):
+    """Per ending of the words without a symbol of their own: the frequent words before and behind them."""
+    total = np.zeros(FORMS * 2 * _SIDES, np.int64)
+    for b in slices(batches):
+        code, _, _ = _flat(column(b, "codes"))
+        side = np.where(code < WORDS, code, np.where(code == _EDGE, WORDS, WORDS + 1))
+        rare = np.flatnonzero((code >= WORDS) & (code < _EDGE))
+        form = (code[rare] - WORDS) * 2 * _SIDES
+        total += np.bincount(np.concatenate([form + side[rare - 1], form + _SIDES + side[rare + 1]]), minlength=len(total))
+    full = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], names=["cell", "n"])
+
+
 def _count_forms(vocabulary):
     """Per ending: tokens, words, of the words without a symbol of their own; reads the table of all counts."""
     def run(batches):
@@ -247,7 +283,7 @@ def _count_forms(vocabulary):
     return run
 
 
-def _count_trigrams(vocabulary):
+def _count_trigrams(symbol):
     def run(batches):
         held, size = [], 0
 
@@ -257,11 +293,8 @@ def _count_trigrams(vocabulary):
             return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
 
         for b in slices(batches):
-            for text in column(b, "__body"):
-                ws = words(text)
-                y = vocabulary.value.symbols_of(ws, vocabulary.value.places(ws))
-                held.append(vocabulary.value.contexts(y) * SYMBOLS + y)
-                size += len(y)
+            held.append(_trigrams(column(b, "codes"), symbol.value)[0])
+            size += len(held[-1])
             if size > _FLUSH:
                 yield rows()
                 size = 0
@@ -270,39 +303,43 @@ def _count_trigrams(vocabulary):
     return run
 
 
+def _short(cells: np.ndarray) -> bytes:
+    """32-bit numbers by their upper halves, rounded: what tasks hand over of a gradient."""
+    bits = np.ascontiguousarray(cells, np.float32).view(np.uint32)
+    return ((bits.astype(np.uint64) + 0x8000) >> np.uint64(16)).astype("<u2").tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    return (np.frombuffer(raw, "<u2").astype(np.uint32) << np.uint32(16)).view(np.float32)
+
+
 def _gradients(weights):
     def run(part: pd.DataFrame) -> pd.DataFrame:
         code, n = part["code"].to_numpy(), part["n"].to_numpy()
         order = np.argsort(code)  # the order of arrival must not matter
         code, n = code[order], n[order]
         loss, g = weights.value.gradient(code // SYMBOLS, code % SYMBOLS, n)
-        cells = np.concatenate([g.of_class.reshape(ROWS, -1), g.of_symbol.reshape(ROWS, -1)], axis=1).astype(np.float32)
+        cells = np.concatenate([g.of_class.reshape(ROWS, -1), g.of_symbol.reshape(ROWS, -1)], axis=1)
         blocks = cells.reshape(_BLOCKS, -1)
         return pd.DataFrame({"block": range(_BLOCKS), "loss": [loss / _BLOCKS] * _BLOCKS,
-                             "cells": [x.tobytes() for x in blocks]})
+                             "cells": [_short(x) for x in blocks]})
 
     return run
 
 
 def _add_blocks(part: pd.DataFrame) -> pd.DataFrame:
     """One block of the gradient, summed over tasks."""
-    cells = sum(np.frombuffer(x, np.float32).astype(float) for x in part["cells"])
-    return pd.DataFrame([(int(part["block"].iloc[0]), float(part["loss"].sum()), cells.astype(np.float32).tobytes())],
+    cells = sum(_long(x).astype(float) for x in part["cells"])
+    return pd.DataFrame([(int(part["block"].iloc[0]), float(part["loss"].sum()), _short(cells))],
                         columns=["block", "loss", "cells"])
 
 
-def fit(train: DataFrame, text_col: str = "text", table_size: int = 1 << 17, rounds: int = 10, rate: float = 0.1,
-        tasks: int = 8) -> tuple[Vocabulary, DataFrame, Weights]:
-    """Learn from every row of ``train``: (vocabulary, all word counts, weights).
+def count(train: DataFrame, text_col: str, table_size: int) -> tuple[Vocabulary, DataFrame]:
+    """Count all words of all texts: (vocabulary without classes yet, table of all counts).
 
     Every token is counted.  The table of frequent words has at most ``table_size``
-    of them, and less by those that a tie at its end would bring in.  Classes are learned from the neighbours of all
-    words, and their totals counted over all words.  The model's training data are the counts of all its
-    trigrams of symbols, at most 2^24 rows however large the corpus.  Weights start
-    from the symbols' own counts; each of ``rounds`` rounds then sums the gradient
-    of ``tasks`` tasks, block by block, and takes an Adam step with it on the driver.
+    of them, and less by those that a tie at its end would bring in.
     """
-    spark = train.sparkSession
     texts = train.select(F.coalesce(text_col, F.lit("")).alias("__body"))
     counts = materialise(texts.mapInArrow(_count_words, "word string, c long").groupBy("word")
                          .agg(F.sum("c").alias("c")), "lm-counts")
@@ -321,21 +358,40 @@ def fit(train: DataFrame, text_col: str = "text", table_size: int = 1 << 17, rou
     vocabulary = Vocabulary(total[0] + n_texts, total[1] + (n_texts > 0), n_texts, {w: k for k, w in enumerate(known)},
                             top["c"].to_numpy(float), np.append(forms(known), 0), np.zeros(FORMS, np.int64), np.zeros(CLASSES),
                             np.ones(CLASSES))
-    del top, known
-    shared = spark.sparkContext.broadcast(vocabulary)
+    return vocabulary, counts
+
+
+def encode(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Texts (``__id``, ``__held``, ``__body``) as codes, written once; all later passes read two bytes a token."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    return materialise(texts.mapInArrow(_encoded(shared), _ENCODED).withColumn("uid", F.monotonically_increasing_id()), "lm-codes")
+
+
+def learn(encoded: DataFrame, vocabulary: Vocabulary, counts: DataFrame, rounds: int = 6, rate: float = 0.1, tasks: int = 8) -> Weights:
+    """Learn classes (into ``vocabulary``) and weights from all encoded texts.
+
+    Classes are learned from the neighbours of all words, and their totals counted over all words.  The
+    model's training data are the counts of all its
+    trigrams of symbols, at most 2^24 rows however large the corpus.  Weights start
+    from the symbols' own counts; each of ``rounds`` rounds then sums the gradient
+    of ``tasks`` tasks, block by block, and takes an Adam step with it on the driver.
+    """
+    spark = encoded.sparkSession
+    codes = encoded.select("codes")
     beside = np.zeros(FORMS * 2 * _SIDES)
-    got = (texts.mapInArrow(_count_neighbours(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    got = (codes.mapInArrow(_count_neighbours, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
            .toPandas())  # at most 2^20 rows
     beside[got.cell.to_numpy(int)] = got.n.to_numpy()
     vocabulary.form_class = form_classes(beside.reshape(FORMS, -1))
+    shared = spark.sparkContext.broadcast(vocabulary)
     got = (counts.mapInArrow(_count_forms(shared), "f long, tokens long, words long")
            .groupBy("f").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).toPandas())  # at most 2^12 rows
     of = vocabulary.form_class[got.f.to_numpy(int)]
     vocabulary.class_tokens = np.bincount(of, got.tokens.to_numpy(float), minlength=CLASSES)
     vocabulary.class_total = vocabulary.class_tokens + np.bincount(of, got.words.to_numpy(float), minlength=CLASSES) + 1
-    shared = spark.sparkContext.broadcast(vocabulary)
+    symbol = spark.sparkContext.broadcast(vocabulary.symbol_of_code())
     grams = materialise(
-        texts.mapInArrow(_count_trigrams(shared), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+        codes.mapInArrow(_count_trigrams(symbol), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
         .select("code", "n", F.pmod(F.xxhash64("code"), F.lit(tasks)).cast("int").alias("task")), "lm-trigrams")
     tokens = max(vocabulary.tokens, 1)
 
@@ -355,7 +411,7 @@ def fit(train: DataFrame, text_col: str = "text", table_size: int = 1 << 17, rou
                .groupBy("block").applyInPandas(_add_blocks, blocks).collect())  # the gradient once, in blocks
         if not got:
             break
-        cells = np.concatenate([np.frombuffer(r.cells, np.float32) for r in sorted(got, key=lambda r: r.block)])
+        cells = np.concatenate([_long(r.cells) for r in sorted(got, key=lambda r: r.block)])
         cells = cells.reshape(ROWS, SIDE + SIDE * SIDE).astype(float) / tokens
         total = {"of_class": cells[:, :SIDE], "of_symbol": cells[:, SIDE:].reshape(ROWS, SIDE, SIDE)}
         for name, (m, v) in zip(total, moments, strict=True):
@@ -364,49 +420,45 @@ def fit(train: DataFrame, text_col: str = "text", table_size: int = 1 << 17, rou
             step = rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-6)
             setattr(weights, name, (getattr(weights, name) - step).astype(np.float32))
         current.destroy()
-    return vocabulary, counts, weights
+    return weights
+
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("__id"), held_out(id_col).alias("__held"),
+                       F.coalesce(text_col, F.lit("")).alias("__body"))
 
-def _partial_scores(model):
+
+def fit(train: DataFrame, text_col: str = "text", table_size: int = 1 << 17, **parameters) -> tuple[Vocabulary, DataFrame, Weights]:
+    """Learn from every row of ``train``: (vocabulary, all word counts, weights)."""
+    vocabulary, counts = count(train, text_col, table_size)
+    texts = train.select(F.lit(0).cast("long").alias("__id"), F.lit(False).alias("__held"), F.coalesce(text_col, F.lit("")).alias("__body"))
+    return vocabulary, counts, learn(encode(texts, vocabulary), vocabulary, counts, **parameters)
+
+
+def _model_scores(model):
+    """uid and the model's part of each text's score, without the counts of words inside their classes."""
     def run(batches):
-        vocabulary, weights = model.value
-        logs = np.log10(vocabulary.counts + 1) if len(vocabulary.counts) else np.zeros(1)
-        # a word's share in its class: its count plus one, among all words of the class and one unknown
-        class_log = np.log10(vocabulary.class_total)
-        end_log = np.log10(vocabulary.texts + 1)
+        symbol, class_total, weights = model.value
+        inside = np.zeros(SYMBOLS)
+        inside[WORDS:END] = np.log10(class_total)  # a word's share in its class has this total
         for b in slices(batches, 256):
-            cols = [[] for _ in range(5)]
-            grams, sizes = [], []
-            for text in column(b, "__body"):
-                ws = words(text)
-                at = vocabulary.places(ws)
-                known = at[at >= 0]
-                y = vocabulary.symbols_of(ws, at)
-                grams.append(vocabulary.contexts(y) * SYMBOLS + y)
-                sizes.append(len(y))
-                rare = Counter(w.decode() for w, k in zip(ws, (at < 0).tolist(), strict=True) if k) if (
-                    len(known) < len(ws)) else {}
-                in_class = y[(y >= WORDS) & (y < END)] - WORDS
-                cols[0].append(len(y))
-                cols[1].append(len(known) + (vocabulary.texts > 0))
-                cols[2].append(float(logs[known].sum() + end_log))
-                cols[3].append(float(logs[known[known >= WORDS]].sum() - class_log[in_class].sum()))
-                cols[4].append([{"word": w, "m": m} for w, m in rare.items()])
-            if not grams:
+            grams, n = _trigrams(column(b, "codes"), symbol)
+            if not len(n):
                 continue
-            code, where = np.unique(np.concatenate(grams), return_inverse=True)
-            lp = weights.log_probability(code // SYMBOLS, code % SYMBOLS) / np.log(10)
-            model_part = np.add.reduceat(lp[where], np.cumsum([0, *sizes[:-1]])) + np.array(cols[3])
+            code, where = np.unique(grams, return_inverse=True)
+            lp = weights.log_probability(code // SYMBOLS, code % SYMBOLS) / np.log(10) - inside[code % SYMBOLS]
+            total = np.add.reduceat(lp[where], np.cumsum(n) - n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.float64()), pa.array(model_part, pa.float64()),
-                 pa.array(cols[4], pa.list_(pa.struct([("word", pa.string()), ("m", pa.int64())])))],
-                names=["doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"])
+                [*(b.column(b.schema.get_field_index(c)) for c in _KEPT), pa.array(total)], names=[*_KEPT, "model"])
 
     return run
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+_KEPT = ("uid", "doc_id", "held_out", "n_tokens", "known", "base", "inside")
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_size: int = 1 << 17,
+                    **parameters) -> DataFrame:
     """Train on the rows that aren't held out, then score all whole texts.
 
     Returns one row per input row: ``doc_id``, ``held_out``, ``n_tokens`` (words and
@@ -420,18 +472,19 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has that of its class, and within the class its share follows its count, so the
     probabilities of all words, an unknown one in each class and the end sum to one.
 
-    Plan: words in a bounded table of the most frequent ones, which hold most tokens,
-    are scored where texts are read.  Only the others, once per document, are joined
+    Plan: a pass counts the words of the texts learned from, a second one writes all texts as codes of two bytes a word;
+    learning and scoring read the codes.  Words in a bounded table of the most frequent ones, which hold most tokens,
+    are looked up where texts are read.  Only the others, once per document, are joined
     with the full counts, so no frequent word is a hot key there.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("__id"), held_out(id_col).alias("__held"),
-                         F.coalesce(text_col, F.lit("")).alias("__body"))
-    vocabulary, counts, weights = fit(source.filter("not __held"), "__body", **parameters)
-    model = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
-    parts = materialise(source.mapInArrow(
-        _partial_scores(model), "doc_id long, held_out boolean, n_tokens long, known long, base double, model double, "
-        "rare array<struct<word:string,m:long>>").withColumn("uid", F.monotonically_increasing_id()), "lm-parts")
-    rare = (parts.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.m")
+    source = _texts(docs, id_col, text_col)
+    vocabulary, counts = count(source.filter("not __held"), "__body", table_size)
+    encoded = encode(source, vocabulary)
+    weights = learn(encoded.filter("not held_out"), vocabulary, counts, **parameters)
+    model = docs.sparkSession.sparkContext.broadcast((vocabulary.symbol_of_code(), vocabulary.class_total, weights))
+    parts = encoded.select(*_KEPT, "codes").mapInArrow(
+        _model_scores(model), "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, model double")
+    rare = (encoded.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.m")
             .join(counts, "word").groupBy(F.col("uid").alias("rid"))
             .agg(F.sum("m").alias("more"), F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("logs")))
     logs = F.coalesce("logs", F.lit(0.0))
@@ -439,4 +492,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return parts.join(rare, F.col("uid") == F.col("rid"), "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + logs - F.col("n_tokens") * floor).alias("base_score"), (F.col("model") + logs).alias("score"))
+        (F.col("base") + logs - F.col("n_tokens") * floor).alias("base_score"),
+        (F.col("model") + F.col("inside") + logs).alias("score"))
