@@ -159,22 +159,21 @@ def _kth(values: np.ndarray, k: int) -> float:
 
 _ANCHOR = "rid long, id long, label long, dim int, q binary, norm double, angles binary"
 _WINDOWS = "rank array<int>, positive_id array<long>, positive_score array<long>, low array<double>, high array<double>"
-_GROUP = "cell int, piece int, part int"
 _LISTS = ("rank", "positive_id", "positive_score", "low", "high")
 
 
-def _routed(model, cells: dict, parts: int, k: int, negatives: bool, ratio: tuple[int, int]):
-    """Send each anchor to the pieces of all cells whose bounds overlap one of its windows.
+def _routed(model, cells: dict, k: int, negatives: bool, ratio: tuple[int, int]):
+    """Send each anchor to all cells whose bounds overlap one of its windows.
 
     The k-th best score within the sample is a lower bound of the k-th best of all, which raises the windows' lower ends.
     """
     def run(batches):
         m = model.value
-        near, far, small, big, pieces, key = (np.array(x) for x in zip(*((*c[1:], i) for i, c in cells.items()), strict=True))
+        near, far, small, big, key = (np.array(x) for x in zip(*((*c[1:5], i) for i, c in cells.items()), strict=True))
         for b in slices(batches, 256):
             rows = {c: column(b, c) for c in ("rid", "id", "label", "dim", "q", "norm", "angles")}
             found = {c: column(b, c) for c in _LISTS[:3]} if negatives else None
-            out = {c: [] for c in ("cell", "piece", "part", *rows, *_LISTS)}
+            out = {c: [] for c in ("cell", *rows, *_LISTS)}
             same = [i for i, d in enumerate(rows["dim"]) if d == m.dim]
             of_sample = np.zeros((0, 0))
             if same:
@@ -207,13 +206,11 @@ def _routed(model, cells: dict, parts: int, k: int, negatives: bool, ratio: tupl
                     least = np.maximum(0, np.maximum(near - t, t - far))
                     bottom, top = bounds(least, np.minimum(np.pi, t + far), rows["norm"][i] * small, rows["norm"][i] * big)
                     to = np.flatnonzero((key < m.cells) & (top >= min(low)) & (bottom <= max(high)))
-                part = rows["rid"][i] % parts
                 for c in to.tolist():
-                    for piece in range(pieces[c]):
-                        for name, v in (("cell", int(key[c])), ("piece", piece), ("part", part), *((n, rows[n][i]) for n in rows),
-                                        *zip(_LISTS, (rank, pid, score, low, high), strict=True)):
-                            out[name].append(v)
-            kinds = {"cell": pa.int32(), "piece": pa.int32(), "part": pa.int32(), "dim": pa.int32(), "q": pa.binary(),
+                    for name, v in (("cell", int(key[c])), *((n, rows[n][i]) for n in rows),
+                                    *zip(_LISTS, (rank, pid, score, low, high), strict=True)):
+                        out[name].append(v)
+            kinds = {"cell": pa.int32(), "dim": pa.int32(), "q": pa.binary(),
                      "norm": pa.float64(), "angles": pa.binary(), "rank": pa.list_(pa.int32()),
                      "low": pa.list_(pa.float64()), "high": pa.list_(pa.float64()), "positive_id": pa.list_(pa.int64()),
                      "positive_score": pa.list_(pa.int64())}
@@ -309,15 +306,24 @@ def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int =
              placed.groupBy("cell").agg(F.min("turn").alias("near"), F.max("turn").alias("far"), F.min("norm").alias("small"),
                                         F.max("norm").alias("big"), F.count(F.lit(1)).alias("n")).collect()}
     chosen = placed.join(base.filter("anchor").select("rid"), "rid", "left_semi").select(*_ANCHOR.replace(",", "").split()[::2])
-    parts = max(1, -(-base.filter("anchor").count() // ANCHORS))
-    count = F.create_map(*(F.lit(x) for c in cells for x in (c, cells[c][-1])))
     group = ["cell", "piece", "part"]
-    spread = (placed.withColumn("piece", F.pmod(F.xxhash64("rid"), count[F.col("cell")]).cast("int"))
-              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+
+    def by_cell(numbers: dict[int, int]) -> Column:
+        return F.create_map(*(F.lit(x) for c in numbers.items() for x in c))[F.col("cell")]
 
     def search(windows: DataFrame, k: int, negative: bool) -> DataFrame:
-        sent_to = windows.mapInArrow(_routed(sent, cells, parts, k, negative, ratio), f"{_GROUP}, {_ANCHOR}, {_WINDOWS}")
-        found = spread.groupBy(*group).cogroup(sent_to.groupBy(*group)).applyInPandas(_probe(sent, k, negative), _FOUND_SCHEMA)
+        to_cells = materialise(windows.mapInArrow(_routed(sent, cells, k, negative, ratio), f"cell int, {_ANCHOR}, {_WINDOWS}"),
+                               "hardneg-routed")
+        # a row for each cell that an anchor may find something in; the rows of others stay where they are
+        parts = {r.cell: -(-r["count"] // ANCHORS) for r in to_cells.groupBy("cell").count().collect()}
+        if not parts:
+            return spark.createDataFrame([], f"{_FOUND_SCHEMA}, place int")
+        pieces = by_cell({c: cells[c][-1] for c in parts})
+        asking = (to_cells.withColumn("part", F.pmod("rid", by_cell(parts)).cast("int"))
+                  .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))))
+        asked = (placed.filter(F.col("cell").isin(*parts)).withColumn("piece", F.pmod(F.xxhash64("rid"), pieces).cast("int"))
+                 .withColumn("part", F.explode(F.sequence(F.lit(0), by_cell(parts) - 1))))
+        found = asked.groupBy(*group).cogroup(asking.groupBy(*group)).applyInPandas(_probe(sent, k, negative), _FOUND_SCHEMA)
         return _best(found, k)
 
     near = search(chosen, positives, False)
