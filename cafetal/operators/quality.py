@@ -80,6 +80,7 @@ def _n(c: str) -> Column:
 
 SILVER_KEY = ["fecha", "lat", "lon"]       # typed columns behind pk_silver
 RANKING_KEY = ["lat", "lon"]               # typed columns behind pk_gold
+# --- fixed values: columns that may not be null ----------------------------------
 BRONZE_NULL_COLS = ["fecha", "latitud", "longitud", "temp_k", "dew_k", "lluvia_m"]
 SILVER_NULL_COLS = ["fecha", "lat", "lon", "temp_c", "rh_pct", "rain_mm"]
 

@@ -43,6 +43,7 @@ from cafetal.streaming.silver_stream import run_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# --- fixed values: column names of the layers --------------------------------------------
 BRONZE_COLUMNS = ["fecha", "longitud", "latitud", "temp_k", "dew_k", "lluvia_m", "rad_j_m2",
                   "evap_pot_m"]
 RANKING_COLUMNS = ["pk_gold", "lat", "lon", "dias_evaluados", "dias_optimos", "pct_optimos",
