@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -55,9 +56,39 @@ def _machine_local(path: str) -> bool:
     return path.startswith("file:") or "://" not in path
 
 
+_SHARED: set[tuple[str, str]] = set()    # (application, folder) that the executors were seen to share
+
+
+def _check_shared(spark: SparkSession, folder: str) -> None:
+    """Raise ``RuntimeError`` unless what the executors write to ``folder`` is found by the driver and by other tasks."""
+    sc = spark.sparkContext
+
+    def slowly(i):
+        time.sleep(0.1)     # so that no executor takes all tasks
+        return i
+
+    try:
+        if (sc.applicationId, folder) in _SHARED:
+            return
+        n, probe = 2 * max(1, sc.defaultParallelism), f"{folder.rstrip('/')}/cafetal/probe-{uuid.uuid4().hex[:12]}"
+        sc.parallelize(range(n), n).map(slowly).saveAsTextFile(probe)
+        found = sc.textFile(probe).count()
+    except Exception as e:
+        raise RuntimeError(f"spark.checkpoint.dir is {folder!r}, a local path, and trying it failed: name a shared folder, or set "
+                           "spark.cafetal.checkpoint.mounted=true if every machine mounts it") from e
+    if found != n:
+        raise RuntimeError(f"spark.checkpoint.dir is {folder!r}, a local path that the machines do not share ({found} of {n} "
+                           "rows came back): name a shared folder")
+    _SHARED.add((sc.applicationId, folder))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``.
 
+    A path without a remote scheme may be mounted on every machine: outside local mode it is
+    tried once per application, and refused if files do not come back; with
+    ``spark.cafetal.checkpoint.mounted=true`` it is taken as it is.
+
     Only in local mode, and only when the setting is unset (tests, bench), a
     private temporary folder is created and set.
     """
@@ -66,8 +97,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         if not sc.master.startswith("local") and _machine_local(configured) and sc.getConf().get(
                 "spark.cafetal.checkpoint.mounted", "false") != "true":
-            raise RuntimeError(f"spark.checkpoint.dir is {configured!r}, a local path: name a shared folder, or set "
-                               "spark.cafetal.checkpoint.mounted=true if every machine mounts it")
+            _check_shared(spark, configured)
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import datetime
 import subprocess
 import sys
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from cafetal import session
@@ -47,3 +50,42 @@ def test_local_checkpoint_path_is_refused_on_a_cluster(path):
     assert session.checkpoint_root(FakeSession("local[4]", conf)) == path
     assert session.checkpoint_root(FakeSession("yarn", conf | {"spark.cafetal.checkpoint.mounted": "true"})) == path
     assert session.checkpoint_root(FakeSession("yarn", {"spark.checkpoint.dir": "hdfs://n/x"})) == "hdfs://n/x"
+
+
+CLUSTER = """
+import importlib.util, os, sys
+from pathlib import Path
+home = Path(sys.argv[1], "home")            # executors work in Spark's home, in a folder of their own
+(home / "work").mkdir(parents=True)
+for p in Path(importlib.util.find_spec("pyspark").origin).parent.iterdir():
+    if p.name != "work":
+        (home / p.name).symlink_to(p)
+os.environ |= {"SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13", "PYSPARK_PYTHON": sys.executable,
+               "PYTHONPATH": sys.argv[4], "SPARK_LOCAL_IP": "127.0.0.1"}
+sys.path.insert(0, sys.argv[4])
+from pyspark.sql import SparkSession
+import __spark_entry__ as E
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config(map={
+    "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.executor.memory": "600m", "spark.local.dir": sys.argv[1],
+    "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": sys.argv[2]}).getOrCreate()
+spark.sparkContext.master = "spark://host:7077"         # as the library sees it
+try:
+    print("ROWS", E.queries()["bbox_filter"](spark, sys.argv[3]).count(), flush=True)
+except RuntimeError as e:
+    print("REFUSED", e, flush=True)
+spark.stop()
+"""
+
+
+@pytest.mark.parametrize("folder, said", [("file://{}/shared", "ROWS"), ("{}/shared", "ROWS"), ("/proc/self/cwd/apart", "REFUSED")])
+def test_checkpoint_path_on_a_cluster_is_tried(tmp_path, folder, said):
+    """A folder that every machine mounts is used; one that each process has for itself is refused."""
+    tables = tmp_path / "tables"
+    tables.mkdir()
+    lineitem = {"l_suppkey": [1, 2, 3], "l_linenumber": [1, 2, 3], "l_quantity": [10.0, 20.0, 30.0], "l_extendedprice": [9.0, 8.0, 7.0],
+                "l_discount": [0.01, 0.02, 0.03], "l_tax": [0.04, 0.05, 0.06], "l_shipdate": [datetime.datetime(1998, 3, 1)] * 3}
+    pq.write_table(pa.table(lineitem).set_column(6, "l_shipdate", pa.array(lineitem["l_shipdate"], pa.timestamp("us"))),
+                   tables / "lineitem.parquet")
+    got = subprocess.run([sys.executable, "-c", CLUSTER, str(tmp_path), folder.format(tmp_path), str(tables), ROOT],
+                         capture_output=True, text=True, cwd=tmp_path, timeout=240)
+    assert said in got.stdout, got.stdout[-500:] + got.stderr[-1500:]
