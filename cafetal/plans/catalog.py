@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,30 +72,32 @@ _BRONZE_TABLES: dict[tuple[str, str], str] = {}
 _SILVER_TABLES: dict[tuple[str, str], str] = {}
 
 
+def _kept_layer(spark, sf_dir, tables, write):
+    """The table that ``write`` made for ``sf_dir`` in this application; made anew if the scratch folder was emptied meanwhile."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key in tables:
+        try:
+            return spark.read.parquet(tables[key])
+        except AnalysisException:
+            del tables[key]
+    tables[key] = write()
+    return spark.read.parquet(tables[key])
+
+
 def bronze_layer(spark, sf_dir):
     """The bronze layer for ``sf_dir``: projected from the supplied tables once per
     application and written (sorted by date and coordinates, like a consolidated
     bronze file) to the shared scratch folder; later queries scan that table."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    path = _BRONZE_TABLES.get(key)
-    if path is None:
-        order = ["fecha", "latitud", "longitud"]
-        path = io.write_parquet(bronze_fixture(spark, sf_dir).repartitionByRange(*order)
-                                .sortWithinPartitions(*order), scratch_path(spark, "bronze_layer"))
-        _BRONZE_TABLES[key] = path
-    return spark.read.parquet(path)
+    order = ["fecha", "latitud", "longitud"]
+    return _kept_layer(spark, sf_dir, _BRONZE_TABLES, lambda: io.write_parquet(
+        bronze_fixture(spark, sf_dir).repartitionByRange(*order).sortWithinPartitions(*order), scratch_path(spark, "bronze_layer")))
 
 
 def silver_layer(spark, sf_dir):
     """The silver layer, written once per application like bronze; gold queries scan it,
     so their columns are pruned and the region's limits reach the scan."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    path = _SILVER_TABLES.get(key)
-    if path is None:
-        path = io.write_parquet(S.to_silver(bronze_layer(spark, sf_dir)), scratch_path(spark, "silver_layer"),
-                                cluster_by=P.SILVER_CLUSTER)
-        _SILVER_TABLES[key] = path
-    return spark.read.parquet(path)
+    return _kept_layer(spark, sf_dir, _SILVER_TABLES, lambda: io.write_parquet(
+        S.to_silver(bronze_layer(spark, sf_dir)), scratch_path(spark, "silver_layer"), cluster_by=P.SILVER_CLUSTER))
 
 
 _bronze = bronze_layer

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,3 +231,25 @@ def test_rows_without_a_date_are_exported(spark, scratch):
     b = clean_bronze(spark).limit(3).withColumn("fecha", F.lit(None).cast("date"))
     files = C.write_yearly_csvs(b, scratch("nodate"), 1996, 2001)
     assert C.csv_union_by_name(spark, files).count() == 3
+
+
+LINEITEM = ("l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+            "l_shipdate timestamp_ntz")
+
+
+def _lineitem(spark, scratch, keys):
+    sf = scratch("tables")
+    spark.createDataFrame([(k, 1, 20.0, 9.0, 0.01, 0.02, datetime.datetime(1998, 3, 1)) for k in keys], LINEITEM).write.parquet(f"{sf}/lineitem.parquet")
+    return sf
+
+
+@pytest.mark.parametrize("name", ["bbox_filter", "bronze_sorted"])
+def test_layers_are_written_anew_when_scratch_is_emptied(spark, scratch, name):
+    from cafetal.plans import catalog
+    sf = _lineitem(spark, scratch, [1, 2, 3])
+    want = rows(catalog.queries()[name](spark, sf))
+    assert len(want) == 3
+    key = (spark.sparkContext.applicationId, sf)
+    for tables in (catalog._BRONZE_TABLES, catalog._SILVER_TABLES):
+        tables.update({key: scratch("emptied")} if key in tables else {})
+    assert rows(catalog.queries()[name](spark, sf)) == want
