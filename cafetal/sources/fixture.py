@@ -18,13 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Keys are cut to the modulus before they are multiplied, so that no key overflows.
 def _longitude(s):
-    return ((F.lit(-76600000) + F.lit(10000) * ((s * 31) % 220) + F.floor(s / F.lit(22000.0)).cast("long")).cast("double")
+    return ((F.lit(-76600000) + F.lit(10000) * ((s % 220 * 31) % 220) + F.floor(s / F.lit(22000.0)).cast("long")).cast("double")
             / F.lit(1e6))
 
 
 def _latitude(s):
-    return (F.lit(3900007) + F.lit(100) * ((s * 7919) % 22000)).cast("double") / F.lit(1e6)
+    return (F.lit(3900007) + F.lit(100) * ((s % 22000 * 7919) % 22000)).cast("double") / F.lit(1e6)
 
 
 def bronze_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -253,3 +253,12 @@ def test_layers_are_written_anew_when_scratch_is_emptied(spark, scratch, name):
     for tables in (catalog._BRONZE_TABLES, catalog._SILVER_TABLES):
         tables.update({key: scratch("emptied")} if key in tables else {})
     assert rows(catalog.queries()[name](spark, sf)) == want
+
+
+def test_bronze_holds_keys_of_any_size(spark, scratch):
+    keys = [-(2**63), -7, 0, 999, 10**15, 3 * 10**15 + 1, 2**63 - 1]
+    rem = lambda a, b: abs(a) % b * (1 if a >= 0 else -1)  # noqa: E731  the sign of the dividend, as in SQL
+    got = rows(bronze_fixture(spark, _lineitem(spark, scratch, keys)).select("latitud"))
+    assert sorted(got) == sorted(((3900007 + 100 * rem(k * 7919, 22000)) / 1e6,) for k in keys)
+    small = bronze_fixture(spark, _lineitem(spark, scratch, [-7, 999])).select("longitud")
+    assert sorted(rows(small)) == sorted(((-76600000 + 10000 * rem(k * 31, 220) + k // 22000) / 1e6,) for k in (-7, 999))
